@@ -196,7 +196,8 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     else:
         found = docs.select("doc_id", "text").mapInArrow(_fingerprint_rows(spans), f"doc_id {doc_type}, n int, pos int, hash long")
         found = found.join(prints, ["n", "hash"], "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("n", "pos")).alias("hits"))
-        windows = base.join(found, "doc_id", "left").select("doc_id", "text", "text_hash", "hits").mapInArrow(_doc_windows(spans, None), out)
+        found = found.withColumnRenamed("doc_id", "_id")
+        windows = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "text_hash", "hits").mapInArrow(_doc_windows(spans, None), out)
     keys = items.where("key IS NOT NULL").select("key", "item").distinct()
     hit = windows.join(keys.withColumn("_known", F.lit(True)), "key", "left").where("start = -1 OR _known")
     per = hit.groupBy("doc_id", "text_hash").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, sharding, urls
+from plumbline.llm import bpe, decontam, sharding, simhash, urls
 
 
 def tokenizer_path() -> str:
@@ -22,6 +22,7 @@ QUERIES = {
     "op2_url_filter": urls.op2,
     "op3_decontamination": decontam.op3,
     "op4_sharding": sharding.op4,
+    "op7_simhash": simhash.op7,
     "op10_bpe": op10_bpe,
 }
 SQL = {"op2_url_filter": urls.OP2_SQL, "op3_decontamination": decontam.OP3_SQL, "op4_sharding": sharding.OP4_SQL}
