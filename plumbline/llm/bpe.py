@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bound of the broadcast word table (about 25 MB), and of the words a task keeps beside it.
-TABLE_WORDS = 300_000
-TASK_WORDS = 200_000
+#: Bound of the broadcast word table (about 20 MB in a task), and of the words a task keeps beside it.
+TABLE_WORDS = 100_000
+TASK_WORDS = 100_000
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -86,14 +86,14 @@ class Codec:
 
 
 class _Words(dict):
-    """Ids of words; a missing one is encoded once and kept, up to a bound."""
+    """Ids of words, as bytes of int32; a missing word is encoded once and kept, up to a bound."""
 
     def __init__(self, codec: Codec, table: dict):
         super().__init__(table)
         self.codec, self.most = codec, len(table) + TASK_WORDS
 
-    def __missing__(self, word: str) -> np.ndarray:
-        ids = np.array(self.codec.encode([word])[0], np.int32)
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.codec.encode([word])[0], np.int32).tobytes()
         if len(self) < self.most:
             self[word] = ids
         return ids
@@ -113,7 +113,7 @@ def word_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
         for batch in batches:
             for t in batch.column(0):
                 seen.update(codec.words(t.as_py() or ""))
-                if len(seen) > TASK_WORDS * 2:
+                if len(seen) > TASK_WORDS:
                     yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string())})
                     seen = set()
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string())})
@@ -145,7 +145,7 @@ def _shared_words(table: DataFrame, most: int) -> dict:
     found = table.where(F.col("n") >= least).select("word", "ids").toArrow()
     flat, offs = found["ids"].combine_chunks(), 0
     offs, ids = flat.offsets.to_numpy(), flat.values.to_numpy(zero_copy_only=False).astype(np.int32)
-    return {w: ids[a:b] for w, a, b in zip(found["word"].to_pylist(), offs[:-1], offs[1:], strict=True)} if len(found) else {}
+    return {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), offs[:-1], offs[1:], strict=True)} if len(found) else {}
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", table: DataFrame | None = None, table_words: int = TABLE_WORDS) -> DataFrame:
@@ -170,12 +170,11 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
         codec = Codec(told.value)
         known = _Words(codec, shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
                 got = []
                 for t in part.column(at):
-                    ws = codec.words(t.as_py() or "")
-                    got.append(np.concatenate([known[w] for w in ws]) if ws else np.zeros(0, np.int32))
+                    got.append(np.frombuffer(b"".join([known[w] for w in codec.words(t.as_py() or "")]), np.int32))
                 offs = np.cumsum([0, *map(len, got)]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(got) if got else np.zeros(0, np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*rest, ids])

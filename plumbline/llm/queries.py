@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, sharding, simhash, urls
+from plumbline.llm import bpe, decontam, mil, sharding, simhash, toxicity, urls
 
 
 def tokenizer_path() -> str:
@@ -19,9 +19,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1,
     "op2_url_filter": urls.op2,
     "op3_decontamination": decontam.op3,
     "op4_sharding": sharding.op4,
+    "op6_quality": mil.op6,
     "op7_simhash": simhash.op7,
     "op10_bpe": op10_bpe,
 }
