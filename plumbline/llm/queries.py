@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, mil, sharding, simhash, toxicity, urls
+from plumbline.llm import bpe, decontam, mil, perplexity, sharding, simhash, toxicity, urls
 
 
 def tokenizer_path() -> str:
@@ -25,6 +25,7 @@ QUERIES = {
     "op4_sharding": sharding.op4,
     "op6_quality": mil.op6,
     "op7_simhash": simhash.op7,
+    "op8_perplexity": perplexity.op8,
     "op10_bpe": op10_bpe,
 }
 SQL = {"op2_url_filter": urls.OP2_SQL, "op3_decontamination": decontam.OP3_SQL, "op4_sharding": sharding.OP4_SQL}
