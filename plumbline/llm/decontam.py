@@ -37,22 +37,13 @@ def gram(span: int) -> int:
     return max(1, (span * 2) // 5)
 
 
-def _sliding(x: np.ndarray, run: int, op) -> np.ndarray:
-    """Sliding ``op`` (minimum or maximum) over ``run`` values; by doubling."""
-    width = 1
-    while width * 2 <= run:
-        x = op(x[:-width], x[width:])
-        width *= 2
-    return op(x[: len(x) - (run - width)], x[run - width :]) if run > width else x
-
-
 def winnow(grams: np.ndarray, run: int) -> np.ndarray:
     """Positions of the minima of all runs; equal minima are all kept, so the choice depends on content only."""
     if len(grams) < run:
         return np.zeros(0, np.int64)
-    low = _sliding(grams, run, np.minimum)
+    low = ta.sliding(grams, run, np.minimum)
     pad = np.zeros(run - 1, ta.U64)
-    high = _sliding(np.concatenate([pad, low, pad]), run, np.maximum)
+    high = ta.sliding(np.concatenate([pad, low, pad]), run, np.maximum)
     return np.flatnonzero(grams == high)
 
 

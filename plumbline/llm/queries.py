@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, mil, perplexity, sharding, simhash, toxicity, urls
+from plumbline.llm import bpe, decontam, mil, perplexity, sharding, simhash, substrings, toxicity, urls
 
 
 def tokenizer_path() -> str:
@@ -23,6 +23,7 @@ QUERIES = {
     "op2_url_filter": urls.op2,
     "op3_decontamination": decontam.op3,
     "op4_sharding": sharding.op4,
+    "op5_substrings": substrings.op5,
     "op6_quality": mil.op6,
     "op7_simhash": simhash.op7,
     "op8_perplexity": perplexity.op8,

@@ -113,3 +113,12 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total) - np.repeat(ends - counts - starts, counts)
+
+
+def sliding(x: np.ndarray, run: int, op) -> np.ndarray:
+    """Sliding ``op`` (minimum or maximum) over ``run`` values; by doubling."""
+    width = 1
+    while width * 2 <= run:
+        x = op(x[:-width], x[width:])
+        width *= 2
+    return op(x[: len(x) - (run - width)], x[run - width :]) if run > width else x
