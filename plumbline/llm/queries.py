@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, mil, perplexity, sharding, simhash, substrings, toxicity, urls
+from plumbline.llm import bpe, decontam, mil, passages, perplexity, sharding, simhash, substrings, toxicity, urls
 
 
 def tokenizer_path() -> str:
@@ -27,6 +27,7 @@ QUERIES = {
     "op6_quality": mil.op6,
     "op7_simhash": simhash.op7,
     "op8_perplexity": perplexity.op8,
+    "op9_passages": passages.op9,
     "op10_bpe": op10_bpe,
 }
 SQL = {"op2_url_filter": urls.OP2_SQL, "op3_decontamination": decontam.OP3_SQL, "op4_sharding": sharding.OP4_SQL}

@@ -246,6 +246,13 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(z, pa.binary()), pa.array(size, pa.int64())], names=["doc_id", "th", "z", "n"])
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, z, n): texts compressed, with a hash that tells rows of one doc_id apart, and their bytes."""
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select(text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("th"))
+    return base.mapInArrow(_compressed, "doc_id long, th int, z binary, n long")
+
+
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list = [[] for _ in range(3)]
@@ -273,7 +280,7 @@ def dedup(docs: DataFrame, match: int = MATCH) -> DataFrame:
     packed = known.mapInArrow(_anchor_rows(buckets, match), "bucket long, settled boolean, body binary")
     shared = packed.groupBy("bucket").applyInArrow(_settle, "doc_id long, th int, code long")
     shared = shared.groupBy("doc_id", "th").agg(F.collect_list("code").alias("codes"))
-    texts = base.mapInArrow(_compressed, "doc_id long, th int, z binary, n long")
+    texts = packed_texts(docs)
     contexts = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "z", "n", "codes").mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
     spans = contexts.groupBy("bucket").applyInArrow(_index(match), "doc_id long, th int, start long, stop long")
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
