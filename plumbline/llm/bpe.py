@@ -13,6 +13,7 @@ repeated doc_ids are encoded row by row; a column of the input that has an outpu
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -148,12 +149,8 @@ def _shared_words(table: DataFrame, most: int) -> dict:
     return {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), offs[:-1], offs[1:], strict=True)} if len(found) else {}
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", table: DataFrame | None = None, table_words: int = TABLE_WORDS) -> DataFrame:
-    """``docs`` with the column ``ids`` (array<int>) of each whole text.
-
-    ``tokenizer`` is the path of a tokenizers JSON file on the driver. ``table`` is a stored
-    :func:`word_table`, made here when not given.
-    """
+def _encoder(docs: DataFrame, tokenizer: str, text: str, table: DataFrame | None, table_words: int):
+    """A function for tasks that makes the function text -> ids (int32 array)."""
     from plumbline.sources.shared import drop_stored, stored
 
     spark = docs.sparkSession
@@ -162,19 +159,44 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     shared = spark.sparkContext.broadcast(_shared_words(table, table_words))
     if own:
         drop_stored(table)
-    told = spark.sparkContext.broadcast(_spec(tokenizer))
+
+    def make(codec: Codec):
+        known = _Words(codec, shared.value)
+        return lambda t: np.frombuffer(b"".join([known[w] for w in codec.words(t or "")]), np.int32)
+
+    return make
+
+
+def _decoder(codec: Codec):
+    """The function ids (int array) -> text of a task: each id takes its piece."""
+    pieces = codec.pieces()
+
+    def text_of(ids: np.ndarray) -> str:
+        taken = pieces.take(pa.array(ids))
+        offs = np.frombuffer(taken.buffers()[1], np.int32)
+        raw = taken.buffers()[2].to_pybytes()[: offs[len(ids)]] if len(ids) and taken.buffers()[2] is not None else b""
+        return raw.decode("utf-8", "replace")
+
+    return text_of
+
+
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", table: DataFrame | None = None, table_words: int = TABLE_WORDS) -> DataFrame:
+    """``docs`` with the column ``ids`` (array<int>) of each whole text.
+
+    ``tokenizer`` is the path of a tokenizers JSON file on the driver. ``table`` is a stored
+    :func:`word_table`, made here when not given.
+    """
+    make = _encoder(docs, tokenizer, text, table, table_words)
+    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
     rest = [c for c in docs.columns if c != ids]
     at = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(told.value)
-        known = _Words(codec, shared.value)
+        to_ids = make(Codec(told.value))
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                got = []
-                for t in part.column(at):
-                    got.append(np.frombuffer(b"".join([known[w] for w in codec.words(t.as_py() or "")]), np.int32))
+                got = [to_ids(t.as_py()) for t in part.column(at)]
                 offs = np.cumsum([0, *map(len, got)]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(got) if got else np.zeros(0, np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*rest, ids])
@@ -194,30 +216,36 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Codec(told.value).pieces()
+        codec = Codec(told.value)
+        to_text, most = _decoder(codec), max(codec.vocab.values())
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
                 got = []
                 for x in part.column(at):
                     i = np.asarray(x.values.drop_null(), np.int64) if x.is_valid else np.zeros(0, np.int64)
-                    i = i[(i >= 0) & (i < len(pieces))]
-                    taken = pieces.take(pa.array(i))
-                    data, offs = taken.buffers()[2], np.frombuffer(taken.buffers()[1], np.int32)
-                    raw = data.to_pybytes()[: offs[len(i)]] if data is not None and len(i) else b""
-                    got.append(raw.decode("utf-8", "replace"))
+                    got.append(to_text(i[(i >= 0) & (i <= most)]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.string())], names=[*rest, text])
 
     schema = T.StructType([*docs.select(rest).schema.fields, T.StructField(text, T.StringType())])
     return docs.select(rest).mapInArrow(run, schema)
 
 
-def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document."""
-    done = decode(encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "ids"), tokenizer)
-    return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document, encoded and decoded in one pass."""
+    make = _encoder(docs, tokenizer, "text", None, table_words)
+    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(told.value)
+        to_ids, to_text = make(codec), _decoder(codec)
+        for batch in batches:
+            n, ids_sha, text_sha = [], [], []
+            for t in batch.column(1):
+                ids = to_ids(t.as_py())
+                n.append(len(ids))
+                ids_sha.append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
+                text_sha.append(hashlib.sha256(to_text(ids).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
