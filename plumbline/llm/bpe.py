@@ -231,8 +231,8 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     return docs.select(rest).mapInArrow(run, schema)
 
 
-def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document, encoded and decoded in one pass."""
+def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids of each document, encoded and decoded in one pass."""
     make = _encoder(docs, tokenizer, "text", None, table_words)
     told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
 
@@ -240,12 +240,18 @@ def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> D
         codec = Codec(told.value)
         to_ids, to_text = make(codec), _decoder(codec)
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for t in batch.column(1):
-                ids = to_ids(t.as_py())
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(to_text(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                n, ids_sha, text_sha, all_ids = [], [], [], []
+                for t in part.column(1):
+                    ids = to_ids(t.as_py())
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(to_text(ids).encode()).hexdigest())
+                    all_ids.append(ids)
+                cols = [part.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else cols, names=names)
+
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return docs.select("doc_id", "text").mapInArrow(run, kind)

@@ -30,6 +30,8 @@ SPAN = 13
 #: A document is contaminated from one hit word in SHARE on.
 SHARE = 20
 BROADCAST_HASHES = 2_000_000
+#: So many keys (16 bytes) of contaminated documents at most are broadcast to take them out.
+BROADCAST_BAD = 200_000
 
 
 def gram(span: int) -> int:
@@ -168,7 +170,7 @@ def _fingerprint_rows(spans: list[int]):
 
 
 def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, spans (merged word ranges [start, end)), items (sorted strings)."""
+    """One row per document: doc_id, text_hash, n_words, n_hit, spans (merged word ranges [start, end)), items (sorted strings)."""
     from plumbline.sources.shared import stored
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_item_windows(span), "item string, n int, key string, hash long")
@@ -205,13 +207,23 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     )
     per = per.withColumn("spans", merged)
     per = per.withColumn("n_hit", F.expr("cast(aggregate(spans, 0, (a, x) -> a + x.end - x.start) as long)"))
-    return per.select(F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_"), "doc_id", "n_words", "n_hit", "spans", "items").drop("_")
+    return per.select(F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_"), "doc_id", "text_hash", "n_words", "n_hit", "spans", "items").drop("_")
 
 
 def contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (F.lit(SHARE) * F.col("n_hit") >= F.col("n_words"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated."""
+    from plumbline.sources.shared import stored
+
+    bad = match(docs, benchmark, span).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
+    bad = stored(bad, "contaminated")
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_BAD else bad
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+
+
 def op3(spark, sf_dir: str) -> DataFrame:
     got = match(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return got.select(

@@ -56,14 +56,14 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, th, fp long) of every row; th is a hash of the text that tells rows of one doc_id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py().encode() if t.is_valid else b"", shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py().encode() if t.is_valid else b"", shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, th long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -260,9 +260,21 @@ def grouped(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp, component_id of every row."""
+    """doc_id, th, fp, component_id of every row."""
     prints = stored(fingerprints(docs, shingle), "fp")
-    return prints.join(grouped(prints, limit), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(grouped(prints, limit), "fp").select("doc_id", "th", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the document with the smallest doc_id.
+
+    Only keys of 16 bytes take part in the choice; the texts are shuffled once, by key.
+    """
+    none = F.lit(-(1 << 63))  # stands for a null doc_id
+    best = near_duplicates(docs, limit, shingle).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("b"))
+    best = best.select(F.coalesce(F.col("b.doc_id"), none).alias("_id"), F.col("b.th").alias("_th"))
+    keyed = docs.withColumn("_id", F.coalesce("doc_id", none)).withColumn("_th", F.xxhash64("text"))
+    return keyed.join(best, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(docs.columns)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

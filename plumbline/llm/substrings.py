@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.llm import textarrays as ta
 from plumbline.llm.runindex import repeated_places
@@ -243,35 +244,45 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = data.tobytes()
             z += [codec.compress(raw[a:b], asbytes=True) if b > a else b"" for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
             size += np.diff(offs).tolist()
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(z, pa.binary()), pa.array(size, pa.int64())], names=["doc_id", "th", "z", "n"])
+        more = batch.schema.names[3:]
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(z, pa.binary()), pa.array(size, pa.int64()), *batch.columns[3:]], names=["doc_id", "th", "z", "n", *more])
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, z, n): texts compressed, with a hash that tells rows of one doc_id apart, and their bytes."""
-    text = F.coalesce("text", F.lit(""))
-    base = docs.select(text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("th"))
-    return base.mapInArrow(_compressed, "doc_id long, th int, z binary, n long")
+def packed_texts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, th, z, n, keep...): texts compressed, with a hash that tells rows of one doc_id apart, and their bytes."""
+    text, keep = F.coalesce("text", F.lit("")), keep or []
+    base = docs.select(text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("th"), *keep)
+    kind = T.StructType.fromDDL("doc_id long, th int, z binary, n long")
+    return base.mapInArrow(_compressed, T.StructType([*kind.fields, *docs.select(keep).schema.fields]))
 
 
-def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: list = [[] for _ in range(3)]
-        for z, n, spans in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
-            if spans.is_valid and len(spans):
-                a, b = _merged(spans.values.field(0).to_numpy(), spans.values.field(1).to_numpy())
-            else:
-                a = b = np.zeros(0, np.int64)
-            raw = _text(z, n).tobytes()
-            cut = [0, *np.stack([a, b], axis=1).ravel().tolist(), n]
-            out[0].append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
-            out[1].append(int((b - a).sum()))
-            out[2].append(b"".join([raw[x:y] for x, y in zip(cut[::2], cut[1::2])]))
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out[1], pa.int64()), pa.array(out[0], kind), pa.array(out[2], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
-
-
-def dedup(docs: DataFrame, match: int = MATCH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (removed byte ranges [start, stop), maximal), kept (binary) of each row."""
+def _finished(as_text: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list = [[] for _ in range(3)]
+            for z, n, spans in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3)):
+                if spans.is_valid and len(spans):
+                    a, b = _merged(spans.values.field(0).to_numpy(), spans.values.field(1).to_numpy())
+                else:
+                    a = b = np.zeros(0, np.int64)
+                raw = _text(z, n).tobytes()
+                cut = [0, *np.stack([a, b], axis=1).ravel().tolist(), n]
+                out[0].append([{"start": x, "stop": y} for x, y in zip(a.tolist(), b.tolist())])
+                out[1].append(int((b - a).sum()))
+                left = b"".join([raw[x:y] for x, y in zip(cut[::2], cut[1::2])])
+                out[2].append(left.decode("utf-8", "ignore") if as_text else left)
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+            cols = [batch.column(0), batch.column(2), pa.array(out[1], pa.int64()), pa.array(out[0], kind), pa.array(out[2], pa.string() if as_text else pa.binary())]
+            yield pa.RecordBatch.from_arrays([*cols, *batch.columns[4:]], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", *batch.schema.names[4:]])
+
+    return run
+
+
+def dedup(docs: DataFrame, match: int = MATCH, keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans (removed byte ranges [start, stop), maximal), kept (binary) of each row.
+
+    ``keep`` names columns of ``docs`` to return as well; ``as_text`` returns kept as a string of its whole characters.
+    """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least, most = BUCKET_BYTES
     buckets = max(1, -(-total // min(most, max(least, total // FEW_BUCKETS))))
@@ -284,8 +295,22 @@ def dedup(docs: DataFrame, match: int = MATCH) -> DataFrame:
     contexts = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "z", "n", "codes").mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
     spans = contexts.groupBy("bucket").applyInArrow(_index(match), "doc_id long, th int, start long, stop long")
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
-    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans").mapInArrow(_finished, schema)
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept " + ("string" if as_text else "binary"))
+    schema = T.StructType([*schema.fields, *docs.select(keep or []).schema.fields])
+    whole = packed_texts(docs, keep) if keep else texts
+    return whole.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *(keep or [])).mapInArrow(_finished(as_text), schema)
+
+
+def shortened(docs: DataFrame, match: int = MATCH) -> DataFrame:
+    """``docs`` (with doc_id, text and any other columns) with the repeats cut out of text; n_chars, if there, is counted anew.
+
+    A character that is cut in the middle loses its other bytes too. Rows stay, if need be with an empty text.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    got = dedup(docs, match, rest, as_text=True).withColumnRenamed("kept", "text")
+    if "n_chars" in docs.columns:
+        got = got.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return got.select([F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
