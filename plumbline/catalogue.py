@@ -6,5 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.plans import checks, dialect
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def _family(f: checks.Family) -> None:
+    QUERIES[f.name] = dialect.query(f.text("spark"))
+    SQL[f.name] = dialect.oracle(f.text("duckdb"))
+
+
+def _plan(name: str, text: str) -> None:
+    QUERIES[name] = dialect.query(text)
+    SQL[name] = dialect.oracle(text)
+
+
+for _f in checks.FAMILIES:
+    _family(_f)
+for _name, _text in checks.FIELD_CHECKS.items():
+    _plan(_name, _text)
