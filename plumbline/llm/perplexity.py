@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import textarrays as ta
-from plumbline.sources.shared import drop_stored, stored
+from plumbline.sources.shared import stored
 
 ORDER = 5
 MAX_GRAMS = 2_000_000
@@ -98,13 +98,13 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
     p is the probability of the last byte after the others; gamma is the back-off weight of g's context.
     """
-    levels = {order: counts}
+    levels = {order: stored(counts, "grams")}  # written once, so that the texts are counted once
     for n in range(order - 1, 0, -1):
         mask = (1 << 8 * n) - 1
-        levels[n] = levels[n + 1].groupBy("lang", F.col("g").bitwiseAND(F.lit(mask)).alias("g")).agg(F.count("*").alias("c"))
+        levels[n] = stored(levels[n + 1].groupBy("lang", F.col("g").bitwiseAND(F.lit(mask)).alias("g")).agg(F.count("*").alias("c")), "grams")
     below, out = None, None
     for n in range(1, order + 1):
-        t = stored(levels[n], f"grams{n}")
+        t = levels[n]
         of = t.groupBy("lang").agg(*[F.sum(F.when(F.col("c") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
         y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
 
