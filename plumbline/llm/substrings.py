@@ -21,6 +21,7 @@ source nor shortened; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,11 @@ GRAM = 16
 #: Text of a bucket: it starts small and grows with the corpus, so that buckets stay few, up to a bound.
 BUCKET_BYTES = (12 << 20, 256 << 20)
 FEW_BUCKETS = 4096
-#: Strings that an index takes at once, in bytes: a larger bucket is cut by anchor.
-INDEX_BYTES = 24 << 20
+#: Text whose anchors are settled and packed together in a task.
+BATCH_BYTES = 16 << 20
+#: Strings that an index takes at once, in bytes (it needs about 120 times that while it is built): a larger bucket is
+#: cut by anchor, and the contexts of an anchor that alone are larger by the hash of each string of ``match`` bytes.
+INDEX_BYTES = 2 << 20
 
 
 def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,29 +110,32 @@ def _anchor_rows(buckets: int, match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, th = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            for lo0 in range(0, batch.num_rows, 1 << 14):
-                part, got = batch.slice(lo0, 1 << 14), []
-                for lo, _hi, data, offs in ta.pieces(part, "text"):
-                    pos, r, h, c = anchors(data, offs, match)
-                    got.append((lo0 + lo + r, h, c, pos))
-                if not got:
+            got, size = [], 0
+            for lo, hi, data, offs in ta.pieces(batch, "text"):
+                pos, r, h, c = anchors(data, offs, match)
+                got.append((lo + r, h, c, pos))
+                size += len(data)
+                if size < BATCH_BYTES and hi < batch.num_rows:
                     continue
-                r, h, c, pos = (np.concatenate(x) for x in zip(*got))
-                done = _smaller_twin(h, c, ids[r])
-                out: list = [[], [], []]
-                for some, settled in ((np.flatnonzero(done), True), (np.flatnonzero(~done), False)):
-                    if not len(some):
-                        continue
-                    # settled anchors need no meeting, so they are dealt by document
-                    b = (ids[r[some]] % buckets if settled else (h[some] % ta.U64(buckets)).astype(np.int64)).astype(np.int64)
-                    some, b = some[np.argsort(b, kind="stable")], np.sort(b)
-                    cuts = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
-                    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                        x = some[i:j]
-                        x = x[np.argsort(h[x])]
-                        for col, v in zip(out, (int(b[i]), settled, _pack(ids[r[x]], th[r[x]], h[x], c[x], pos[x]))):
-                            col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.binary())], names=["bucket", "settled", "body"])
+                yield packed(ids, th, *(np.concatenate(x) for x in zip(*got)))
+                got, size = [], 0
+
+    def packed(ids, th, r, h, c, pos) -> pa.RecordBatch:
+        done = _smaller_twin(h, c, ids[r])
+        out: list = [[], [], []]
+        for some, settled in ((np.flatnonzero(done), True), (np.flatnonzero(~done), False)):
+            if not len(some):
+                continue
+            # settled anchors need no meeting, so they are dealt by document
+            b = (ids[r[some]] % buckets if settled else (h[some] % ta.U64(buckets)).astype(np.int64)).astype(np.int64)
+            some, b = some[np.argsort(b, kind="stable")], np.sort(b)
+            cuts = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                x = some[i:j]
+                x = x[np.argsort(h[x])]
+                for col, v in zip(out, (int(b[i]), settled, _pack(ids[r[x]], th[r[x]], h[x], c[x], pos[x]))):
+                    col.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.binary())], names=["bucket", "settled", "body"])
 
     return run
 
@@ -206,6 +213,30 @@ def _context_rows(buckets: int, match: int):
     return run
 
 
+def _places(strings: list[bytes], owner: np.ndarray, anchor: np.ndarray, match: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(string, offset) of repeated places, by run-length indexes of at most about INDEX_BYTES each."""
+    size = np.array([len(x) for x in strings])
+    by = np.argsort(anchor, kind="stable")  # equal anchors stay together
+    new = np.append(True, anchor[by][1:] != anchor[by][:-1])
+    group = np.cumsum(new) - 1
+    total = np.bincount(group, size[by])
+    lot = np.cumsum(total) // INDEX_BYTES
+    for x in np.unique(lot):
+        own = by[lot[group] == x]
+        if size[own].sum() <= 2 * INDEX_BYTES or not size[own].any():
+            i, t = repeated_places([strings[j] for j in own], owner[own], match)
+            yield own[i], t
+            continue
+        # one anchor with very many contexts: equal strings of ``match`` bytes meet by their hash instead
+        at = [(j, t) for j in own.tolist() for t in range(len(strings[j]) - match + 1)]
+        parts = -(-len(at) * match // INDEX_BYTES)
+        part = np.array([zlib.crc32(strings[j][t : t + match]) % parts for j, t in at])
+        for k in range(parts):
+            some = [at[m] for m in np.flatnonzero(part == k).tolist()]
+            i, _ = repeated_places([strings[j][t : t + match] for j, t in some], np.array([owner[j] for j, _ in some], np.int64), match)
+            yield np.array([some[m][0] for m in i.tolist()], np.int64), np.array([some[m][1] for m in i.tolist()], np.int64)
+
+
 def _index(match: int):
     """Ranges (doc_id, th, start, stop) that repeat, from the contexts of a bucket."""
 
@@ -219,17 +250,13 @@ def _index(match: int):
         rest = np.flatnonzero(~null)
         if len(rest):
             strings = body.take(pa.array(rest)).to_pylist()
-            parts = -(-sum(map(len, strings)) // INDEX_BYTES)
-            for i in range(parts):
-                own = np.flatnonzero(stop[rest] % parts == i)  # equal anchors stay together
-                s, t = repeated_places([strings[j] for j in own], doc[rest[own]], match)
-                if not len(s):
-                    continue
-                order = np.lexsort((t, s))
-                s, t = s[order], t[order]
-                new = np.append(True, (s[1:] != s[:-1]) | (t[1:] > t[:-1] + match))
-                j = rest[own[s[new]]]
-                got.append((doc[j], th[j], start[j] + t[new], start[j] + t[np.append(new[1:], True)] + match))
+            for i, t in _places(strings, doc[rest], stop[rest], match):
+                if len(i):
+                    order = np.lexsort((t, i))
+                    i, t = i[order], t[order]
+                    new = np.append(True, (i[1:] != i[:-1]) | (t[1:] > t[:-1] + match))
+                    j = rest[i[new]]
+                    got.append((doc[j], th[j], start[j] + t[new], start[j] + t[np.append(new[1:], True)] + match))
         doc, th, a, b = (np.concatenate(x) for x in zip(*got))
         return pa.table({"doc_id": pa.array(doc, pa.int64()), "th": pa.array(th, pa.int32()), "start": pa.array(a, pa.int64()), "stop": pa.array(b, pa.int64())})
 

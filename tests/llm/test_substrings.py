@@ -52,12 +52,12 @@ def rows_of(seed):
     return rows
 
 
-@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("small", [0, 500, 60])
 def test_brute_force(spark, monkeypatch, small):
     if small:
         monkeypatch.setattr(substrings, "BUCKET_BYTES", (4000, 4000))
-        monkeypatch.setattr(substrings, "INDEX_BYTES", 500)
-    rows = rows_of(3 + small)
+        monkeypatch.setattr(substrings, "INDEX_BYTES", small)
+    rows = rows_of(3 + bool(small))
     assert run(spark, rows) == brute(rows)
 
 
