@@ -192,6 +192,8 @@ def _context_rows(buckets: int, match: int):
         for batch in batches:
             out: list = [[] for _ in range(6)]
             for doc, th, z, n, codes in zip(batch.column(0), batch.column(1), batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
+                if not codes.is_valid:
+                    continue
                 code = np.asarray(codes.values, np.int64)
                 doc, th = doc.as_py(), th.as_py()
                 full, border = code[code & 1 == 0] >> 1, np.unique(code[code & 1 == 1] >> 1)
@@ -318,14 +320,15 @@ def dedup(docs: DataFrame, match: int = MATCH, keep: list[str] | None = None, as
     packed = known.mapInArrow(_anchor_rows(buckets, match), "bucket long, settled boolean, body binary")
     shared = packed.groupBy("bucket").applyInArrow(_settle, "doc_id long, th int, code long")
     shared = shared.groupBy("doc_id", "th").agg(F.collect_list("code").alias("codes"))
-    texts = packed_texts(docs)
-    contexts = texts.join(shared, ["doc_id", "th"]).select("doc_id", "th", "z", "n", "codes").mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
+    keep = keep or []
+    texts = packed_texts(docs, keep)
+    # outer, so that both joins with the texts read one shuffle of them
+    contexts = texts.join(shared, ["doc_id", "th"], "left").select("doc_id", "th", "z", "n", "codes", *keep).mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
     spans = contexts.groupBy("bucket").applyInArrow(_index(match), "doc_id long, th int, start long, stop long")
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept " + ("string" if as_text else "binary"))
-    schema = T.StructType([*schema.fields, *docs.select(keep or []).schema.fields])
-    whole = packed_texts(docs, keep) if keep else texts
-    return whole.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *(keep or [])).mapInArrow(_finished(as_text), schema)
+    schema = T.StructType([*schema.fields, *docs.select(keep).schema.fields])
+    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *keep).mapInArrow(_finished(as_text), schema)
 
 
 def shortened(docs: DataFrame, match: int = MATCH) -> DataFrame:
