@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.plans import checks, dialect
+from plumbline.plans import checks, dialect, repairs, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +26,5 @@ for _f in checks.FAMILIES:
     _family(_f)
 for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
+for _name, _text in (repairs.PLANS | windows.PLANS).items():
+    _plan(_name, _text)
