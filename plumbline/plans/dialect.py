@@ -18,7 +18,7 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "WEEKDAY": lambda d: f"weekday({d})",
         "KURT": lambda x: f"kurtosis({x})",
         "SKEW": lambda x: f"skewness({x})",
-        "MICROS": lambda t: f"unix_micros({t})",
+        "MICROS": lambda t: f"unix_micros(cast({t} as timestamp))",
         "ADDDAYS": lambda d, n: f"date_add({d}, cast({n} as int))",
         "ADDMONTHS": lambda d, n: f"add_months({d}, cast({n} as int))",
         "DAYSEQ": lambda a, b: f"explode(sequence({a}, {b}, interval 1 day))",
@@ -42,7 +42,7 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "MICROS": lambda t: f"epoch_us({t})",
         "ADDDAYS": lambda d, n: f"({d} + cast({n} as int))",
         "ADDMONTHS": lambda d, n: f"cast({d} + to_months(cast({n} as int)) as date)",
-        "DAYSEQ": lambda a, b: f"unnest(generate_series(cast({a} as timestamp), cast({b} as timestamp), interval 1 day))",
+        "DAYSEQ": lambda a, b: f"cast(unnest(generate_series(cast({a} as timestamp), cast({b} as timestamp), interval 1 day)) as date)",
         "INTSEQ": lambda a, b: f"unnest(generate_series({a}, {b}))",
         "ARGMIN": lambda x, *k: f"arg_min({x}, row({', '.join(k)}))",
         "ARGMAX": lambda x, *k: f"arg_max({x}, row({', '.join(k)}))",
