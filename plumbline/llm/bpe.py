@@ -17,6 +17,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -86,12 +87,17 @@ class Codec:
         return pa.array(out, pa.binary())
 
 
+@lru_cache(maxsize=1)
+def _codec(spec: str) -> Codec:
+    """One codec for all tasks of a worker process."""
+    return Codec(spec)
+
+
 class _Words(dict):
     """Ids of words, as bytes of int32; a missing word is encoded once and kept, up to a bound."""
 
-    def __init__(self, codec: Codec, table: dict):
-        super().__init__(table)
-        self.codec, self.most = codec, len(table) + TASK_WORDS
+    codec: Codec
+    most = 0
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.codec.encode([word])[0], np.int32).tobytes()
@@ -110,7 +116,7 @@ def word_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
     told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, seen = Codec(told.value), set()
+        codec, seen = _codec(told.value), set()
         for batch in batches:
             for t in batch.column(0):
                 seen.update(codec.words(t.as_py() or ""))
@@ -120,7 +126,7 @@ def word_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string())})
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(told.value)
+        codec = _codec(told.value)
         for batch in batches:
             ids = codec.encode(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
@@ -156,12 +162,13 @@ def _encoder(docs: DataFrame, tokenizer: str, text: str, table: DataFrame | None
     spark = docs.sparkSession
     own = table is None
     table = stored(word_table(docs, tokenizer, text), "words") if own else table
-    shared = spark.sparkContext.broadcast(_shared_words(table, table_words))
+    shared = spark.sparkContext.broadcast(_Words(_shared_words(table, table_words)))
     if own:
         drop_stored(table)
 
     def make(codec: Codec):
-        known = _Words(codec, shared.value)
+        known = shared.value  # a process has a copy of its own, which later tasks find with the words of earlier ones
+        known.codec, known.most = codec, known.most or len(known) + TASK_WORDS
         return lambda t: np.frombuffer(b"".join([known[w] for w in codec.words(t or "")]), np.int32)
 
     return make
@@ -192,7 +199,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     at = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = make(Codec(told.value))
+        to_ids = make(_codec(told.value))
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
@@ -216,7 +223,7 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(told.value)
+        codec = _codec(told.value)
         to_text, most = _decoder(codec), max(codec.vocab.values())
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
@@ -237,7 +244,7 @@ def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS, with
     told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(told.value)
+        codec = _codec(told.value)
         to_ids, to_text = make(codec), _decoder(codec)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
