@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import textarrays as ta
@@ -210,7 +210,7 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     return per.select(F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_"), "doc_id", "text_hash", "n_words", "n_hit", "spans", "items").drop("_")
 
 
-def contaminated() -> F.Column:
+def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (F.lit(SHARE) * F.col("n_hit") >= F.col("n_words"))
 
 

@@ -115,7 +115,7 @@ def capped_returns(bars, limit: float = 0.20, by=("symbol", "exchange", "source"
     rows = rows.withColumn("_run", F.sum(F.when(F.col("_breach"), 0).otherwise(1)).over(back))
     step = F.when(F.col("_breach"), F.log(F.lit(1.0) + F.signum("_ret") * limit)).otherwise(0.0)
     run = W.partitionBy(*by, "_run").orderBy("d")
-    anchor = F.first("close", ignorenulls=True).over(run.rowsBetween(W.unboundedPreceding, 0))
+    anchor = F.first("_pad").over(run)
     start = F.when(F.first("_breach").over(run), F.first("_prev").over(run)).otherwise(anchor)
     cut = F.round(start * F.exp(F.sum(step).over(run.rowsBetween(W.unboundedPreceding, 0))), 2)
     out = rows.withColumn("_cut", cut).withColumn("close", F.when(F.col("_breach"), F.col("_cut")).otherwise(F.col("close")))
