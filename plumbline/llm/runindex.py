@@ -14,6 +14,21 @@ import numpy as np
 from plumbline.llm import textarrays as ta
 
 
+def _ranked(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the order of their keys, equal ones by place; rank of each place, equal for equal keys)."""
+    n = len(key)
+    low = max(n - 1, 1).bit_length()
+    if bits + low <= 63:  # a place fits beside its key, and sorting values is much faster than sorting places
+        both = np.sort(key << low | np.arange(n))
+        order, key = both & ((1 << low) - 1), both >> low
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1])[:n])
+    return order, rank
+
+
 class RunIndex:
     """``text``: symbols 1..256 with a 0 after each string; ``owner``: ascending owner of each string."""
 
@@ -54,31 +69,28 @@ class RunIndex:
 
     def _sorted(self, text, string, left, longest):
         """(suffixes in order, a rank equal for suffixes with the same first ``match`` symbols), by doubling."""
-        n, width = len(text), min(7, self.match)
+        n, width = len(text), min(4, self.match)
         pad = np.concatenate([text, np.zeros(width, text.dtype)]).astype(np.int64)
         key = np.zeros(n, np.int64)
-        live = np.ones(n, bool)
         for k in range(width):  # nothing beyond the string's end counts
-            live &= left > k - 1
-            key = key * 257 + np.where(live, pad[k : n + k], 0)
-        rank = np.unique(key, return_inverse=True)[1]
+            key = key * 257 + np.where(left > k, pad[k : n + k], 0)
+        order, rank = _ranked(key, 36)
         shallow = rank if width == self.match else None
         while width < longest + 1:
             nxt = min(width * 2, longest + 1)
             if width < self.match <= nxt and shallow is None:
-                shallow = self._join(rank, self.match - width, left)
-            rank = self._join(rank, nxt - width, left)
+                shallow = self._join(rank, self.match - width, left)[1]
+            order, rank = self._join(rank, nxt - width, left)
             width = nxt
-        if shallow is None:
-            shallow = rank
-        return np.lexsort((string, rank)), shallow
+        return order, rank if shallow is None else shallow
 
     @staticmethod
-    def _join(rank: np.ndarray, ahead: int, left: np.ndarray) -> np.ndarray:
+    def _join(rank: np.ndarray, ahead: int, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         after = np.zeros(len(rank), np.int64)
         after[: len(rank) - ahead] = rank[ahead:] + 1
         after[left < ahead] = 0
-        return np.unique(rank * (int(rank.max(initial=0)) + 2) + after, return_inverse=True)[1]
+        most = int(rank.max(initial=0)) + 2
+        return _ranked(rank * most + after, 2 * most.bit_length())
 
     def _shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Symbols that the texts at a and b share, at most ``most``; by bisection over span hashes."""

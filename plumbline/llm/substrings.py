@@ -40,9 +40,9 @@ BUCKET_BYTES = (12 << 20, 256 << 20)
 FEW_BUCKETS = 4096
 #: Text whose anchors are settled and packed together in a task.
 BATCH_BYTES = 16 << 20
-#: Strings that an index takes at once, in bytes (it needs about 120 times that while it is built): a larger bucket is
+#: Strings that an index takes at once, in bytes (it needs some 200 times that while it is built): a larger bucket is
 #: cut by anchor, and the contexts of an anchor that alone are larger by the hash of each string of ``match`` bytes.
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 450_000
 
 
 def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -184,7 +184,7 @@ def _text(z, size: int) -> np.ndarray:
 
 
 def _context_rows(buckets: int, match: int):
-    """(bucket, doc_id, th, start, stop, body): contexts to compare, with stop a hash of the anchor; body null: a settled range."""
+    """(bucket, doc_id, th, start, stop, body): contexts to compare, with stop a hash of the anchor and its place in the context; body null: a settled range."""
     gram = min(GRAM, match)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,11 +203,11 @@ def _context_rows(buckets: int, match: int):
                 if len(border):
                     data = _text(z, n)
                     view = np.lib.stride_tricks.sliding_window_view(data, gram)[border].astype(ta.U64) + ta.U64(1)
-                    h = ta.mix((view * up[:gram]).sum(axis=1)) >> ta.U64(16)
+                    h = ta.mix((view * up[:gram]).sum(axis=1)) >> ta.U64(20)
                     raw = data.tobytes()
                     for p, x in zip(border.tolist(), h.tolist()):
                         a = max(p - (match - gram), 0)
-                        for col, v in zip(out, (x % buckets, doc, th, a, x // buckets, raw[a : p + match])):
+                        for col, v in zip(out, (x % buckets, doc, th, a, x // buckets << 16 | p - a, raw[a : p + match])):
                             col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=["bucket", "doc_id", "th", "start", "stop", "body"])
@@ -215,6 +215,27 @@ def _context_rows(buckets: int, match: int):
     return run
 
 
+def _promising(strings: list[bytes], where: np.ndarray, match: int) -> np.ndarray:
+    """The contexts that share their anchor with half of a string's other bytes, on the left or on the right.
+
+    A string of ``match`` bytes around an anchor reaches at least so far on one side, so the others have no equal.
+    """
+    gram = min(GRAM, match)
+    half = (match - gram + 1) // 2
+    place = (where & 0xFFFF).tolist()
+    keep = np.zeros(len(strings), bool)
+    for side in (0, 1):
+        key = np.zeros(len(strings), np.int64)
+        for i, (s, p) in enumerate(zip(strings, place)):
+            if side and len(s) >= p + gram + half:
+                key[i] = hash(s[p : p + gram + half])
+            elif not side and p >= half:
+                key[i] = hash(s[p - half : p + gram])
+        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        keep |= (count[inverse] > 1) & (key != 0)
+    return np.flatnonzero(keep)
+
+
 def _places(strings: list[bytes], owner: np.ndarray, anchor: np.ndarray, match: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(string, offset) of repeated places, by run-length indexes of at most about INDEX_BYTES each."""
     size = np.array([len(x) for x in strings])
@@ -252,7 +273,9 @@ def _index(match: int):
         rest = np.flatnonzero(~null)
         if len(rest):
             strings = body.take(pa.array(rest)).to_pylist()
-            for i, t in _places(strings, doc[rest], stop[rest], match):
+            some = _promising(strings, stop[rest], match)
+            rest, strings = rest[some], [strings[i] for i in some.tolist()]
+            for i, t in _places(strings, doc[rest], stop[rest] >> 16, match) if len(rest) else ():
                 if len(i):
                     order = np.lexsort((t, i))
                     i, t = i[order], t[order]
