@@ -76,7 +76,7 @@ def test_capped_returns_follow_the_capped_close(spark):
 
 
 def test_operators(spark):
-    df = spark.sql("select 'a' k, date'2024-01-01' + id d, cast(id div 3 as double) v from range(10) where id <> 3")
+    df = spark.sql("select 'a' k, date_add(date'2024-01-01', cast(id as int)) d, cast(id div 3 as double) v from range(10) where id <> 3")
     assert [str(r.d) for r in ops.missing_weekdays(df, ["k"]).collect()] == ["2024-01-04"]
     assert sorted(r.length for r in ops.runs(df, ["k"], "v").collect()) == [1, 2, 3, 3]
     left, right = spark.sql("select 'a' k, explode(array(1, 5, 9)) t"), spark.sql("select 'a' k, explode(array(2, 5)) t").withColumn("x", F.col("t") * 10)
