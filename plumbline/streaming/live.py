@@ -15,16 +15,20 @@ WATERMARK = "5 minutes"
 HALT = "300 seconds"
 
 
+def watermarked(ticks: DataFrame) -> DataFrame:
+    """The stream with the watermark that the plans below need; a stream has one only."""
+    return ticks.withWatermark("ts", WATERMARK)
+
+
 def deduplicated(ticks: DataFrame) -> DataFrame:
-    """Each event once; state is kept for the watermark only."""
-    return ticks.withWatermark("ts", WATERMARK).dropDuplicatesWithinWatermark(["symbol", "source", "event_id"])
+    """Each event of a watermarked stream once; state is kept for the watermark only."""
+    return ticks.dropDuplicatesWithinWatermark(["symbol", "source", "event_id"])
 
 
 def minute_bars(ticks: DataFrame) -> DataFrame:
     """Tumbling one-minute bars, emitted when the watermark passes their end."""
     return (
-        ticks.withWatermark("ts", WATERMARK)
-        .groupBy(F.window("ts", "1 minute"), "symbol", "source")
+        ticks.groupBy(F.window("ts", "1 minute"), "symbol", "source")
         .agg(F.min_by("close", "ts").alias("open"), F.max("close").alias("high"), F.min("close").alias("low"), F.max_by("close", "ts").alias("close"), F.count("*").alias("ticks"), F.sum(outside_session().cast("long")).alias("outside"))
         .select("symbol", "source", F.col("window.start").alias("ts"), "open", "high", "low", "close", "ticks", "outside")
     )
@@ -32,13 +36,13 @@ def minute_bars(ticks: DataFrame) -> DataFrame:
 
 def sessions(ticks: DataFrame) -> DataFrame:
     """Spans of ticks without a gap of HALT; more than one a day is a halt."""
-    return ticks.withWatermark("ts", WATERMARK).groupBy(F.session_window("ts", HALT), "symbol", "source").agg(F.count("*").alias("ticks")).select("symbol", "source", F.col("session_window.start").alias("first"), F.col("session_window.end").alias("closed"), "ticks")
+    return ticks.groupBy(F.session_window("ts", HALT), "symbol", "source").agg(F.count("*").alias("ticks")).select("symbol", "source", F.col("session_window.start").alias("first"), F.col("session_window.end").alias("closed"), "ticks")
 
 
 def feed_agreement(one: DataFrame, two: DataFrame, tolerance: float = 0.003) -> DataFrame:
     """Stream-stream join of two feeds' bars by symbol and minute; rows that differ by more than ``tolerance``."""
-    a = one.withWatermark("ts", WATERMARK).select("symbol", "ts", F.col("close").alias("a"))
-    b = two.withWatermark("ts", WATERMARK).select(F.col("symbol").alias("_symbol"), F.col("ts").alias("_ts"), F.col("close").alias("b"))
+    a = one.select("symbol", "ts", F.col("close").alias("a"))
+    b = two.select(F.col("symbol").alias("_symbol"), F.col("ts").alias("_ts"), F.col("close").alias("b"))
     near = (F.col("symbol") == F.col("_symbol")) & (F.col("_ts") == F.col("ts"))
     return a.join(b, near).where((F.col("b") != 0) & (F.abs(F.col("a") / F.col("b") - 1) > tolerance)).select("symbol", "ts", "a", "b")
 

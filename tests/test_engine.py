@@ -86,7 +86,7 @@ def test_operators(spark):
 def test_streams(spark, tmp_path):
     ticks = spark.sql("select 'E' symbol, if(id % 2 = 0, 'a', 'b') source, id event_id, timestamp'2024-01-01 09:20:00' + make_interval(0,0,0,0,0,0,id * 20) ts, double(100 + id) close from range(60)")
     ticks.unionByName(ticks.limit(5)).coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(ticks.schema).parquet(str(tmp_path / "in"))
+    stream = live.watermarked(spark.readStream.schema(ticks.schema).parquet(str(tmp_path / "in")))
     for name, df, mode in (("bars", live.minute_bars(live.deduplicated(stream)), "append"), ("sess", live.sessions(stream), "append")):
         q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).start()
         q.processAllAvailable()
