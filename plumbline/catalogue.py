@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.plans import checks, dialect, market, repairs, windows
+from plumbline.plans import checks, dialect, market, more, repairs, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,11 +22,11 @@ def _plan(name: str, text: str) -> None:
     SQL[name] = dialect.oracle(text)
 
 
-for _f in (*checks.FAMILIES, *market.FAMILIES):
+for _f in (*checks.FAMILIES, *market.FAMILIES, *more.FAMILIES):
     _family(_f)
 for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
-for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS).items():
+for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS | more.PLANS).items():
     _plan(_name, _text)
 for _name, _text in market.SCORECARDS.items():
     QUERIES[_name] = dialect.query(f"WITH {market.results('spark')} {_text}")
