@@ -110,15 +110,15 @@ def _anchor_rows(buckets: int, match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, th = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            got, size = [], 0
-            for lo, hi, data, offs in ta.pieces(batch, "text"):
+            got, size, first = [], 0, 0
+            for lo, hi, data, offs in ta.pieces(batch, "text", rows=1 << 14):
                 pos, r, h, c = anchors(data, offs, match)
                 got.append((lo + r, h, c, pos))
                 size += len(data)
-                if size < BATCH_BYTES and hi < batch.num_rows:
-                    continue
+                if size < BATCH_BYTES and hi < batch.num_rows and hi - first < 1 << 15:
+                    continue  # a document's place among those of a packed body takes 16 bits
                 yield packed(ids, th, *(np.concatenate(x) for x in zip(*got)))
-                got, size = [], 0
+                got, size, first = [], 0, hi
 
     def packed(ids, th, r, h, c, pos) -> pa.RecordBatch:
         done = _smaller_twin(h, c, ids[r])

@@ -30,8 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, row offsets) of runs of rows of about ``limit`` bytes of UTF-8.
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, row offsets) of runs of rows of about ``limit`` bytes of UTF-8, ``rows`` at most.
 
     A null is an empty text. A row is never cut, so a piece is at most ``limit`` plus one row.
     """
@@ -50,7 +50,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, n, lo + rows)
         yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
 
