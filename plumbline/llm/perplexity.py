@@ -4,8 +4,9 @@ A modified Kneser-Ney model of byte n-grams (order ``ORDER``) for each language
 texts: tasks pre-aggregate, one shuffle sums. Continuation counts, discounts (D1, D2, D3+ of each language and
 order), contexts and interpolated probabilities are joins and groupings of those tables, whose size is that of the
 distinct n-grams, not of the corpus. The result is stored in sorted arrays of 64-bit hashes, which tasks search; an
-n-gram that isn't stored backs off. At most ``MAX_GRAMS`` n-grams of each order travel to the tasks: if there are
-more, the rarest are left to back-off, all of a count alike, and their language's statistics still include them.
+n-gram that isn't stored backs off. No n-gram is pruned: a model of up to ``MAX_GRAMS`` n-grams travels whole to every
+task; a larger one is joined with the distinct n-grams of each lot of ``LOT_ROWS`` rows, and a lot's texts meet the
+sorted arrays of that lot's n-grams. Both ways give the same scores.
 
 A text's perplexity is exp of minus the mean log probability of its bytes (A-Z lower-cased, white space as blanks).
 Each language gets a lower and an upper band, median -/+ ``WIDTH`` times the median absolute deviation of the log
@@ -29,7 +30,9 @@ from plumbline.llm import textarrays as ta
 from plumbline.sources.shared import stored
 
 ORDER = 5
-MAX_GRAMS = 2_000_000
+#: Bound of the n-grams of all orders that are broadcast (some 24 bytes each), and rows of a lot beyond it.
+MAX_GRAMS = 4_000_000
+LOT_ROWS = 4_096
 #: Band width in median absolute deviations, and the least width in natural-log perplexity.
 WIDTH = 8.0
 MIN_WIDTH = 0.25
@@ -169,26 +172,29 @@ def lang_hash(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
 
 
-def sorted_arrays(model: DataFrame, order: int = ORDER, most: int = MAX_GRAMS) -> Arrays:
-    """The model's n-grams as arrays; of each order at most ``most``, from the least count that fits."""
+def _codes(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(language hashes, n-grams) of a table with lang and g."""
+    if not len(table):
+        return np.zeros(0, ta.U64), np.zeros(0, np.int64)
+    names = table["lang"].combine_chunks().dictionary_encode()
+    names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+    codes = np.array([lang_hash(x) for x in names.dictionary.to_pylist()], ta.U64)[names.indices.to_numpy()]
+    return codes, table["g"].to_numpy()
+
+
+def _lookup(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    k, i = np.unique(key, return_index=True)
+    return k, np.log(value[i]).astype(np.float32)
+
+
+def sorted_arrays(model: DataFrame, order: int = ORDER) -> Arrays:
+    """The whole model as arrays."""
     out = Arrays(order)
-    sizes: dict[int, list] = {n: [] for n in range(1, order + 1)}
-    for r in model.groupBy("n", F.least("c", F.lit(10_000)).alias("c")).count().collect():
-        sizes[r.n].append((r.c, r["count"]))
     for n in range(1, order + 1):
-        least, total = 1, 0
-        for c, k in sorted(sizes[n], reverse=True):
-            total += k
-            if total > most:
-                least = c + 1
-                break
-        got = model.where((F.col("n") == n) & (F.col("c") >= least)).select("lang", "g", "p", "gamma").toArrow().combine_chunks()
-        names = got["lang"].combine_chunks().dictionary_encode() if len(got) else None
-        codes = np.array([lang_hash(x) for x in names.dictionary.to_pylist()], ta.U64)[names.indices.to_numpy()] if names is not None else np.zeros(0, ta.U64)
-        g = got["g"].to_numpy()
-        for table, key, value in ((out.gram, Arrays.key(codes, g), np.log(got["p"].to_numpy())), (out.context, Arrays.key(codes, g >> 8), np.log(got["gamma"].to_numpy()))):
-            k, i = np.unique(key, return_index=True)
-            table[n] = (k, value[i].astype(np.float32))
+        got = model.where(F.col("n") == n).select("lang", "g", "p", "gamma").toArrow().combine_chunks()
+        codes, g = _codes(got)
+        out.gram[n] = _lookup(Arrays.key(codes, g), got["p"].to_numpy())
+        out.context[n] = _lookup(Arrays.key(codes, g >> 8), got["gamma"].to_numpy())
     return out
 
 
@@ -229,31 +235,72 @@ def measures(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return [n.astype(np.int64), chars, symbols.astype(np.int64), lines, repeats]
 
 
-def judge(docs: DataFrame, width: float = WIDTH, order: int = ORDER) -> DataFrame:
-    """doc_id, lang, the base measures, base_failed, log_perplexity, low, high, kept of every row of ``docs``."""
-    spark = docs.sparkSession
-    arrays = sorted_arrays(kneser_ney(count_grams(docs, order), order), order)
-    told = spark.sparkContext.broadcast(arrays)
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _scored(batch: pa.RecordBatch, log_p, order: int) -> pa.RecordBatch:
+    """doc_id, lang, the measures and the log perplexity of a batch with text, doc_id and lang."""
+    langs = batch.column(2).to_pylist()
+    code = {x: lang_hash(x) for x in set(langs)}
+    got: list[list] = [[] for _ in range(6)]
+    for lo, hi, data, offs in ta.pieces(batch, "text"):
+        size = np.diff(offs)
+        lang = np.repeat(np.array([code[x] for x in langs[lo:hi]], ta.U64), size)
+        total = np.bincount(np.repeat(np.arange(hi - lo), size), log_p(lang, grams(data, offs, order)), hi - lo)
+        for x, y in zip(got, [*measures(data, offs), np.where(size > 0, -total / np.maximum(size, 1), np.nan)]):
+            x.append(y)
+    cols = [np.concatenate(x) if x else np.zeros(0) for x in got]
+    arr = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5], from_pandas=True)]
+    return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *arr], names=["doc_id", "lang", *NAMES, "log_perplexity"])
+
+
+def score_with_arrays(docs: DataFrame, arrays: Arrays, schema: str) -> DataFrame:
+    """Scores by a model that every task holds whole."""
+    told = docs.sparkSession.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(2).to_pylist()
-            code = {x: lang_hash(x) for x in set(langs)}
-            got: list[list] = [[] for _ in range(6)]
+            yield _scored(batch, told.value.log_p, told.value.order)
+
+    return docs.mapInArrow(run, schema)
+
+
+def score_by_lots(docs: DataFrame, model: DataFrame, order: int, schema: str) -> DataFrame:
+    """Scores by a model of any size that was counted over ``docs``, so that each of their n-grams is in it.
+
+    Rows are stored with their lot, so lots are the same whenever a task is run again.
+    """
+    lots = stored(docs.withColumn("lot", F.floor(F.monotonically_increasing_id() / LOT_ROWS)), "lots")
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, lot = batch.column(2).to_pylist(), batch.column(3).to_numpy()
             for lo, hi, data, offs in ta.pieces(batch, "text"):
-                size = np.diff(offs)
-                lang = np.repeat(np.array([code[x] for x in langs[lo:hi]], ta.U64), size)
-                logs = told.value.log_p(lang, grams(data, offs, order))
-                total = np.bincount(np.repeat(np.arange(hi - lo), size), logs, hi - lo)
-                for x, y in zip(got, [*measures(data, offs), np.where(size > 0, -total / np.maximum(size, 1), np.nan)]):
-                    x.append(y)
-            cols = [np.concatenate(x) if x else np.zeros(0) for x in got]
-            arr = [pa.array(x.astype(np.int64)) for x in cols[:5]] + [pa.array(cols[5], from_pandas=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *arr], names=["doc_id", "lang", *names, "log_perplexity"])
-
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, lang string, " + ", ".join(f"{x} long" for x in names) + ", log_perplexity double"
-    scored = stored(docs.select("text", "doc_id", F.coalesce("lang", F.lit("")).alias("lang")).mapInArrow(run, schema), "scored")
+                found = grams(data, offs, order)
+                for i, x in {(int(lot[r]), langs[r]) for r in range(lo, hi)}:
+                    own = np.array([lot[r] == i and langs[r] == x for r in range(lo, hi)])
+                    g = np.unique(found[np.repeat(own, np.diff(offs))])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), i)), pa.array([x] * len(g), pa.string()), pa.array(g)], names=["lot", "lang", "g"])
+
+    def score(texts: pa.Table, slice_: pa.Table) -> pa.Table:
+        codes, g = _codes(slice_)
+        table = _lookup(Arrays.key(codes, g), slice_["p"].to_numpy())
+        batches = texts.select(["text", "doc_id", "lang"]).to_batches()
+        kind = pa.schema([texts.schema.field("doc_id"), ("lang", pa.string()), *[(x, pa.int64()) for x in NAMES], ("log_perplexity", pa.float64())])
+        return pa.Table.from_batches([_scored(x, lambda lang, g: Arrays.find(table, Arrays.key(lang, g))[1], order) for x in batches], kind)
+
+    asked = lots.mapInArrow(wanted, "lot long, lang string, g long").distinct()
+    told = asked.join(model.where(F.col("n") == order).select("lang", "g", "p"), ["lang", "g"])
+    return lots.groupBy("lot").cogroup(told.groupBy("lot")).applyInArrow(score, schema)
+
+
+def judge(docs: DataFrame, width: float = WIDTH, order: int = ORDER, most: int = MAX_GRAMS) -> DataFrame:
+    """doc_id, lang, the base measures, base_failed, log_perplexity, low, high, kept of every row of ``docs``."""
+    model = kneser_ney(count_grams(docs, order), order)
+    texts = docs.select("text", "doc_id", F.coalesce("lang", F.lit("")).alias("lang"))
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, lang string, " + ", ".join(f"{x} long" for x in NAMES) + ", log_perplexity double"
+    whole = model.count() <= most
+    scored = stored(score_with_arrays(texts, sorted_arrays(model, order), schema) if whole else score_by_lots(texts, model, order, schema), "scored")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
     return scored.join(F.broadcast(bands(scored.where("NOT base_failed"), width)), "lang", "left").withColumn(

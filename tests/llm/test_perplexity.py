@@ -75,6 +75,16 @@ def test_against_brute_force(spark, sf):
     assert got[903].base_failed and got[904].log_perplexity is None and not got[904].kept
 
 
+def test_a_model_too_large_to_broadcast_gives_the_same_scores(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame([(900, None, None), (901, "", "zz"), (902, "é é", "en"), (902, "é é", "en")], "doc_id long, text string, lang string")
+    ).repartition(3)
+    monkeypatch.setattr(px, "LOT_ROWS", 16)
+    one, two = (sorted(map(tuple, px.judge(docs, order=4, most=most).select("doc_id", "lang", *px.NAMES, "kept", "log_perplexity").collect()), key=repr) for most in (px.MAX_GRAMS, 0))
+    assert len(one) == docs.count() and [r[:-1] for r in one] == [r[:-1] for r in two]
+    assert all(a[-1] == b[-1] or abs(a[-1] - b[-1]) < 1e-5 for a, b in zip(one, two))
+
+
 def test_pruned_model_still_sums_to_one():
     _, p = brute_model(["abracadabra", "banana band"], 3)
     assert abs(sum(p(bytes([97, 98, c])) for c in range(256)) - 1) < 1e-9
