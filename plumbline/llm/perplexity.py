@@ -9,11 +9,12 @@ task; a larger one is joined with the distinct n-grams of each lot of ``LOT_ROWS
 sorted arrays of that lot's n-grams. Both ways give the same scores.
 
 A text's perplexity is exp of minus the mean log probability of its bytes (A-Z lower-cased, white space as blanks).
-Each language gets a lower and an upper band, median -/+ ``WIDTH`` times the median absolute deviation of the log
-perplexities of texts that pass the base rules; texts outside are rejected.
+Each language gets a lower and an upper band of the log perplexities of texts that pass the base rules: the median less
+``LOWER`` times the median deviation of the texts below it, and plus ``UPPER`` times that of the texts above it; texts
+outside are rejected. A text's own n-grams are counted in the model that scores it.
 
 Defined cases: a null or empty text has no words, fails the base rules and has perplexity null; a null language is a
-language of its own; repeated rows are judged each; a language whose deviation is zero rejects only texts beyond
+language of its own; repeated rows are judged each; a side whose deviation is zero rejects only texts beyond
 MIN_WIDTH; an empty table gives no rows; other columns are not returned.
 """
 
@@ -33,8 +34,8 @@ ORDER = 5
 #: Bound of the n-grams of all orders that are broadcast (some 24 bytes each), and rows of a lot beyond it.
 MAX_GRAMS = 4_000_000
 LOT_ROWS = 4_096
-#: Band width in median absolute deviations, and the least width in natural-log perplexity.
-WIDTH = 8.0
+#: Band widths in median deviations of their side, and the width in natural-log perplexity of a side without deviation.
+LOWER, UPPER = 6.0, 5.0
 MIN_WIDTH = 0.25
 #: Log perplexities are counted in steps of 1 / STEP to find medians without gathering them.
 STEP = 1_000
@@ -294,7 +295,7 @@ def score_by_lots(docs: DataFrame, model: DataFrame, order: int, schema: str) ->
     return lots.groupBy("lot").cogroup(told.groupBy("lot")).applyInArrow(score, schema)
 
 
-def judge(docs: DataFrame, width: float = WIDTH, order: int = ORDER, most: int = MAX_GRAMS) -> DataFrame:
+def judge(docs: DataFrame, lower: float = LOWER, upper: float = UPPER, order: int = ORDER, most: int = MAX_GRAMS) -> DataFrame:
     """doc_id, lang, the base measures, base_failed, log_perplexity, low, high, kept of every row of ``docs``."""
     model = kneser_ney(count_grams(docs, order), order)
     texts = docs.select("text", "doc_id", F.coalesce("lang", F.lit("")).alias("lang"))
@@ -303,7 +304,7 @@ def judge(docs: DataFrame, width: float = WIDTH, order: int = ORDER, most: int =
     scored = stored(score_with_arrays(texts, sorted_arrays(model, order), schema) if whole else score_by_lots(texts, model, order, schema), "scored")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
-    return scored.join(F.broadcast(bands(scored.where("NOT base_failed"), width)), "lang", "left").withColumn(
+    return scored.join(F.broadcast(bands(scored.where("NOT base_failed"), lower, upper)), "lang", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(True))
     )
 
@@ -317,14 +318,20 @@ def _median(values: DataFrame) -> DataFrame:
     return run.where(2 * F.col("upto") >= F.col("all")).groupBy("lang").agg(F.min("step").alias("x"))
 
 
-def bands(scored: DataFrame, width: float = WIDTH) -> DataFrame:
+def bands(scored: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
     """(lang, low, high) of log perplexity; a row for each language, from counts of rounded values of all rows."""
     steps = scored.select("lang", F.round(F.col("log_perplexity") * STEP).cast("long").alias("step")).groupBy("lang", "step").agg(F.count("*").alias("n"))
     middle = _median(steps).withColumnRenamed("x", "mid")
-    off = steps.join(F.broadcast(middle), "lang").groupBy("lang", F.abs(F.col("step") - F.col("mid")).alias("step")).agg(F.sum("n").alias("n"))
-    spread = _median(off)
-    half = F.greatest(F.lit(MIN_WIDTH), F.lit(width) * F.col("x") / STEP)
-    return middle.join(spread, "lang").select("lang", (F.col("mid") / STEP - half).alias("low"), (F.col("mid") / STEP + half).alias("high"))
+    off = steps.join(F.broadcast(middle), "lang").select("lang", (F.col("step") - F.col("mid")).alias("step"), "n")
+    below = _median(off.where("step <= 0").withColumn("step", -F.col("step"))).withColumnRenamed("x", "below")
+    above = _median(off.where("step >= 0")).withColumnRenamed("x", "above")
+
+    def half(side: str, width: float) -> Column:
+        return F.when(F.col(side) > 0, F.lit(width) * F.col(side) / STEP).otherwise(F.lit(MIN_WIDTH))
+
+    # the median is a value of a text, so both sides have a row for each language
+    mid = F.col("mid") / STEP
+    return middle.join(below, "lang").join(above, "lang").select("lang", (mid - half("below", lower)).alias("low"), (mid + half("above", upper)).alias("high"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -97,5 +97,29 @@ def test_good_documents_stay(spark):
     assert np.mean([r.kept for r in rows]) > 0.97
 
 
+def test_planted_junk_is_above_the_band_and_clean_texts_stay(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang"), spark.read.parquet(f"{d}/labels.parquet")
+    clean = docs.where("lang = 'en'").join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id").orderBy("doc_id").limit(60).collect()
+    words = [r.text.split() for r in clean if 100 <= len(r.text.split()) <= 600][:12]
+    # every third word is turned round: bytes of the language in an order that it doesn't have
+    junk = [(-1 - i, " ".join(x[::-1] if k % 3 == 0 else x for k, x in enumerate(w)), "en") for i, w in enumerate(words)]
+    got = px.judge(docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))).where("NOT base_failed").collect()
+    planted = [r for r in got if r.doc_id < 0]
+    assert len(planted) == 12 and all(r.log_perplexity > r.high and not r.kept for r in planted)
+    told = {r.doc_id: r.quality for r in labels.collect()}
+    assert np.mean([r.kept for r in got if told.get(r.doc_id) == 1]) > 0.97
+    assert np.mean([not r.kept for r in got if told.get(r.doc_id) == 0 and r.lang == "en"]) > 0.4
+
+
+def test_a_side_without_deviation_falls_to_the_least_width(spark):
+    rows = [("a", x) for x in (1.0, 1.0, 1.0, 1.02, 1.04)] + [("b", 2.0)]
+    got = {r.lang: (round(r.low, 6), round(r.high, 6)) for r in px.bands(spark.createDataFrame(rows, "lang string, log_perplexity double"), 6, 5).collect()}
+    assert got["b"] == (1.75, 2.25) and got["a"] == (0.75, 1.25)
+    rows = [("a", x) for x in (1.0, 1.1, 1.2, 1.21, 1.22)]
+    (r,) = px.bands(spark.createDataFrame(rows, "lang string, log_perplexity double"), 6, 5).collect()
+    assert (round(r.low, 6), round(r.high, 6)) == (0.6, 1.25)
+
+
 def test_empty(spark):
     assert px.judge(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
