@@ -6,9 +6,10 @@ text's passages, weighs the h, and the weighted sum is scored by a logistic unit
 attention learns which passages decide.
 
 Encoder, attention and score are fitted together by Adam on the driver, on at most ``MAX_ROWS`` labelled rows
-(smallest hash of doc_id, half of each label; weights restore the labels' true shares) with at most
-``MAX_PASSAGES`` evenly spread passages of each. Scoring reads every passage of the whole texts in one pass without
-a shuffle. The model's size is fixed.
+(smallest hash of doc_id, half of each label; weights restore the labels' true shares) with every passage of each. Their
+vectors are stored, then kept on the driver's local disk, from which each mini-batch reads its bags; rows come to the
+driver one partition at a time, and a step takes a mini-batch in parts of ``PART`` passages or one bag. Scoring reads
+every passage of the whole texts in one pass without a shuffle. The model's size is fixed.
 
 Defined cases: a null or empty text is one passage without words and gets a score like any other; repeated rows are
 scored each; null labels or doc_ids are not learned from; without both labels the score is the only label's value, or
@@ -17,6 +18,7 @@ scored each; null labels or doc_ids are not learned from; without both labels th
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm import textarrays as ta
+from plumbline.sources.shared import drop_stored, stored
 
 PASSAGE = 64
 BINS = 128
 HIDDEN, GATE = 24, 12
 MAX_ROWS = 4_000
-MAX_PASSAGES = 32
+#: Passages that one part of a mini-batch has at most, unless a single bag has more.
+PART = 1 << 14
 EPOCHS = 8
 KEEP = 0.7
 
@@ -119,14 +123,32 @@ class Model:
         return {"W": f["x"].T @ dh, "b": dh.sum(0), "V": f["h"].T @ dv, "U": f["h"].T @ du, "a": (f["v"] * f["u"]).T @ de, "c": f["z"].T @ ds, "c0": ds.sum(keepdims=True)}
 
 
+def _scale(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, deviation) of all passages, bag by bag."""
+    n = sum(map(len, bags))
+    mean = sum(b.sum(0, dtype=np.float64) for b in bags) / n
+    var = sum(((b - mean) ** 2).sum(0) for b in bags) / n
+    return mean.astype(np.float32), np.sqrt(var).astype(np.float32)
+
+
+def _parts(part: np.ndarray, bags: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """``part`` cut where its bags pass PART passages; a bag is never cut."""
+    size = np.array([len(bags[j]) for j in part])
+    lo = 0
+    while lo < len(part):
+        hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(size[lo:]), PART, "right")))
+        yield part[lo:hi]
+        lo = hi
+
+
 def fit_bags(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS, rate: float = 0.004, decay: float = 1e-4, seed: int = 7) -> Model:
     """Adam over mini-batches of 128 bags."""
     model = Model(bags[0].shape[1] if bags else len(_MARKS) + 6 + BINS, seed)
     if len(set(y.tolist())) < 2:
         model.constant = float(y[0]) if len(y) else 0.5
         return model
-    flat = np.concatenate(bags)
-    model.mean, model.scale = flat.mean(0), flat.std(0) + 1e-3
+    model.mean, model.scale = _scale(bags)
+    model.scale = model.scale + np.float32(1e-3)
     rng, step = np.random.default_rng(seed), 0
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     s = {k: np.zeros_like(v) for k, v in model.p.items()}
@@ -135,10 +157,14 @@ def fit_bags(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs:
         order = rng.permutation(len(bags))
         for i in range(0, len(order), 128):
             part = order[i : i + 128]
-            first = np.concatenate([[0], np.cumsum([len(bags[j]) for j in part])])
-            f = model.forward(np.concatenate([bags[j] for j in part]), first)
+            total = {k: np.zeros_like(v) for k, v in model.p.items()}
+            for own in _parts(part, bags):
+                first = np.concatenate([[0], np.cumsum([len(bags[j]) for j in own])])
+                f = model.forward(np.concatenate([bags[j] for j in own]), first)
+                for k, g in model.gradient(f, first, y[own], weight[own] / len(part)).items():
+                    total[k] += g
             step += 1
-            for k, g in model.gradient(f, first, y[part], weight[part] / len(part)).items():
+            for k, g in total.items():
                 g = g + decay * model.p[k]
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.999 * s[k] + 0.001 * g * g
@@ -165,19 +191,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         for batch in batches:
             for lo, hi, data, offs in ta.pieces(batch, "text"):
                 x, first = passages(data, offs)
-                bags = []
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-                    take = np.unique(np.linspace(a, b - 1, min(b - a, MAX_PASSAGES)).astype(np.int64))
-                    bags.append(x[take].astype(np.float32).tobytes())
+                bags = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(bags, pa.binary())], names=["id", "y", "x"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "_y", "text").mapInArrow(run, f"id {kind}, y int, x binary").toArrow().sort_by("id")
-    y = rows["y"].to_numpy().astype(float)
+    rows = stored(docs.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "_y", "text").mapInArrow(run, f"id {kind}, y int, x binary"), "bags")
     width = len(_MARKS) + 6 + BINS
-    bags = [np.frombuffer(x.as_py(), np.float32).reshape(-1, width) for x in rows["x"]]
-    taken = {v: max(1, int((y == v).sum())) for v in (0, 1)}
-    return fit_bags(bags, y, np.array([share.get(int(v), 1) / taken[int(v)] for v in y]))
+    with tempfile.TemporaryFile() as file:
+        told_rows, at = [], 0
+        for r in rows.toLocalIterator():
+            file.write(r["x"])
+            n = len(r["x"]) // (4 * width)
+            told_rows.append((r["id"], at, n, r["y"]))
+            at += n
+        file.flush()
+        drop_stored(rows)
+        told_rows.sort(key=lambda r: r[0])
+        vectors = np.memmap(file, np.float32, "r", shape=(at, width)) if at else np.zeros((0, width), np.float32)
+        y = np.array([r[3] for r in told_rows], float)
+        taken = {v: max(1, int((y == v).sum())) for v in (0, 1)}
+        weight = np.array([share.get(int(v), 1) / taken[int(v)] for v in y])
+        return fit_bags([vectors[a : a + n] for _, a, n, _ in told_rows], y, weight)
 
 
 def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:

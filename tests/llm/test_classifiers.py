@@ -67,6 +67,33 @@ def test_mil_gradient():
         assert abs((up - down) / 2e-5 - g[k][i]) < 1e-5, k
 
 
+def test_the_fit_reads_every_passage(spark, monkeypatch):
+    texts = {d: " ".join(f"w{d}x{i}" for i in range(n)) for d, n in ((1, 64 * 100), (2, 5), (3, 64 * 33 + 1), (4, 3), (5, 700))}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(d, d % 2) for d in texts], "doc_id long, quality int")
+    told, seen = [d for d in texts if zlib.crc32(str(d).encode()) % 4 != 2], []
+    monkeypatch.setattr(mil, "fit_bags", lambda bags, y, weight: seen.append(([np.array(b) for b in bags], y)))
+    mil.fit(docs, labels)
+    ((bags, y),) = seen
+    assert 1 in told and 3 in told and y.tolist() == [d % 2 for d in told]
+    for d, bag in zip(told, bags):
+        data = np.frombuffer(texts[d].encode(), np.uint8)
+        want = mil.passages(data, np.array([0, len(data)]))[0]
+        # a text's last pair of words reaches into the next text of its piece, so that measure isn't compared
+        pairs = len(mil._MARKS) + 3
+        assert bag.shape == want.shape and np.allclose(np.delete(bag, pairs, 1), np.delete(want, pairs, 1))
+
+
+def test_a_step_in_parts_is_the_same_step(monkeypatch):
+    rng = np.random.default_rng(3)
+    bags = [rng.normal(size=(k, 5)).astype(np.float32) for k in rng.integers(1, 9, 200)]
+    y = np.array([float(b[:, 0].max() > 1) for b in bags])
+    one = mil.fit_bags(bags, y, np.ones(200))
+    monkeypatch.setattr(mil, "PART", 7)
+    two = mil.fit_bags(bags, y, np.ones(200))
+    assert all(np.allclose(one.p[k], two.p[k], atol=1e-4) for k in one.p)
+
+
 def test_quality_held_out(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = mil.op6(spark, SF).collect()
