@@ -27,9 +27,8 @@ from pyspark.sql import types as T
 from plumbline.llm import textarrays as ta
 
 PLACES = 1 << 18
-#: Labelled rows that the fit reads at most, and distinct features that it takes of one text at most.
+#: Labelled rows that the fit reads at most; a text has PLACES distinct features at most.
 MAX_ROWS = 8_000
-MAX_FEATURES = 4_000
 MIN_TEXTS = 3
 STEPS = 150
 STEM = 4
@@ -132,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, max_rows: int = MAX_ROWS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in ta.pieces(batch, "text"):
-                got = [x if len(x) <= MAX_FEATURES else x[np.argsort(ta.mix(x.astype(np.uint64)))[:MAX_FEATURES]] for x in features(data, offs)]
+                got = [*features(data, offs)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.astype(np.int32) for x in got], pa.list_(pa.int32()))], names=["grade", "x"])
 
     rows = docs.join(chosen, F.col("doc_id") == F.col("_id")).select("_grade", "text").mapInArrow(run, "grade int, x array<int>").toArrow()

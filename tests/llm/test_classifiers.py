@@ -44,6 +44,16 @@ def test_edges(spark, labels):
     assert toxicity.toxicity(d.limit(0), lab).count() == 0 and mil.score(d.limit(0), mil.fit(d, lab)).count() == 0
 
 
+def test_telling_words_of_very_long_texts_are_learned(spark):
+    # each text has 9,000 words of its own, the telling ones of the second grade are some of many
+    rows = [(d, " ".join([f"n{d}x{i}" for i in range(9000)] + [f"{'bad' if d % 2 else 'good'}{'abcdefgh'[k]}" for k in range(8)])) for d in range(24)]
+    m = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(d, d % 2) for d in range(24)], "doc_id long, toxic int"), "toxic")
+    words = [f"bad{c}" for c in "abcdefgh"]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ((places),) = toxicity.features(data, np.array([0, len(data)]))
+    assert (m.weights[places] > 0).all()
+
+
 def test_mil_gradient():
     rng = np.random.default_rng(1)
     bags = [rng.normal(size=(k, 5)) for k in (1, 3, 2)]
