@@ -3,20 +3,31 @@
 A byte is removed if a ``match``-byte string that covers it also starts in a document with a smaller doc_id. Texts
 are whole UTF-8 texts, matches never cross documents, and strings are judged on the input.
 
-1. Anchors: in every ``match`` bytes the least hash of GRAM bytes is an anchor (ties: all), so equal strings hold
-   equal anchors at equal places. An anchor's context is all bytes of the strings in which it may be the least.
+1. Anchors: in every ``match`` bytes the first least hash of GRAM bytes is the string's anchor, so equal strings have
+   equal anchors at equal places. An anchor's context is the union of the strings whose anchor it is.
 2. Anchors are dealt by hash into buckets of bounded text, as packed arrays. A task sends an anchor with the same
    context only for its smallest document; the larger ones are repeats already. So a passage that a third of all
    documents share sends one row a task. In a bucket, equal anchors with equal contexts settle likewise.
-3. What remains, anchors shared with unequal contexts (the borders of repeated passages), go with their context
-   bytes to a run-length index for each bucket: a run-compressed Burrows-Wheeler transform with sampled run ends.
-   The contexts stream through it, and places whose matching statistics reach ``match`` in a group of suffixes with
-   a smaller document are repeats. Bytes are compared here, so hashes that collide do no harm to these.
+3. What remains, anchors shared with unequal contexts (the borders of repeated passages), is kept only if another
+   context of the anchor has the same half of a string's other bytes on the left or on the right: a string of ``match``
+   bytes reaches at least so far on one side. Those go with their context bytes to a run-length index for each
+   bucket: a run-compressed Burrows-Wheeler transform with sampled run ends. The contexts stream through it, and
+   places whose matching statistics reach ``match`` in a group of suffixes with a smaller document are repeats.
+   Bytes are compared here, so hashes that collide do no harm to these.
 4. The ranges of each document are joined with its text.
 
-Texts travel compressed, by (doc_id, hash of the text). Defined cases: a null text is empty; an empty or short text
-loses nothing; rows that repeat a doc_id are judged each against smaller doc_ids only; a null doc_id is neither a
-source nor shortened; an empty table gives no rows.
+Hot anchors (at the edge of a passage that a third of all documents share, each document has a context of its own)
+are found beforehand in one of ``HOT_SAMPLE`` texts, which decides on their way only, never on a result: their strings
+of ``match`` bytes are dealt one by one, by their own hash, and of equal strings in a batch one goes on. The list of
+hot anchors is bounded by the share ``HOT_SHARE``. Above ``FEW_BUCKETS`` buckets anchors are dealt in two steps, so that
+packed bodies don't become small.
+
+Settled repeats (step 2) are equal by 80 bits of two hashes; their bytes aren't compared. Texts travel compressed, by (doc_id, hash of the text).
+
+Defined cases: doc_id is cast to long (a string that is no number is an error under ANSI); a null text is empty; an
+empty or short text loses nothing; rows that repeat a doc_id are judged each against smaller doc_ids only; a null
+doc_id is neither a source nor shortened; an empty table gives no rows; other columns travel in one private struct,
+so no name of theirs can clash.
 """
 
 from __future__ import annotations
@@ -26,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,38 +54,70 @@ BATCH_BYTES = 16 << 20
 #: Strings that an index takes at once, in bytes (it needs some 200 times that while it is built): a larger bucket is
 #: cut by anchor, and the contexts of an anchor that alone are larger by the hash of each string of ``match`` bytes.
 INDEX_BYTES = 450_000
+#: Texts of the sample that finds hot anchors, and the share of its texts (HOT_LEAST at least) that makes an anchor hot.
+HOT_SAMPLE = 64
+HOT_SHARE = 1 / 2048
+HOT_LEAST = 48
+
+
+def _half(match: int) -> int:
+    """Bytes beside an anchor that a string of ``match`` bytes around it has at least on one side."""
+    return (match - min(GRAM, match) + 1) // 2
 
 
-def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, row, anchor hash, context hash) of the anchors of a piece."""
+def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, ...]:
+    """(position, row, anchor hash, context hash, halves, extent) of the anchors of a piece.
+
+    halves: 16 bits of the hash of the anchor with the half string on its left, and as many with that on its right;
+    zero where the context has no such half. extent: bytes from the context's start to the anchor, times 256, and the
+    number of the context's strings less one.
+    """
     gram = min(GRAM, match)
     run = match - gram + 1
+    if run > 256:
+        raise ValueError(f"strings of {255 + GRAM} bytes at most")
     n = len(data) - gram + 1
-    if n < run:
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    whole = np.flatnonzero(np.arange(max(n - run + 1, 0)) + match <= offs[row[: max(n - run + 1, 0)] + 1])  # starts of strings within one text
+    if not len(whole):
         z = np.zeros(0, np.int64)
-        return z, z, z.astype(ta.U64), z.astype(ta.U64)
+        return z, z, z.astype(ta.U64), z.astype(ta.U64), z.astype(np.uint32), z
     up, down = ta.powers(len(data) + 1)
     acc = np.zeros(len(data) + 1, ta.U64)
     np.cumsum((data.astype(ta.U64) + ta.U64(1)) * up[: len(data)], out=acc[1:])
-    h = ta.mix((acc[gram:] - acc[:-gram]) * down[:n]) | ta.U64(1)
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    low = ta.sliding(h, run, np.minimum)
-    low[np.arange(len(low)) + match > offs[row[: len(low)] + 1]] = 0  # strings across two texts don't count
-    pad = np.zeros(run - 1, ta.U64)
-    at = np.flatnonzero(h == ta.sliding(np.concatenate([pad, low, pad]), run, np.maximum))
-    r = row[at]
-    left, right = np.maximum(at - (match - gram), offs[r]), np.minimum(at + match, offs[r + 1])
-    context = ta.mix((acc[right] - acc[left]) * down[left] + (right - left).astype(ta.U64) * ta.U64(0xD6E8FEB86659FD93))
-    return at - offs[r], r, h[at], context
-
-
-_FIELDS = (("h", np.uint32), ("c1", np.uint32), ("c2", np.uint16), ("d", np.uint16), ("p1", np.uint16), ("p2", np.uint16))
-
-
-def _pack(doc: np.ndarray, text: np.ndarray, h, c, pos) -> bytes:
-    """Columns one after the other, which compress better than rows; doc_ids once in a table."""
+    h = ta.mix((acc[gram:] - acc[:-gram]) * down[:n])
+    least, where, width = h, np.arange(n, dtype=np.int32), 1
+    while width < run:  # the first least hash of each ``run``, by doubling
+        step = min(width, run - width)
+        less = least[step:] < least[:-step]
+        where = np.where(less, where[step:], where[:-step])
+        least = np.where(less, least[step:], least[:-step])
+        width += step
+    at = where[whole].astype(np.int64)
+    new = np.append(True, (at[1:] != at[:-1]) | (whole[1:] != whole[:-1] + 1) | (row[whole[1:]] != row[whole[:-1]]))
+    first = np.flatnonzero(new)
+    start, stop, at = whole[first], whole[np.append(first[1:], len(whole)) - 1] + match, at[first]
+    r = row[start]
+    extent = (at - start) << 8 | (stop - match - start)
+    context = ta.mix((acc[stop] - acc[start]) * down[start] + extent.astype(ta.U64) * ta.U64(0xD6E8FEB86659FD93))
+    halves, half = np.zeros(len(at), np.uint32), _half(match)
+    for shift, a, b in ((0, at - half, at + gram), (16, at, at + gram + half)):
+        ok = np.flatnonzero((a >= start) & (b <= stop))
+        x = ta.mix((acc[b[ok]] - acc[a[ok]]) * down[a[ok]]) % ta.U64(65535) + ta.U64(1)
+        halves[ok] |= x.astype(np.uint32) << np.uint32(shift)
+    return at - offs[r], r, h[at], context, halves, extent
+
+
+_FIELDS = (("h", np.uint32), ("c1", np.uint32), ("c2", np.uint16), ("d", np.uint16), ("p1", np.uint16), ("p2", np.uint16), ("e", np.uint16), ("s", np.uint32))
+#: What a packed body holds: repeats that are settled, anchors that must meet, and hot anchors.
+SETTLED, OPEN, HOT = 0, 1, 2
+
+
+def _pack(doc: np.ndarray, text: np.ndarray, h, c, pos, s, e, kind: int) -> bytes:
+    """Columns one after the other, which compress better than rows; doc_ids once in a table. Only open anchors need hashes."""
     key, d = np.unique(np.stack([doc, text]), axis=1, return_inverse=True)
-    cols = (h >> ta.U64(32), c, c >> ta.U64(32), d.ravel(), pos, pos >> 16)
+    zero = np.zeros(len(pos) if kind != OPEN else 0, np.uint32)
+    cols = (h >> ta.U64(32), c, c >> ta.U64(32), d.ravel(), pos, pos >> 16, e, s) if kind == OPEN else (zero, zero, zero, d.ravel(), pos, pos >> 16, e, zero)
     head = np.array([key.shape[1], len(h)], np.int64)
     return b"".join([head.tobytes(), key[0].astype(np.int64).tobytes(), key[1].astype(np.int32).tobytes(), *[x.astype(t).tobytes() for x, (_, t) in zip(cols, _FIELDS)]])
 
@@ -89,7 +132,7 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
     for name, kind in _FIELDS:
         got[name] = np.frombuffer(raw, kind, n, at)
         at += n * np.dtype(kind).itemsize
-    return ids[got["d"]], th[got["d"]], got["h"], got["c1"].astype(np.int64) | got["c2"].astype(np.int64) << 32, got["p1"].astype(np.int64) | got["p2"].astype(np.int64) << 16
+    return ids[got["d"]], th[got["d"]], got["h"], got["c1"].astype(np.int64) | got["c2"].astype(np.int64) << 32, got["p1"].astype(np.int64) | got["p2"].astype(np.int64) << 16, got["s"], got["e"]
 
 
 def _smaller_twin(h, c, doc) -> np.ndarray:
@@ -104,67 +147,139 @@ def _smaller_twin(h, c, doc) -> np.ndarray:
     return out
 
 
-def _anchor_rows(buckets: int, match: int):
-    """(bucket, settled, body): packed anchors of each batch; settled ones are repeats already and go anywhere."""
+def _dealt(where: np.ndarray, kind: int, doc, th, h, c, pos, s, e) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, kind, body) of anchors by the bucket ``where``."""
+    order = np.lexsort((h, where))
+    cuts = np.append(np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1])[: len(order)]), len(order))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        x = order[i:j]
+        for lo in range(0, len(x), 1 << 16):  # a document's place in a body takes 16 bits
+            y = x[lo : lo + (1 << 16)]
+            yield int(where[y[0]]), kind, _pack(doc[y], th[y], h[y], c[y], pos[y], s[y], e[y], kind)
+
+
+def _bodies(rows) -> pa.RecordBatch:
+    out: list = [[], [], []]
+    for row in rows:
+        for col, v in zip(out, row):
+            col.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int8()), pa.array(out[2], pa.binary())], names=["bucket", "kind", "body"])
+
+
+def _anchor_rows(buckets: int, match: int, hot):
+    """(bucket, kind, body): packed anchors of each batch; settled and hot ones need no meeting and go anywhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, th = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            got, size, first = [], 0, 0
+            got, size = [], 0
             for lo, hi, data, offs in ta.pieces(batch, "text", rows=1 << 14):
-                pos, r, h, c = anchors(data, offs, match)
-                got.append((lo + r, h, c, pos))
+                pos, r, h, c, s, e = anchors(data, offs, match)
+                got.append((lo + r, h, c, pos, s, e))
                 size += len(data)
-                if size < BATCH_BYTES and hi < batch.num_rows and hi - first < 1 << 15:
-                    continue  # a document's place among those of a packed body takes 16 bits
-                yield packed(ids, th, *(np.concatenate(x) for x in zip(*got)))
-                got, size, first = [], 0, hi
-
-    def packed(ids, th, r, h, c, pos) -> pa.RecordBatch:
-        done = _smaller_twin(h, c, ids[r])
-        out: list = [[], [], []]
-        for some, settled in ((np.flatnonzero(done), True), (np.flatnonzero(~done), False)):
-            if not len(some):
-                continue
-            # settled anchors need no meeting, so they are dealt by document
-            b = (ids[r[some]] % buckets if settled else (h[some] % ta.U64(buckets)).astype(np.int64)).astype(np.int64)
-            some, b = some[np.argsort(b, kind="stable")], np.sort(b)
-            cuts = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b))
-            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                x = some[i:j]
-                x = x[np.argsort(h[x])]
-                for col, v in zip(out, (int(b[i]), settled, _pack(ids[r[x]], th[r[x]], h[x], c[x], pos[x]))):
-                    col.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.binary())], names=["bucket", "settled", "body"])
+                if size < BATCH_BYTES and hi < batch.num_rows:
+                    continue
+                yield _bodies(packed(ids, th, *(np.concatenate(x) for x in zip(*got))))
+                got, size = [], 0
+
+    def packed(ids, th, r, h, c, pos, s, e):
+        done, often = _smaller_twin(h, c, ids[r]), np.isin(h, hot.value)
+        for some, kind in ((np.flatnonzero(done), SETTLED), (np.flatnonzero(~done & often), HOT), (np.flatnonzero(~done & ~often), OPEN)):
+            if len(some):
+                where = ids[r[some]] % buckets if kind != OPEN else (h[some] % ta.U64(buckets)).astype(np.int64)
+                yield from _dealt(where, kind, ids[r[some]], th[r[some]], h[some], c[some], pos[some], s[some], e[some])
 
     return run
 
 
+def _hot_anchors(known: DataFrame, match: int, sample: int = HOT_SAMPLE, share: float = HOT_SHARE, least: int = HOT_LEAST) -> np.ndarray:
+    """Hashes, ascending, of the anchors that very many texts of a sample have, with contexts of their own each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _lo, _hi, data, offs in ta.pieces(batch, "text"):
+                _, _, h, c, _, _ = anchors(data, offs, match)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64))], names=["h", "c"])
+
+    some = known.where(F.pmod(F.xxhash64("doc_id", "th"), F.lit(sample)) == 0)
+    n = some.count()
+    if n < least:
+        return np.zeros(0, ta.U64)
+    often = some.mapInArrow(run, "h long, c long").distinct().groupBy("h").count().where(F.col("count") >= max(least, n * share))
+    return np.sort(often.select("h").toArrow()["h"].to_numpy().view(ta.U64))
+
+
+def _coarse(buckets: int) -> int:
+    return int(np.ceil(np.sqrt(buckets)))
+
+
+def _dealt_again(first: int, buckets: int):
+    """Bodies dealt by ``bucket % first`` become bodies by bucket; a task holds BATCH_BYTES of them at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for where, kind, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if kind != OPEN:
+                    yield _bodies([(where, kind, body)])
+                    continue
+                held.append((where, _unpack(body)))
+                size += len(body)
+                if size > BATCH_BYTES:
+                    yield _bodies(again(held))
+                    held, size = [], 0
+        if held:
+            yield _bodies(again(held))
+
+    def again(held):
+        doc, th, h, c, pos, s, e = (np.concatenate(x) for x in zip(*(x for _, x in held)))
+        where = np.repeat([w for w, _ in held], [len(x[0]) for _, x in held])
+        # the upper half of the hash is what travels; it tells the bucket within the coarse one
+        yield from _dealt(where + first * (h.astype(np.int64) % -(-buckets // first)), OPEN, doc, th, h.astype(ta.U64) << ta.U64(32), c.astype(ta.U64), pos, s, e)
+
+    return run
+
+
+def _several(h: np.ndarray, side: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """True for anchors of whose rows with the same half (not zero) some have another context."""
+    order = np.lexsort((c, side, h))
+    hs, ss, cs = h[order], side[order], c[order]
+    new = np.append(True, (hs[1:] != hs[:-1]) | (ss[1:] != ss[:-1]))[: len(h)]
+    other = new | np.append(True, cs[1:] != cs[:-1])[: len(h)]
+    start = np.flatnonzero(new)
+    out = np.zeros(len(h), bool)
+    if len(h):
+        out[order] = np.repeat(np.add.reduceat(other.astype(np.int64), start) > 1, np.diff(np.append(start, len(h)))) & (ss != 0)
+    return out
+
+
 def _settle(table: pa.Table) -> pa.Table:
-    """(doc_id, th, code) of a bucket's shared anchors: code is position * 2, plus 1 if its context must be compared."""
+    """(doc_id, th, code) of a bucket's shared anchors: code is the position, the extent (16 bits) and what is to be done (2 bits)."""
     got = []
     open_parts = []
-    for body, settled in zip(table["body"], table["settled"].to_pylist()):
-        doc, th, h, c, pos = _unpack(body.as_py())
-        if settled:
-            got.append((doc, th, pos * 2))
+    for body, kind in zip(table["body"], table["kind"].to_pylist()):
+        doc, th, h, c, pos, s, e = _unpack(body.as_py())
+        code = pos << 18 | e.astype(np.int64) << 2
+        if kind == OPEN:
+            open_parts.append((doc, th, h, c, code, s))
         else:
-            open_parts.append((doc, th, h, c, pos))
+            got.append((doc, th, code | kind))
     if open_parts:
-        doc, th, h, c, pos = (np.concatenate(x) for x in zip(*open_parts))
+        doc, th, h, c, code, s = (np.concatenate(x) for x in zip(*open_parts))
         del open_parts
         order = np.lexsort((doc, c, h))
-        doc, th, h, c, pos = doc[order], th[order], h[order], c[order], pos[order]
+        doc, th, h, c, code, s = doc[order], th[order], h[order], c[order], code[order], s[order]
         new_h = np.append(True, h[1:] != h[:-1])
         new_c = new_h | np.append(True, c[1:] != c[:-1])
         first = np.maximum.accumulate(np.where(new_c, np.arange(len(h)), 0))
         later = doc > doc[first]
-        got.append((doc[later], th[later], pos[later] * 2))
+        got.append((doc[later], th[later], code[later]))
         start = np.flatnonzero(new_h)
         contexts = np.add.reduceat(new_c.astype(np.int64), start)
-        several = np.repeat(contexts > 1, np.diff(np.append(start, len(h))))
-        border = several & ~later
-        got.append((doc[border], th[border], pos[border] * 2 + 1))
+        border = np.flatnonzero(np.repeat(contexts > 1, np.diff(np.append(start, len(h)))) & ~later)
+        hb, cb, sb = h[border], c[border], s[border]
+        border = border[_several(hb, sb & np.uint32(0xFFFF), cb) | _several(hb, sb >> np.uint32(16), cb)]
+        got.append((doc[border], th[border], code[border] | OPEN))
     doc, th, code = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
     return pa.table({"doc_id": pa.array(doc, pa.int64()), "th": pa.array(th, pa.int32()), "code": pa.array(code, pa.int64())})
 
@@ -184,31 +299,46 @@ def _text(z, size: int) -> np.ndarray:
 
 
 def _context_rows(buckets: int, match: int):
-    """(bucket, doc_id, th, start, stop, body): contexts to compare, with stop a hash of the anchor and its place in the context; body null: a settled range."""
+    """(bucket, doc_id, th, start, stop, body): contexts to compare, with stop a hash of the anchor and its place in the context; body null: a settled range.
+
+    A hot anchor gives its strings of ``match`` bytes instead; of equal ones in a batch those of larger documents are settled.
+    """
     gram = min(GRAM, match)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         up, down = ta.powers(gram + 1)
         for batch in batches:
             out: list = [[] for _ in range(6)]
+            hot, least = [], {}
             for doc, th, z, n, codes in zip(batch.column(0), batch.column(1), batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
                 if not codes.is_valid:
                     continue
-                code = np.asarray(codes.values, np.int64)
-                doc, th = doc.as_py(), th.as_py()
-                full, border = code[code & 1 == 0] >> 1, np.unique(code[code & 1 == 1] >> 1)
-                for a, b in zip(*_merged(np.maximum(full - (match - gram), 0), np.minimum(full + match, n))):
+                code = np.unique(np.asarray(codes.values, np.int64))
+                doc, th, kind = doc.as_py(), th.as_py(), code & 3
+                pos, place, more = code >> 18, code >> 10 & 255, code >> 2 & 255
+                start, stop = pos - place, pos - place + more + match
+                for a, b in zip(*_merged(start[kind == SETTLED], stop[kind == SETTLED])):
                     for col, v in zip(out, (doc % buckets, doc, th, int(a), int(b), None)):
                         col.append(v)
+                border, often = np.flatnonzero(kind == OPEN), np.flatnonzero(kind == HOT)
+                if not len(border) and not len(often):
+                    continue
+                data = _text(z, n)
+                raw = data.tobytes()
                 if len(border):
-                    data = _text(z, n)
-                    view = np.lib.stride_tricks.sliding_window_view(data, gram)[border].astype(ta.U64) + ta.U64(1)
+                    view = np.lib.stride_tricks.sliding_window_view(data, gram)[pos[border]].astype(ta.U64) + ta.U64(1)
                     h = ta.mix((view * up[:gram]).sum(axis=1)) >> ta.U64(20)
-                    raw = data.tobytes()
-                    for p, x in zip(border.tolist(), h.tolist()):
-                        a = max(p - (match - gram), 0)
-                        for col, v in zip(out, (x % buckets, doc, th, a, x // buckets << 16 | p - a, raw[a : p + match])):
+                    for a, b, p, x in zip(start[border].tolist(), stop[border].tolist(), place[border].tolist(), h.tolist()):
+                        for col, v in zip(out, (x % buckets, doc, th, a, x // buckets << 16 | p, raw[a:b])):
                             col.append(v)
+                for a in np.unique(ta.ranges(start[often], more[often] + 1)).tolist() if len(often) else ():
+                    s = raw[a : a + match]
+                    least[s] = min(doc, least.get(s, doc))
+                    hot.append((doc, th, a, s))
+            for doc, th, a, s in hot:
+                settled, x = doc > least[s], zlib.crc32(s)
+                for col, v in zip(out, (x % buckets, doc, th, a, a + match if settled else x // buckets << 16, None if settled else s)):
+                    col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=["bucket", "doc_id", "th", "start", "stop", "body"])
 
@@ -221,7 +351,7 @@ def _promising(strings: list[bytes], where: np.ndarray, match: int) -> np.ndarra
     A string of ``match`` bytes around an anchor reaches at least so far on one side, so the others have no equal.
     """
     gram = min(GRAM, match)
-    half = (match - gram + 1) // 2
+    half = _half(match)
     place = (where & 0xFFFF).tolist()
     keep = np.zeros(len(strings), bool)
     for side in (0, 1):
@@ -236,23 +366,23 @@ def _promising(strings: list[bytes], where: np.ndarray, match: int) -> np.ndarra
     return np.flatnonzero(keep)
 
 
-def _places(strings: list[bytes], owner: np.ndarray, anchor: np.ndarray, match: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(string, offset) of repeated places, by run-length indexes of at most about INDEX_BYTES each."""
+def _places(strings: list[bytes], owner: np.ndarray, anchor: np.ndarray, match: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(string, offset) of repeated places, by run-length indexes of at most about ``most`` bytes each."""
     size = np.array([len(x) for x in strings])
     by = np.argsort(anchor, kind="stable")  # equal anchors stay together
     new = np.append(True, anchor[by][1:] != anchor[by][:-1])
     group = np.cumsum(new) - 1
     total = np.bincount(group, size[by])
-    lot = np.cumsum(total) // INDEX_BYTES
+    lot = np.cumsum(total) // most
     for x in np.unique(lot):
         own = by[lot[group] == x]
-        if size[own].sum() <= 2 * INDEX_BYTES or not size[own].any():
+        if size[own].sum() <= 2 * most or not size[own].any():
             i, t = repeated_places([strings[j] for j in own], owner[own], match)
             yield own[i], t
             continue
         # one anchor with very many contexts: equal strings of ``match`` bytes meet by their hash instead
         at = [(j, t) for j in own.tolist() for t in range(len(strings[j]) - match + 1)]
-        parts = -(-len(at) * match // INDEX_BYTES)
+        parts = -(-len(at) * match // most)
         part = np.array([zlib.crc32(strings[j][t : t + match]) % parts for j, t in at])
         for k in range(parts):
             some = [at[m] for m in np.flatnonzero(part == k).tolist()]
@@ -260,7 +390,7 @@ def _places(strings: list[bytes], owner: np.ndarray, anchor: np.ndarray, match:
             yield np.array([some[m][0] for m in i.tolist()], np.int64), np.array([some[m][1] for m in i.tolist()], np.int64)
 
 
-def _index(match: int):
+def _index(match: int, most: int):
     """Ranges (doc_id, th, start, stop) that repeat, from the contexts of a bucket."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -275,7 +405,7 @@ def _index(match: int):
             strings = body.take(pa.array(rest)).to_pylist()
             some = _promising(strings, stop[rest], match)
             rest, strings = rest[some], [strings[i] for i in some.tolist()]
-            for i, t in _places(strings, doc[rest], stop[rest] >> 16, match) if len(rest) else ():
+            for i, t in _places(strings, doc[rest], stop[rest] >> 16, match, most) if len(rest) else ():
                 if len(i):
                     order = np.lexsort((t, i))
                     i, t = i[order], t[order]
@@ -296,16 +426,21 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = data.tobytes()
             z += [codec.compress(raw[a:b], asbytes=True) if b > a else b"" for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
             size += np.diff(offs).tolist()
-        more = batch.schema.names[3:]
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(z, pa.binary()), pa.array(size, pa.int64()), *batch.columns[3:]], names=["doc_id", "th", "z", "n", *more])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(z, pa.binary()), pa.array(size, pa.int64()), *batch.columns[3:]], names=["doc_id", "th", "z", "n", *batch.schema.names[3:]])
+
+
+def _base(docs: DataFrame) -> tuple[Column, Column, Column]:
+    """The text (null: empty), the doc_id as long and a hash of the text that tells rows of one doc_id apart."""
+    text = F.coalesce("text", F.lit(""))
+    return text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("th")
 
 
 def packed_texts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, th, z, n, keep...): texts compressed, with a hash that tells rows of one doc_id apart, and their bytes."""
-    text, keep = F.coalesce("text", F.lit("")), keep or []
-    base = docs.select(text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("th"), *keep)
+    """(doc_id, th, z, n, rest): texts compressed, their bytes, and the columns ``keep`` in a struct, where given."""
+    rest = [F.struct(*keep).alias("rest")] if keep else []
+    base = docs.select(*_base(docs), *rest)
     kind = T.StructType.fromDDL("doc_id long, th int, z binary, n long")
-    return base.mapInArrow(_compressed, T.StructType([*kind.fields, *docs.select(keep).schema.fields]))
+    return base.mapInArrow(_compressed, T.StructType([*kind.fields, *base.schema.fields[3:]]))
 
 
 def _finished(as_text: bool):
@@ -330,28 +465,42 @@ def _finished(as_text: bool):
     return run
 
 
-def dedup(docs: DataFrame, match: int = MATCH, keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (removed byte ranges [start, stop), maximal), kept (binary) of each row.
-
-    ``keep`` names columns of ``docs`` to return as well; ``as_text`` returns kept as a string of its whole characters.
-    """
+def _deduped(docs: DataFrame, match: int, keep: list[str], as_text: bool, few: int = FEW_BUCKETS, index: int = INDEX_BYTES, hot: tuple = (HOT_SAMPLE, HOT_SHARE, HOT_LEAST)) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans, kept and, where ``keep`` names columns, a struct ``rest`` of them."""
+    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least, most = BUCKET_BYTES
     buckets = max(1, -(-total // min(most, max(least, total // FEW_BUCKETS))))
-    base = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.hash(F.coalesce("text", F.lit(""))).alias("th"))
-    known = base.where("doc_id IS NOT NULL")
-    packed = known.mapInArrow(_anchor_rows(buckets, match), "bucket long, settled boolean, body binary")
+    known = docs.select(*_base(docs)).where("doc_id IS NOT NULL")
+    often = spark.sparkContext.broadcast(_hot_anchors(known, match, *hot))
+    kind = "bucket long, kind byte, body binary"
+    if buckets <= few:
+        packed = known.mapInArrow(_anchor_rows(buckets, match, often), kind)
+    else:
+        first = _coarse(buckets)
+        packed = known.mapInArrow(_anchor_rows(first, match, often), kind).repartition(first, "bucket").mapInArrow(_dealt_again(first, buckets), kind)
     shared = packed.groupBy("bucket").applyInArrow(_settle, "doc_id long, th int, code long")
     shared = shared.groupBy("doc_id", "th").agg(F.collect_list("code").alias("codes"))
-    keep = keep or []
     texts = packed_texts(docs, keep)
-    # outer, so that both joins with the texts read one shuffle of them
-    contexts = texts.join(shared, ["doc_id", "th"], "left").select("doc_id", "th", "z", "n", "codes", *keep).mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
-    spans = contexts.groupBy("bucket").applyInArrow(_index(match), "doc_id long, th int, start long, stop long")
+    rest = ["rest"] if keep else []
+    # outer and with the struct, so that both joins with the texts read one shuffle of them
+    contexts = texts.join(shared, ["doc_id", "th"], "left").select("doc_id", "th", "z", "n", "codes", *rest).mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
+    spans = contexts.groupBy("bucket").applyInArrow(_index(match, index), "doc_id long, th int, start long, stop long")
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept " + ("string" if as_text else "binary"))
-    schema = T.StructType([*schema.fields, *docs.select(keep).schema.fields])
-    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *keep).mapInArrow(_finished(as_text), schema)
+    schema = T.StructType([*schema.fields, *texts.schema.fields[4:]])
+    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *rest).mapInArrow(_finished(as_text), schema)
+
+
+def dedup(docs: DataFrame, match: int = MATCH, keep: list[str] | None = None, as_text: bool = False, **ways) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans (removed byte ranges [start, stop), maximal), kept (binary) of each row.
+
+    ``keep`` names columns of ``docs`` to return as well (those with an output's name are replaced by it); ``as_text``
+    returns kept as a string of its whole characters. ``ways`` (few, index, hot) change bounds, never results.
+    """
+    out = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+    keep = [c for c in keep or [] if c not in out]
+    return _deduped(docs, match, keep, as_text, **ways).select(*out, *[F.col("rest").getField(c).alias(c) for c in keep])
 
 
 def shortened(docs: DataFrame, match: int = MATCH) -> DataFrame:
@@ -360,12 +509,11 @@ def shortened(docs: DataFrame, match: int = MATCH) -> DataFrame:
     A character that is cut in the middle loses its other bytes too. Rows stay, if need be with an empty text.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    got = dedup(docs, match, rest, as_text=True).withColumnRenamed("kept", "text")
-    if "n_chars" in docs.columns:
-        got = got.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return got.select([F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    got = _deduped(docs, match, rest, True)
+    value = {c: F.col("rest").getField(c) for c in rest} | {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.char_length("kept")}
+    return got.select([value[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
-def op5(spark, sf_dir: str) -> DataFrame:
-    got = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def op5(spark, sf_dir: str, **ways) -> DataFrame:
+    got = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), **ways)
     return got.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

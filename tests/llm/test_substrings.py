@@ -31,10 +31,10 @@ def brute(rows, match=50):
     return sorted(out, key=str)
 
 
-def run(spark, rows):
+def run(spark, rows, **ways):
     path = f"{spark.conf.get('spark.checkpoint.dir')}/t5"
     spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.mode("overwrite").parquet(f"{path}/documents.parquet")
-    return sorted(map(tuple, substrings.op5(spark, path).collect()), key=str)
+    return sorted(map(tuple, substrings.op5(spark, path, **ways).collect()), key=str)
 
 
 def rows_of(seed):
@@ -52,13 +52,28 @@ def rows_of(seed):
     return rows
 
 
-@pytest.mark.parametrize("small", [0, 500, 60])
-def test_brute_force(spark, monkeypatch, small):
-    if small:
+@pytest.mark.parametrize("ways", [{}, {"index": 500}, {"index": 60, "few": 0}, {"hot": (1, 0.0, 3)}, {"hot": (1, 0.0, 1), "few": 2, "index": 200}])
+def test_brute_force(spark, monkeypatch, ways):
+    if ways:
         monkeypatch.setattr(substrings, "BUCKET_BYTES", (4000, 4000))
-        monkeypatch.setattr(substrings, "INDEX_BYTES", small)
-    rows = rows_of(3 + bool(small))
-    assert run(spark, rows) == brute(rows)
+    rows = rows_of(3 + len(ways))
+    assert run(spark, rows, **ways) == brute(rows)
+
+
+def test_hot_edge(spark):
+    """A passage that all documents share between texts of their own: its edges' anchors are hot."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(220)
+    rows = [(i, word(80) + passage + word(80)) for i in range(150)]
+    assert run(spark, rows, hot=(1, 0.0, 20)) == brute(rows)
+
+
+def test_clashing_columns(spark):
+    names = ["n", "z", "th", "spans", "codes", "rest", "kept", "bucket"]
+    docs = spark.createDataFrame([(1, "ab" * 60, *range(8)), (2, "ab" * 60, *range(8, 16)), (3, None, *[None] * 8)], "doc_id long, text string, " + ", ".join(f"{x} long" for x in names))
+    got = sorted(map(tuple, substrings.shortened(docs).collect()))
+    assert got == [(1, "ab" * 60, *range(8)), (2, "", *range(8, 16)), (3, "", *[None] * 8)]
 
 
 def test_documents(spark, sf):
