@@ -1,14 +1,20 @@
 """Operator 10: byte-level BPE by a distinct-word table.
 
-The texts are split into words in Spark tasks, the distinct words are counted with one small shuffle
-and encoded once, and the ids come back to each text by position. The table that travels to the tasks
-is bounded (``TABLE_WORDS`` words, the ones most tasks share); a rarer word is encoded once by each
-task that meets it, so the result never depends on the bound. Decoding joins ids with the pieces of
-the vocabulary, which is as large as the tokenizer and no larger.
-
-Defined cases: a null or empty text has no ids and decodes to the empty text; the string of an added
-token (such as <|endoftext|>) becomes that token's id, as in the tokenizers library; repeated rows and
-repeated doc_ids are encoded row by row; a column of the input that has an output's name is replaced.
+1. Tasks split the texts of a lot (``LOT_BYTES`` of text) into words and number the lot's distinct words. A lot sends
+   one packed row to each bucket that its words hash to, and one row with the word numbers of its texts by position.
+2. Bucket tasks encode each distinct word once for all lots, and answer each lot's row with the ids of its words.
+3. The answers meet the lot's word numbers again (a join by lot and position), and ids are taken by number. So a word
+   that a third of all texts have travels once a lot, texts never travel, and no lot or task holds more than a bound.
+4. Decoding joins ids with the pieces of the vocabulary, which is as large as the tokenizer and no larger.
+
+A bucket task keeps ``TASK_WORDS`` encoded words at most; beyond that it starts anew and a word may be encoded again,
+with the same ids. ``docs`` must give the same rows when a lost task is run again, as scans and stored tables do; a lot
+that doesn't fit its answers is an error, never a wrong result.
+
+Defined cases: a null or empty text has no ids and decodes to the empty text; the string of an added token (such as
+<|endoftext|>) becomes that token's id, as in the tokenizers library; repeated rows and doc_ids are encoded row by row;
+an empty table gives no rows; a column of the input that has an output's name is replaced, others travel packed and
+can't clash. Tokenizer files with options that this codec doesn't follow are refused.
 """
 
 from __future__ import annotations
@@ -16,6 +22,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,9 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bound of the broadcast word table (about 20 MB in a task), and of the words a task keeps beside it.
-TABLE_WORDS = 100_000
-TASK_WORDS = 100_000
+from plumbline.llm import textarrays as ta
+
+#: Text and distinct words of a lot.
+LOT_BYTES = 24 << 20
+LOT_WORDS = 400_000
+#: Text for which there is one bucket of words, and buckets at most: a lot sends a row to each.
+BUCKET_BYTES = 16 << 20
+MAX_BUCKETS = 16_384
+#: Encoded words that a bucket task keeps.
+TASK_WORDS = 1_000_000
+#: Words of a lot whose ids are put together at once.
+PART_WORDS = 400_000
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -53,8 +71,12 @@ class Codec:
 
         told = json.loads(spec)
         kind, pre = told["model"]["type"], told["pre_tokenizer"] or {}
-        if kind != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or told["normalizer"]:
-            raise ValueError("only byte-level BPE without normalizer and prefix space")
+        if kind != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or told["normalizer"] or not pre.get("use_regex", True):
+            raise ValueError("only byte-level BPE with its own splitting, without normalizer and prefix space")
+        if any(told["model"].get(x) for x in ("dropout", "ignore_merges", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix", "unk_token")):
+            raise ValueError("only plain byte-level BPE, without dropout, ignored merges, fallback, affixes or an unknown token")
+        if any(t.get(x) for t in told["added_tokens"] for x in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("only added tokens that match exactly where they stand")
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -64,6 +86,8 @@ class Codec:
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.split = _splitter(SPLIT)
         self.vocab = told["model"]["vocab"] | self.added
+        self.id_kind = np.uint16 if max(self.vocab.values()) < 1 << 16 else np.int32
+        self._pieces = self._numbers = None
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -77,8 +101,19 @@ class Codec:
         done = self.tokenizer.encode_batch(words, add_special_tokens=False)
         return [[self.added[w]] if w in self.added else x.ids for w, x in zip(words, done, strict=True)]
 
+    def numbers(self) -> pa.Array:
+        """Each id in decimal digits with a comma."""
+        if self._numbers is None:
+            self._numbers = pa.array([b"%d," % i for i in range(max(self.vocab.values()) + 1)], pa.binary())
+        return self._numbers
+
     def pieces(self) -> pa.Array:
         """The bytes of each id; ids without a piece are empty."""
+        if self._pieces is None:
+            self._pieces = self._made_pieces()
+        return self._pieces
+
+    def _made_pieces(self) -> pa.Array:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*shown}))}
         out = [b""] * (max(self.vocab.values()) + 1)
@@ -93,85 +128,190 @@ def _codec(spec: str) -> Codec:
     return Codec(spec)
 
 
-class _Words(dict):
-    """Ids of words, as bytes of int32; a missing word is encoded once and kept, up to a bound."""
+def _spec(path: str) -> str:
+    with open(path, encoding="utf-8") as f:
+        return f.read()
 
-    codec: Codec
-    most = 0
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.codec.encode([word])[0], np.int32).tobytes()
-        if len(self) < self.most:
-            self[word] = ids
-        return ids
+_KIND = "part long, lot string, answer boolean, body binary"
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
-def _spec(path: str) -> str:
-    with open(path, encoding="utf-8") as f:
-        return f.read()
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = zip(*rows) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, (pa.int64(), pa.string(), pa.bool_(), pa.binary()))], names=["part", "lot", "answer", "body"])
 
 
-def word_table(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """(word, n, ids): every distinct word of all texts, encoded once; n is how many task batches hold it."""
-    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
+def _packed(*parts: bytes) -> bytes:
+    """The parts, each compressed, after the number of them and their sizes."""
+    z = [_ZSTD.compress(x, asbytes=True) if x else b"" for x in parts]
+    return np.array([len(z), *map(len, parts), *map(len, z)], np.int64).tobytes() + b"".join(z)
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, seen = _codec(told.value), set()
-        for batch in batches:
-            for t in batch.column(0):
-                seen.update(codec.words(t.as_py() or ""))
-                if len(seen) > TASK_WORDS:
-                    yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string())})
-                    seen = set()
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string())})
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(told.value)
-        for batch in batches:
-            ids = codec.encode(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
 
-    counted = docs.select(text).mapInArrow(distinct, "word string").groupBy("word").agg(F.count("*").alias("n"))
-    return counted.mapInArrow(encoded, "word string, n long, ids array<int>")
+def _unpacked(raw: bytes) -> list[bytes]:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    sizes = np.frombuffer(raw, np.int64, 2 * n, 8).tolist()
+    out, at = [], 8 + 16 * n
+    for full, z in zip(sizes[:n], sizes[n:]):
+        out.append(_ZSTD.decompress(raw[at : at + z], full, asbytes=True) if full else b"")
+        at += z
+    return out
 
 
-def _shared_words(table: DataFrame, most: int) -> dict:
-    """The words that most task batches hold, at most ``most`` of them: all from the lowest n that fits.
+def _planes(x: np.ndarray, size: int) -> bytes:
+    """The lower bytes of all values, then the next: small numbers compress better so."""
+    return np.ascontiguousarray(x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T).tobytes()
 
-    Words of one batch only are left out: the task that meets them encodes them once anyway.
-    """
-    steps = table.where("n > 1").groupBy("n").count().orderBy(F.desc("n")).limit(10_000).collect()
-    total, least = 0, None
-    for row in steps:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["n"]
-    if least is None:
-        return {}
-    found = table.where(F.col("n") >= least).select("word", "ids").toArrow()
-    flat, offs = found["ids"].combine_chunks(), 0
-    offs, ids = flat.offsets.to_numpy(), flat.values.to_numpy(zero_copy_only=False).astype(np.int32)
-    return {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), offs[:-1], offs[1:], strict=True)} if len(found) else {}
-
-
-def _encoder(docs: DataFrame, tokenizer: str, text: str, table: DataFrame | None, table_words: int):
-    """A function for tasks that makes the function text -> ids (int32 array)."""
-    from plumbline.sources.shared import drop_stored, stored
-
-    spark = docs.sparkSession
-    own = table is None
-    table = stored(word_table(docs, tokenizer, text), "words") if own else table
-    shared = spark.sparkContext.broadcast(_Words(_shared_words(table, table_words)))
-    if own:
-        drop_stored(table)
-
-    def make(codec: Codec):
-        known = shared.value  # a process has a copy of its own, which later tasks find with the words of earlier ones
-        known.codec, known.most = codec, known.most or len(known) + TASK_WORDS
-        return lambda t: np.frombuffer(b"".join([known[w] for w in codec.words(t or "")]), np.int32)
-
-    return make
+
+def _from_planes(raw: bytes, size: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel().astype(np.int64)
+
+
+def _numbers(rank: np.ndarray) -> tuple[bytes, bytes]:
+    """Word numbers by frequency: a byte for each of the 255 most frequent, and four more, in planes, for the others."""
+    often = rank < 255
+    return np.where(often, rank, 255).astype(np.uint8).tobytes(), _planes(rank[~often], 4)
+
+
+def _from_numbers(one: bytes, more: bytes) -> np.ndarray:
+    out = np.frombuffer(one, np.uint8).astype(np.int64)
+    out[out == 255] = _from_planes(more, 4)
+    return out
+
+
+def _lots(told, buckets: int):
+    """Rows of ``_KIND``: each lot's distinct words by bucket (answer false, part the bucket), and its word numbers (answer null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        codec, task, made = _codec(told.value), TaskContext.get().partitionId(), 0
+        number: dict = defaultdict()
+        number.default_factory = number.__len__
+        seq, counts, rest, size = array("I"), [], [], 0
+
+        def closed() -> pa.RecordBatch:
+            nonlocal seq, counts, rest, size, made
+            own = np.frombuffer(seq, np.uint32)
+            order = np.argsort(-np.bincount(own, minlength=len(number)), kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            words = pa.array(list(number), pa.string()).take(pa.array(order))
+            offs = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+            data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) and words.buffers()[2] is not None else np.zeros(0, np.uint8)
+            where = (ta.span_hash(data, offs[:-1], offs[1:]) % ta.U64(buckets)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+            lot = f"{task}-{made}-{zlib.crc32(data):08x}"
+            order = np.argsort(where, kind="stable")
+            cuts = np.append(np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1])[: len(order)]), len(order)).tolist()
+            rows = []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                x = order[i:j]
+                n = offs[x + 1] - offs[x]
+                rows.append((int(where[x[0]]), lot, False, _packed(_planes(n, 4), data[ta.ranges(offs[x], n)].tobytes())))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rest[0].schema) as w:
+                for b in rest:
+                    w.write_batch(b)
+            body = _packed(*_numbers(rank[own]), _planes(where, 2), np.array(counts, np.int32).tobytes(), sink.getvalue().to_pybytes())
+            rows.append((zlib.crc32(lot.encode()) % buckets, lot, None, body))
+            number.clear()
+            seq, counts, rest, size, made = array("I"), [], [], 0, made + 1
+            return _rows(rows)
+
+        for batch in batches:
+            col, kept, start = batch.column(0), pa.RecordBatch.from_struct_array(batch.column(1)), 0
+            for i, t in enumerate(col):
+                words = codec.words(t.as_py() or "")
+                seq.extend(map(number.__getitem__, words))
+                counts.append(len(words))
+                size += sum(map(len, words))
+                if size > LOT_BYTES or len(number) > LOT_WORDS:
+                    rest.append(kept.slice(start, i + 1 - start))
+                    start = i + 1
+                    yield closed()
+            if start < batch.num_rows:
+                rest.append(kept.slice(start))
+        if rest:
+            yield closed()
+
+    return run
+
+
+def _answers(told, most: int):
+    """Each row of words becomes a row with their ids (answer true); word numbers pass. A word is encoded when it first comes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, known = _codec(told.value), {}
+        for batch in batches:
+            rows = []
+            for part, lot, answer, body in zip(*(batch.column(i) for i in range(4))):
+                raw, lot = body.as_py(), lot.as_py()
+                if not answer.is_valid:
+                    rows.append((None, lot, None, raw))
+                    continue
+                sizes, data = _unpacked(raw)
+                offs = np.concatenate([[0], np.cumsum(_from_planes(sizes, 4))]).astype(np.int32)
+                words = pa.StringArray.from_buffers(len(offs) - 1, pa.py_buffer(offs.tobytes()), pa.py_buffer(data)).to_pylist()
+                if len(known) > most:
+                    known = {}
+                new = [w for w in words if w not in known]
+                known.update(zip(new, [np.array(x, codec.id_kind).tobytes() for x in codec.encode(new)]))
+                ids = [known[w] for w in words]
+                size, flat = np.fromiter(map(len, ids), np.int64, len(ids)) // codec.id_kind().itemsize, np.frombuffer(b"".join(ids), codec.id_kind)
+                rows.append((part.as_py(), lot, True, _packed(_planes(size, 4), _planes(flat, codec.id_kind().itemsize))))
+            yield _rows(rows)
+
+    return run
+
+
+def _joined(told, finish):
+    """The rows of a lot become its documents: ids are taken by the number of each word, some texts at a time."""
+
+    def run(table: pa.Table) -> pa.Table:
+        codec = _codec(told.value)
+        seq, where, counts, rest, answers = None, None, None, None, {}
+        for part, answer, body in zip(table["part"].to_pylist(), table["answer"].to_pylist(), table["body"]):
+            raw = body.as_py()
+            if answer is None:
+                one, more, two, three, rest = _unpacked(raw)
+                seq, where, counts = _from_numbers(one, more), _from_planes(two, 2), np.frombuffer(three, np.int32).astype(np.int64)
+            else:
+                answers[part] = raw
+        if seq is None or sorted(answers) != np.unique(where).tolist():
+            raise RuntimeError("the input gave other rows when a task was run again; store it first")
+        size, flat = np.zeros(len(where), np.int64), []
+        order, at = np.argsort(where, kind="stable"), 0
+        for part in sorted(answers):
+            sizes, ids = _unpacked(answers[part])
+            sizes = _from_planes(sizes, 4)
+            size[order[at : at + len(sizes)]] = sizes
+            flat.append(_from_planes(ids, codec.id_kind().itemsize).astype(codec.id_kind))
+            at += len(sizes)
+        flat = np.concatenate(flat) if flat else np.zeros(0, codec.id_kind)
+        first = np.zeros(len(where), np.int64)
+        first[order] = np.cumsum(size[order]) - size[order]
+        ends, out, lo = np.cumsum(counts), [], 0
+        kept = pa.ipc.open_stream(rest).read_all().combine_chunks()
+        while lo < len(counts):
+            start = ends[lo] - counts[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, start + PART_WORDS, "right")))
+            own = seq[start : ends[hi - 1]]
+            offs = np.concatenate([[0], np.cumsum(size[own])])[np.concatenate([[0], ends[lo:hi] - start])]
+            out.append(finish(codec, kept.slice(lo, hi - lo), flat[ta.ranges(first[own], size[own])], offs))
+            lo = hi
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _encoded(docs: DataFrame, tokenizer: str, text: str, rest: list[str], finish, schema, task_words: int = TASK_WORDS, lot_buckets: int | None = None) -> DataFrame:
+    """What ``finish`` makes of the columns ``rest`` and the ids of each text."""
+    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = lot_buckets or min(MAX_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
+    lots = docs.select(F.col(text).alias("text"), F.struct(*rest).alias("rest")).mapInArrow(_lots(told, buckets), _KIND)
+    answers = lots.repartition(buckets, "part").mapInArrow(_answers(told, task_words), _KIND)
+    return answers.groupBy("lot").applyInArrow(_joined(told, finish), schema)
 
 
 def _decoder(codec: Codec):
@@ -187,29 +327,18 @@ def _decoder(codec: Codec):
     return text_of
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", table: DataFrame | None = None, table_words: int = TABLE_WORDS) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", **bounds) -> DataFrame:
     """``docs`` with the column ``ids`` (array<int>) of each whole text.
 
-    ``tokenizer`` is the path of a tokenizers JSON file on the driver. ``table`` is a stored
-    :func:`word_table`, made here when not given.
+    ``tokenizer`` is the path of a tokenizers JSON file on the driver.
     """
-    make = _encoder(docs, tokenizer, text, table, table_words)
-    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
     rest = [c for c in docs.columns if c != ids]
-    at = rest.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = make(_codec(told.value))
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part = batch.slice(lo, 200)
-                got = [to_ids(t.as_py()) for t in part.column(at)]
-                offs = np.cumsum([0, *map(len, got)]).astype(np.int32)
-                flat = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(got) if got else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, flat], names=[*rest, ids])
+    def finish(codec: Codec, kept: pa.Table, flat: np.ndarray, offs: np.ndarray) -> pa.Table:
+        return kept.append_column(ids, pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.astype(np.int32))))
 
     schema = T.StructType([*docs.select(rest).schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return docs.select(rest).mapInArrow(run, schema)
+    return _encoded(docs, tokenizer, text, rest, finish, schema, **bounds)
 
 
 def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -238,27 +367,17 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
     return docs.select(rest).mapInArrow(run, schema)
 
 
-def digest(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids of each document, encoded and decoded in one pass."""
-    make = _encoder(docs, tokenizer, "text", None, table_words)
-    told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
+def digest(docs: DataFrame, tokenizer: str, with_ids: bool = False, **bounds) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids of each document."""
+
+    def finish(codec: Codec, kept: pa.Table, flat: np.ndarray, offs: np.ndarray) -> pa.Table:
+        taken = codec.pieces().take(pa.array(flat)), codec.numbers().take(pa.array(flat))
+        (a, raw), (b, told) = ((np.frombuffer(x.buffers()[1], np.int32)[offs].tolist() if len(flat) else [0] * len(offs), x.buffers()[2]) for x in taken)
+        raw, told = (memoryview(x) if x is not None else memoryview(b"") for x in (raw, told))
+        decoded = [hashlib.sha256(bytes(raw[i:j]).decode("utf-8", "replace").encode()).hexdigest() for i, j in zip(a[:-1], a[1:])]
+        number = [hashlib.sha256(told[i : max(i, j - 1)]).hexdigest() for i, j in zip(b[:-1], b[1:])]  # without the last comma
+        out = {"doc_id": kept["doc_id"], "n_tokens": pa.array(np.diff(offs), pa.int64()), "ids_sha256": number, "decoded_sha256": decoded}
+        return pa.table(out | ({"ids": pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat.astype(np.int32)))} if with_ids else {}))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(told.value)
-        to_ids, to_text = make(codec), _decoder(codec)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                n, ids_sha, text_sha, all_ids = [], [], [], []
-                for t in part.column(1):
-                    ids = to_ids(t.as_py())
-                    n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(to_text(ids).encode()).hexdigest())
-                    all_ids.append(ids)
-                cols = [part.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else cols, names=names)
-
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     kind = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    return _encoded(docs, tokenizer, "text", ["doc_id"], finish, kind, **bounds)

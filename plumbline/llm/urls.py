@@ -7,7 +7,8 @@ expressions. Before the list, ordered host and path rules decide; the longest ru
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no rule, and is listed
 only if the list holds such a url (canonical form null is never listed); repeated pages and repeated list
-entries are judged row by row and count once; an empty list blocks nothing; other input columns stay.
+entries are judged row by row and count once; an empty list blocks nothing; other input columns stay, whatever their
+names, unless they have an output's name.
 """
 
 from __future__ import annotations
@@ -86,17 +87,23 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url") ->
     n = canon.count()
     blocks = max(1, -(-n // KEYS_A_BLOCK))
     h = F.xxhash64("_canonical")
-    probed = pages.select(*kept, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), canonical(F.col(url)).alias("_canonical"))
+    # the pages' own columns travel as one struct, so they can have any names
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in kept if c != "html"]), F.lit(SALTS))
+    probed = pages.select(F.struct(*kept).alias("row"), salt.alias("_salted"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), canonical(F.col(url)).alias("_canonical"))
     probed = probed.withColumn("_fit", fitting_rule(F.col("host"), F.col("path"), rules))
     probed = probed.withColumn("_block", F.when(F.col("_fit").isNull(), F.pmod(F.xxhash64("_canonical", F.lit("block")), F.lit(blocks))))
     filt = bloom(canon, blocks)
     filt = F.broadcast(filt) if blocks <= BROADCAST_BLOCKS else filt
     masks = [(F.col(f"m{i}").bitwiseAND(_bit(h, i)) != 0) for i in range(4)]
-    probed = probed.join(filt, F.col("_block") == F.col("block"), "left")
-    probed = probed.withColumn("_maybe", F.coalesce(masks[0] & masks[1] & masks[2] & masks[3], F.lit(False)))
+    if blocks <= BROADCAST_BLOCKS:
+        probed = probed.join(filt, F.col("_block") == F.col("block"), "left")
+        probed = probed.withColumn("_maybe", F.coalesce(masks[0] & masks[1] & masks[2] & masks[3], F.lit(False)))
+    else:  # pages that a rule has decided have no block and stay out of the shuffle
+        open_, decided = probed.where("_block IS NOT NULL"), probed.where("_block IS NULL").withColumn("_maybe", F.lit(False))
+        met = open_.join(filt, F.col("_block") == F.col("block"), "left")
+        probed = met.withColumn("_maybe", F.coalesce(masks[0] & masks[1] & masks[2] & masks[3], F.lit(False))).select(*open_.columns, "_maybe").unionByName(decided)
     # only possible hits carry a key into the exact join; the others have a null key and never meet the list
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in kept if c != "html"], "path"), F.lit(SALTS))
-    probed = probed.withColumn("_key", F.when(F.col("_maybe"), F.col("_canonical"))).withColumn("_salt", F.when(F.col("_maybe"), salt))
+    probed = probed.withColumn("_key", F.when(F.col("_maybe"), F.col("_canonical"))).withColumn("_salt", F.when(F.col("_maybe"), F.col("_salted")))
     exact = canon.withColumn("_listed", F.lit(True))
     if n <= BROADCAST_LIST:
         done = probed.join(F.broadcast(exact), F.col("_key") == F.col("canonical"), "left")
@@ -106,7 +113,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url") ->
         hit = possible.join(exact, (F.col("_key") == F.col("canonical")) & (F.col("_salt") == F.col("salt")), "left").drop("canonical", "salt")
         done = hit.unionByName(rest)
     verdict = F.coalesce(F.col("_fit.verdict"), F.when(F.col("_listed"), F.lit("block")).otherwise(F.lit("allow")))
-    return done.select(*kept, "host", "path", F.col("_fit.rule").alias("rule"), verdict.alias("verdict"))
+    return done.select(*[F.col("row").getField(c).alias(c) for c in kept], "host", "path", F.col("_fit.rule").alias("rule"), verdict.alias("verdict"))
 
 
 def repeated(pages: DataFrame, url: str = "url") -> DataFrame:

@@ -18,17 +18,45 @@ def lib():
     return t
 
 
-@pytest.mark.parametrize("bound", [0, 50, bpe.TABLE_WORDS])
-def test_bpe_equals_library(spark, sf, bound):
+@pytest.mark.parametrize("bounds", [{}, {"task_words": 0, "lot_buckets": 7}, {"task_words": 50, "lot_buckets": 1}])
+def test_bpe_equals_library(spark, sf, bounds):
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
     df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, ids int").repartition(3)
-    got = {r.doc_id: (r.ids, r.decoded) for r in bpe.decode(bpe.encode(df, queries.tokenizer_path(), table_words=bound), queries.tokenizer_path()).collect()}
+    got = {r.doc_id: (r.ids, r.decoded) for r in bpe.decode(bpe.encode(df, queries.tokenizer_path(), **bounds), queries.tokenizer_path()).collect()}
     t = lib()
     for i, x in enumerate(texts):
         ids = t.encode(x or "", add_special_tokens=False).ids
         assert got[i] == (ids, t.decode(ids, skip_special_tokens=False)), x
 
 
+def test_bpe_refuses_other_files():
+    import json
+
+    told = json.loads(bpe._spec(queries.tokenizer_path()))
+    for change in ({"pre_tokenizer": told["pre_tokenizer"] | {"use_regex": False}}, {"model": told["model"] | {"ignore_merges": True}}, {"model": told["model"] | {"dropout": 0.1}}, {"added_tokens": [told["added_tokens"][0] | {"lstrip": True}]}):
+        with pytest.raises(ValueError):
+            bpe.Codec(json.dumps(told | change))
+
+
+def test_bpe_encodes_each_word_once():
+    """Two lots that share words, in one bucket task: as many words reach the tokenizer as there are distinct ones."""
+    import pyarrow as pa
+
+    spec = bpe._spec(queries.tokenizer_path())
+    told = type("Told", (), {"value": spec})
+    words = ["the", " end", " the", " of"]
+    body = lambda ws: bpe._packed(bpe._planes(bpe.np.array([len(w) for w in ws]), 4), "".join(ws).encode())
+    batch = bpe._rows([(0, "a", False, body(words[:3])), (0, "b", False, body(words)), (None, "a", None, b"x")])
+    seen, codec = [], bpe._codec(spec)
+    real = codec.encode
+    codec.encode = lambda ws: (seen.extend(ws), real(ws))[1]
+    try:
+        (out,) = bpe._answers(told, 10)(iter([batch]))
+    finally:
+        codec.encode = real
+    assert sorted(seen) == sorted(words) and isinstance(out, pa.RecordBatch) and out.num_rows == 3
+
+
 def test_bpe_digest_and_empty(spark):
     df = spark.createDataFrame([(1, "the end"), (1, "the end"), (2, None)], "doc_id long, text string")
     rows = bpe.digest(df, queries.tokenizer_path()).collect()
@@ -75,6 +103,13 @@ def test_urls_against_sql(spark):
     assert urls.judge(df, urls.repeated(df.limit(0)), rules=[]).where("verdict = 'block'").count() == 0
 
 
+def test_urls_clashing_columns(spark):
+    names = ["block", "canonical", "m0", "_fit", "_key", "row", "verdict", "salt"]
+    df = spark.createDataFrame([(i, u, *range(8)) for i, u in enumerate(["http://a.io/x", "http://a.io/x", "http://b.net/", None])], "page_id long, url string, " + ", ".join(f"{x} int" for x in names))
+    rows = sorted(urls.judge(df, urls.repeated(df)).collect())
+    assert [r.verdict for r in rows] == ["block", "block", "block", "allow"] and all((r.block, r.canonical, r.m0, r._fit, r._key, r.row, r.salt) == (0, 1, 2, 3, 4, 5, 7) for r in rows)
+
+
 def test_urls_large_list_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(urls, "BROADCAST_LIST", 0)
     monkeypatch.setattr(urls, "BROADCAST_BLOCKS", 0)
