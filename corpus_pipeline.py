@@ -8,6 +8,7 @@ documents (all of them one near-duplicate group), repeated rows count once from
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.llm import bpe, decontam, simhash, substrings, toxicity
 from plumbline.llm.queries import tokenizer_path
@@ -17,7 +18,8 @@ from plumbline.sources.shared import stored
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose likeliest severity grade is the lowest."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic")
-    return toxicity.score(docs, model, "_severity", "_grade").where("_grade = 0").select(docs.columns)
+    scored = toxicity.score(docs.select("text", F.struct(*docs.columns).alias("row")), model)
+    return scored.where("grade = 0").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,10 +181,9 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     out = f"doc_id {doc_type}, text_hash long, n_words long, start int, n int, key string"
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     if prints.count() <= BROADCAST_HASHES:
-        got: dict[int, list] = {n: [] for n in spans}
-        for r in prints.collect():
-            got[r.n].append(r.hash)
-        known = docs.sparkSession.sparkContext.broadcast({n: np.sort(np.array(v, np.int64).view(np.uint64)) for n, v in got.items()})
+        told = prints.toArrow()
+        size, found = told["n"].to_numpy(), told["hash"].to_numpy().view(np.uint64)
+        known = docs.sparkSession.sparkContext.broadcast({n: np.sort(found[size == n]) for n in spans})
         windows = base.mapInArrow(_doc_windows(spans, known), out)
     else:
         found = docs.select("doc_id", "text").mapInArrow(_fingerprint_rows(spans), f"doc_id {doc_type}, n int, pos int, hash long")
@@ -192,7 +191,9 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
         found = found.withColumnRenamed("doc_id", "_id")
         windows = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "text_hash", "hits").mapInArrow(_doc_windows(spans, None), out)
     keys = items.where("key IS NOT NULL").select("key", "item").distinct()
-    hit = windows.join(keys.withColumn("_known", F.lit(True)), "key", "left").where("start = -1 OR _known")
+    # each document's own row has no key, so it stays out of the join; stored, so that the texts are read once
+    windows = stored(windows, "spans")
+    hit = windows.where("start >= 0").join(keys, "key").unionByName(windows.where("start = -1").withColumn("item", F.lit(None).cast("string")))
     per = hit.groupBy("doc_id", "text_hash").agg(
         F.sum(F.when(F.col("start") == -1, 1).otherwise(0)).alias("rows"),
         F.max("n_words").alias("n_words"),
@@ -218,10 +219,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated."""
     from plumbline.sources.shared import stored
 
-    bad = match(docs, benchmark, span).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
+    bad = match(docs, benchmark, span).where(contaminated()).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("th")).distinct()
     bad = stored(bad, "contaminated")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_BAD else bad
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+    # docs travels as one struct, so its columns can have any names
+    keyed = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("hash"), F.struct(*docs.columns).alias("row"))
+    left = keyed.join(bad, F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left_anti")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -66,7 +66,8 @@ def passages(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
         style[:, k] = chars / some / 10
         style[:, k + 1] = np.bincount(at, (lens <= 2), first[-1]) / some
         style[:, k + 2] = _distinct(at, wh, first[-1]) / some
-        style[:, k + 3] = _distinct(at[:-1], pair, first[-1]) / some
+        same = np.flatnonzero(doc[1:] == doc[:-1])  # a pair lies in one text, so a score never depends on the texts beside it
+        style[:, k + 3] = _distinct(at[same], pair[same], first[-1]) / some
         style[:, k + 4] = np.bincount(at, lens == 1, first[-1]) / some
         style[:, k + 5] = size / PASSAGE
         cell = at * BINS + (wh >> ta.U64(57)).astype(np.int64)
@@ -195,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(bags, pa.binary())], names=["id", "y", "x"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = stored(docs.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "_y", "text").mapInArrow(run, f"id {kind}, y int, x binary"), "bags")
+    rows = stored(docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "_y", "text").mapInArrow(run, f"id {kind}, y int, x binary"), "bags")
     width = len(_MARKS) + 6 + BINS
     with tempfile.TemporaryFile() as file:
         told_rows, at = [], 0

@@ -67,6 +67,27 @@ class Model:
         return float(self.weights[feats].sum())
 
 
+def loss_and_gradient(w: np.ndarray, gap: np.ndarray, flat: np.ndarray, owner: np.ndarray, value: np.ndarray, grades: np.ndarray, weight: np.ndarray, l2: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """(negative log likelihood with its penalty, gradient by w, gradient by gap) of rows with the features ``flat`` of ``owner``."""
+    levels = len(gap) + 1
+    thetas = np.cumsum(np.concatenate([gap[:1], np.exp(gap[1:])]))
+    z = np.bincount(owner, w[flat] * value, minlength=len(grades))
+    lo = np.concatenate([[-40.0], thetas])[grades] - z
+    hi = np.concatenate([thetas, [40.0]])[grades] - z
+    sl, sh = 1 / (1 + np.exp(-np.clip(lo, -40, 40))), 1 / (1 + np.exp(-np.clip(hi, -40, 40)))
+    sl, sh = np.where(grades > 0, sl, 0.0), np.where(grades < levels - 1, sh, 1.0)
+    p = np.maximum(sh - sl, 1e-12)
+    dl, dh = sl * (1 - sl), sh * (1 - sh)
+    gz = weight * (dh - dl) / p
+    gt = np.zeros(levels + 1)
+    np.add.at(gt, grades + 1, -weight * dh / p)
+    np.add.at(gt, grades, weight * dl / p)
+    tail = np.cumsum(gt[1:levels][::-1])[::-1]
+    gg = tail * np.concatenate([[1.0], np.exp(gap[1:])])
+    gw = np.bincount(flat, gz[owner] * value, minlength=len(w)) + l2 * w
+    return float(-(weight * np.log(p)).sum() + l2 / 2 * (w * w).sum()), gw, gg
+
+
 def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS, l2: float = 1e-4, rate: float = 0.2) -> Model:
     """Adagrad on the negative log likelihood of the cumulative link model; grades are 0..K-1.
 
@@ -93,21 +114,7 @@ def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS, l
     w, gap = np.full(len(places), 0.1), np.zeros(levels - 1)  # gap: the first threshold, then the logarithms of the gaps
     hw, hg = np.full(len(w), 1e-8), np.full(len(gap), 1e-8)
     for _ in range(steps):
-        thetas = np.cumsum(np.concatenate([gap[:1], np.exp(gap[1:])]))
-        z = np.bincount(owner, w[flat] * value, minlength=len(rows))
-        lo = np.concatenate([[-40.0], thetas])[grades] - z
-        hi = np.concatenate([thetas, [40.0]])[grades] - z
-        sl, sh = 1 / (1 + np.exp(-np.clip(lo, -40, 40))), 1 / (1 + np.exp(-np.clip(hi, -40, 40)))
-        sl, sh = np.where(grades > 0, sl, 0.0), np.where(grades < levels - 1, sh, 1.0)
-        p = np.maximum(sh - sl, 1e-12)
-        dl, dh = sl * (1 - sl), sh * (1 - sh)
-        gz = weight * (dh - dl) / p  # gradient of the negative log likelihood by z
-        gt = np.zeros(levels + 1)
-        np.add.at(gt, grades + 1, -weight * dh / p)
-        np.add.at(gt, grades, weight * dl / p)
-        tail = np.cumsum(gt[1:levels][::-1])[::-1]
-        gg = tail * np.concatenate([[1.0], np.exp(gap[1:])])
-        gw = np.bincount(flat, gz[owner] * value, minlength=len(w)) + l2 * w
+        _, gw, gg = loss_and_gradient(w, gap, flat, owner, value, grades, weight, l2)
         hw += gw * gw
         hg += gg * gg
         w -= rate * gw / np.sqrt(hw)
@@ -134,7 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, max_rows: int = MAX_ROWS
                 got = [*features(data, offs)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.astype(np.int32) for x in got], pa.list_(pa.int32()))], names=["grade", "x"])
 
-    rows = docs.join(chosen, F.col("doc_id") == F.col("_id")).select("_grade", "text").mapInArrow(run, "grade int, x array<int>").toArrow()
+    # only these two columns of docs take part, so no other name of theirs can clash
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("_grade", "text").mapInArrow(run, "grade int, x array<int>").toArrow()
     if not len(rows):
         return Model(np.zeros(PLACES), np.zeros(0))
     grades = rows["grade"].to_numpy()

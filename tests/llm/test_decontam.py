@@ -54,6 +54,12 @@ def test_shuffle_path(spark, monkeypatch):
     assert run(spark, DOCS, ITEMS) == brute(DOCS, ITEMS)
 
 
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, ITEM, 4, 5, 6), (2, "quite another text", 7, 8, 9), (None, ITEM, 1, 1, 1)], "doc_id long, text string, _id int, key int, row int")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert [tuple(r) for r in decontam.clean(docs, items).collect()] == [(2, "quite another text", 7, 8, 9)]
+
+
 def test_empty(spark):
     assert run(spark, [], ITEMS) == []
     assert run(spark, DOCS, []) == brute(DOCS, [])

@@ -38,6 +38,18 @@ def test_stages_against_brute_force(spark, sf):
     assert {r.doc_id: r.ids for r in after} == {d: t.encode(x or "", add_special_tokens=False).ids for d, x in before}
 
 
+def test_clashing_columns(spark):
+    """All stages but the last return the columns of documents as they were, whatever the columns are called."""
+    names = ["_grade", "_severity", "_id", "_th", "severity", "grade", "row", "id", "th", "n", "spans", "ids", "key"]
+    rows = [(i, f"some words of a text number {i} and more of them", *range(len(names))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{x} long" for x in names))
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == ["doc_id", "text", *names]
+        assert {tuple(r)[2:] for r in docs.collect()} == {tuple(range(len(names)))}
+    assert cp.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "en", "s", 0), (2, "", None, None, None), (None, "a b c d e f", "en", "s", 3), (3, "a b c d e f", "en", "s", 3), (3, "a b c d e f", "en", "s", 3), (4, "é" * 100, "x", "y", 100), (5, "q" + "é" * 100, "x", "y", 100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
