@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests, local mode) a local default."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset a local default in local mode, else an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return named.rstrip("/") if named else "file:///tmp/checkpoints/plumbline"
 
 
