@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.plans import checks, dialect, market, more, repairs, windows
+from plumbline.sources.shared import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,21 @@ for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
 for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS | more.PLANS).items():
     _plan(_name, _text)
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check's result over a folder's tables, judged once a session and stored for all scorecards."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = stored(dialect.query(f"WITH {market.results('spark')} SELECT * FROM results")(spark, sf_dir), "results")
+    return _STORED[key]
+
+
+def _scorecard(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: spark.sql(text.replace("FROM results", "FROM {results}"), results=results(spark, sf_dir))
+
+
 for _name, _text in market.SCORECARDS.items():
-    QUERIES[_name] = dialect.query(f"WITH {market.results('spark')} {_text}")
+    QUERIES[_name] = _scorecard(_text)
     SQL[_name] = dialect.oracle(f"WITH {market.results('duckdb')} {_text}")

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Spellings of a missing cell.
-NULL_TOKENS = ["", "NA", "N/A", "na", "n/a", "NaN", "nan", "null", "NULL", "None", "none", "-"]
+NULL_TOKENS = ["", "NA", "N/A", "null", "NULL", "None", "none", "-", "--", "#N/A", "nan", "NaN"]
 
 
 def cleaned(c: Column) -> Column:
@@ -57,14 +57,22 @@ def off_grid(c: Column, step: Column) -> Column:
     return F.pmod(c, step) / step
 
 
-ROOT_CAUSES = [("runtime", "RUNTIME_ERROR"), ("missing", "MISSING_DATA"), ("no data", "MISSING_DATA"), ("duplicate", "DUPLICATES"), ("outside", "RANGE_VIOLATION"), ("negative", "RANGE_VIOLATION"), ("mismatch", "SOURCE_MISMATCH"), ("stale", "STALE_DATA")]
+#: Outcomes, and the check ids that stand for two of them.
+STALE_CHECKS = ["BST-005", "GOV-003", "BT-008"]
+ARTIFACT_CHECKS = ["EOD-018", "BT-023", "INT-011", "EOD-014"]
 
 
-def root_cause(details: Column) -> Column:
-    out = F.lit("OTHER")
-    for word, cause in reversed(ROOT_CAUSES):
-        out = F.when(F.lower(details).contains(word), cause).otherwise(out)
-    return out
+def root_cause(check_id: Column, status: Column, details: Column) -> Column:
+    """One of six outcomes for a result; the first rule that holds decides."""
+    has = lambda *words: F.lower(F.coalesce(details, F.lit(""))).rlike("|".join(words))
+    rules = [
+        (has("data_not_present", "file not found"), "DATA_MISSING"),
+        (has("stale") | check_id.isin(STALE_CHECKS), "DATA_STALE"),
+        (check_id.isin(ARTIFACT_CHECKS), "SYNTHETIC_ARTIFACT"),
+        (has("tbd", "not configured", r"instruments\\.yaml"), "CONFIG_MISMATCH"),
+        (status == "Fail", "DATA_QUALITY"),
+    ]
+    return F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), F.lit(x)) for c, x in rules], F.lit("OK"))
 
 
 def result_score(status: Column, weight: Column) -> Column:

@@ -15,7 +15,7 @@ from plumbline.sources.bars import DAILY, MINUTE, K
 #: In-code default thresholds.
 LIMIT = {
     "stale_days": 5, "return_pct": 25, "gap_days": 10, "volume_z": 5, "price_z": 5, "history_years": 2, "bars_per_day": 375, "day_share": 0.9,
-    "outside_pct": 0.1, "bar_range_pct": 15, "flat_bars": 30, "tick": 0.05, "lot": 25, "as_of": "1998-12-31", "live_as_of": "2024-01-31",
+    "outside_pct": 0.1, "bar_range_pct": 15, "flat_bars": 30, "tick": 0.05, "lot": 25, "as_of": "1998-12-31", "live_as_of": "2024-01-31", "clock_drift_ms": None,
 }
 WT = f"(PARTITION BY {K} ORDER BY d)"
 PK = f"(PARTITION BY {K})"
@@ -47,8 +47,12 @@ def share(cond: str) -> str:
 #: Symbols' reference data, as an instrument file would give it.
 INSTRUMENTS = """
 instruments AS (
-  SELECT 'S0' AS symbol, 'Equity' AS kind, 0.05 AS tick, 1 AS lot, DATE '1991-06-01' AS listed, 'IN0000000000' AS isin UNION ALL
-  SELECT 'S1', 'Futures', 0.05, 25, DATE '1990-01-01', 'TBD' UNION ALL SELECT 'S2', 'ETF', 0.01, 1, CAST(NULL AS date), 'IN0000000002')"""
+  SELECT 'S0' AS symbol, 'Equity' AS kind, 0.05 AS tick, 1 AS lot, DATE '1991-06-01' AS listed, 'IN0000000000' AS isin, 20 AS band_pct, '500000' AS bse_code, 'S0' AS nse_symbol, 'First' AS display_name, 'BSE_S0' AS prefix_bse, 'NSE_S0' AS prefix_nse, '1991-2001' AS eod_data UNION ALL
+  SELECT 'S1', 'Futures', 0.05, 25, DATE '1990-01-01', 'TBD', CAST(NULL AS int), 'TBD', 'S1', 'Second', '', 'NSE_S1', 'TBD' UNION ALL
+  SELECT 'S2', 'ETF', 0.01, 1, CAST(NULL AS date), 'IN0000000002', 10, '500002', 'TBD', NULL, 'BSE_S2', 'TBD', '1992-2001')"""
+#: What a run's configuration has: sources, groups of thresholds, sessions.
+CONFIG = {"source": ["A", "N", "R"], "threshold": ["eod", "intraday", "cross_source", "relation"], "session": ["regular"]}
+CONFIG_ROWS = "config AS (" + " UNION ALL ".join(f"SELECT '{k}' AS part, '{v}' AS name" for k, vs in CONFIG.items() for v in vs) + ")"
 
 EOD_ROWS = f"""{DAILY},
 w1 AS (SELECT *, lag(close) OVER {WT} AS prev_close, lag(d) OVER {WT} AS prev_d, lead(close) OVER {WT} AS next_close,
@@ -155,26 +159,24 @@ b AS (SELECT a.*, expected, expected - coalesce(found, 0) AS missing, @DAYS(DATE
 _FIELDS = ("open", "high", "low", "close", "volume", "open_interest")
 
 
-def _long(relation: str, day: str) -> str:
-    return " UNION ALL ".join(f"SELECT {K}, {day} AS d, {i} AS pos, {f} AS x FROM {relation}" for i, f in enumerate(_FIELDS))
+def _fields(prefix: str, first: int, base: str, relation: str, low: float, high: float, null_max: float, out_max: float, least: int) -> str:
+    """Null share, range share and top-tail share or trend of the six fields, from one read of the bars.
 
-
-def _fields(prefix: str, first: int, base: str, relation: str, low: float, high: float, null_max: float, out_max: float, least: int, day: str = "d") -> str:
-    """Null share, range share and top-tail share or trend of the six fields, each in one pass over a long relation."""
+    Each bar becomes six rows; bounds are windows over a field, counts are summed by year and everything else comes from the years.
+    """
+    own = f"(PARTITION BY {K}, pos)"
+    last = "round(recent, 6)" if prefix == "EOD" else "round(tail, 6)"
+    last_failed = "past > 0 AND recent > 3 * past" if prefix == "EOD" else "tail > 0.02"
     return f"""{base},
-long AS ({_long(relation, day)}),
-q AS (SELECT {K}, pos, @PCT(x, {low}) AS p_lo, @PCT(x, {high}) AS p_hi, @PCT(x, 0.99) AS p99, count(x) AS n_x, {share("x IS NULL")} AS nulls FROM long GROUP BY {K}, pos),
-j AS (SELECT long.*, p_lo, p_hi, p99, n_x, nulls FROM long JOIN q USING ({K}, pos)),
-per AS (SELECT {K}, pos, max(nulls) AS nulls, max(n_x) AS n_x, {share("x < 0.5 * p_lo OR x > 2 * p_hi")} AS outside, {share("x > 1.5 * p99 OR x IS NULL")} AS tail FROM j GROUP BY {K}, pos),
-yearly AS (SELECT {K}, pos, year(d) AS y, {share("x > 1.5 * p99 OR x IS NULL")} AS odd FROM j GROUP BY {K}, pos, year(d)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY {K}, pos ORDER BY y) AS up, row_number() OVER (PARTITION BY {K}, pos ORDER BY y DESC) AS down, count(*) OVER (PARTITION BY {K}, pos) AS many FROM yearly),
-trend AS (SELECT {K}, pos, avg(CASE WHEN down <= 3 THEN odd END) AS recent, avg(CASE WHEN up <= greatest(1, many - 3) THEN odd END) AS past FROM ranked GROUP BY {K}, pos),
-f AS (SELECT * FROM per JOIN trend USING ({K}, pos))
-SELECT {K}, concat('{prefix}-', lpad(cast({first} + 3 * pos as string), 3, '0')) AS check_id, round(nulls, 6) AS value, nulls > {null_max} AS failed FROM f
-UNION ALL SELECT {K}, concat('{prefix}-', lpad(cast({first} + 3 * pos + 1 as string), 3, '0')), round(outside, 6), n_x >= {least} AND outside > {out_max} FROM f
-UNION ALL SELECT {K}, concat('{prefix}-', lpad(cast({first} + 3 * pos + 2 as string), 3, '0')), """ + (
-        "round(recent, 6), past > 0 AND recent > 3 * past FROM f" if prefix == "EOD" else "round(tail, 6), tail > 0.02 FROM f"
-    )
+long AS (SELECT {K}, d, pos, CASE pos {" ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(_FIELDS))} END AS x FROM (SELECT {K}, d, {", ".join(_FIELDS)}, @INTSEQ(0, {len(_FIELDS) - 1}) AS pos FROM {relation}) bar),
+bound AS (SELECT *, @PCT(x, {low}) OVER {own} AS p_lo, @PCT(x, {high}) OVER {own} AS p_hi, @PCT(x, 0.99) OVER {own} AS p99 FROM long),
+yearly AS (SELECT {K}, pos, year(d) AS y, count(*) AS k, count(x) AS k_x, {n("x < 0.5 * p_lo OR x > 2 * p_hi")} AS out_k, {n("x > 1.5 * p99 OR x IS NULL")} AS odd_k FROM bound GROUP BY {K}, pos, year(d)),
+ranked AS (SELECT *, odd_k / (k * 1e0) AS odd, row_number() OVER (PARTITION BY {K}, pos ORDER BY y) AS up, row_number() OVER (PARTITION BY {K}, pos ORDER BY y DESC) AS down, count(*) OVER {own} AS many FROM yearly),
+f AS (SELECT {K}, pos, 1 - sum(k_x) / (sum(k) * 1e0) AS nulls, sum(k_x) AS n_x, sum(out_k) / (sum(k) * 1e0) AS outside, sum(odd_k) / (sum(k) * 1e0) AS tail,
+  avg(CASE WHEN down <= 3 THEN odd END) AS recent, avg(CASE WHEN up <= greatest(1, many - 3) THEN odd END) AS past FROM ranked GROUP BY {K}, pos),
+g AS (SELECT *, @INTSEQ(0, 2) AS part FROM f)
+SELECT {K}, concat('{prefix}-', lpad(cast({first} + 3 * pos + part as string), 3, '0')) AS check_id, CASE part WHEN 0 THEN round(nulls, 6) WHEN 1 THEN round(outside, 6) ELSE {last} END AS value,
+  coalesce(CASE part WHEN 0 THEN nulls > {null_max} WHEN 1 THEN n_x >= {least} AND outside > {out_max} ELSE {last_failed} END, false) AS failed FROM g"""
 
 
 FIELD_CHECKS = {

@@ -9,6 +9,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+_KEYS = "symbol, exchange, source"
+_ROW = ("d", "open", "high", "low", "close", "adj_close", "volume", "open_interest", "inserted", "log", "dir")
+
+
+def _capped_spark(table: str, cap: str) -> str:
+    """Rows of ``table`` with each close that moves too far (dir 1 or -1) cut to the previous, already cut, close."""
+    cut = f"aggregate(arr, cast(array() AS array<double>), (acc, x) -> concat(acc, array(CASE WHEN x.dir <> 0 AND size(acc) > 0 THEN round(element_at(acc, -1) * (1 + x.dir * {cap}e0), 2) ELSE x.close END)))"
+    cells = ", ".join("z.cut AS close" if c == "close" else f"z.arr.{c} AS {c}" for c in _ROW)
+    return f"""SELECT {_KEYS}, {cells} FROM (SELECT {_KEYS}, explode(arrays_zip(arr, cut)) AS z FROM (SELECT {_KEYS}, arr, {cut} AS cut
+    FROM (SELECT {_KEYS}, array_sort(collect_list(struct({", ".join(_ROW)}))) AS arr FROM {table} GROUP BY {_KEYS}) f) g) h"""
+
+
+def _capped_duckdb(table: str, cap: str) -> str:
+    last = ", ".join(f"close := CASE WHEN x[1].dir <> 0 THEN round(acc[-1].close * (1 + x[1].dir * {cap}e0), 2) ELSE x[1].close END" if c == "close" else f"{c} := x[1].{c}" for c in _ROW)
+    rows = f"list(struct_pack({', '.join(f'{c} := {c}' for c in _ROW)}) ORDER BY d)"
+    return f"""SELECT {_KEYS}, {", ".join(f"z.{c} AS {c}" for c in _ROW)} FROM (SELECT {_KEYS}, unnest(list_reduce(list_transform(arr, lambda x: [x]), lambda acc, x: list_append(acc, struct_pack({last})))) AS z
+    FROM (SELECT {_KEYS}, {rows} AS arr FROM {table} GROUP BY {_KEYS}) f) g"""
+
+
 _MACROS: dict[str, dict[str, Callable[..., str]]] = {
     "spark": {
         "DAYS": lambda a, b: f"datediff({a}, {b})",
@@ -30,6 +49,8 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "MODE": lambda x: f"mode({x}, true)",
         "JSON": lambda x, k: f"get_json_object({x}, '$.{k}')",
         "TRUNC": lambda u, t: f"date_trunc('{u}', {t})",
+        "SPLIT": lambda x: f"explode(split({x}, ';'))",
+        "CAPPED": _capped_spark,
     },
     "duckdb": {
         "DAYS": lambda a, b: f"date_diff('day', {b}, {a})",
@@ -50,6 +71,8 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "MODE": lambda x: f"mode({x} ORDER BY {x})",
         "JSON": lambda x, k: f"json_extract_string({x}, '$.{k}')",
         "TRUNC": lambda u, t: f"date_trunc('{u}', {t})",
+        "SPLIT": lambda x: f"unnest(string_split({x}, ';'))",
+        "CAPPED": _capped_duckdb,
     },
 }
 
@@ -99,6 +122,6 @@ def oracle(text: str) -> str:
 def unpivot(rows: list[tuple[str, str, str]], keys: str, source: str, engine: str) -> str:
     """(keys, check_id, value, failed) from columns of one aggregated row: a ``stack``, so the source is read once."""
     if engine == "spark":
-        body = ", ".join(f"'{i}', round(cast({v} as double), 4), coalesce({f}, false)" for i, v, f in rows)
+        body = ", ".join(f"'{i}', nullif(round(cast({v} as double), 4), cast('NaN' as double)), coalesce({f}, false)" for i, v, f in rows)
         return f"SELECT {keys}, stack({len(rows)}, {body}) AS (check_id, value, failed) FROM {source}"
-    return " UNION ALL ".join(f"SELECT {keys}, '{i}' AS check_id, round(cast({v} as double), 4) AS value, coalesce({f}, false) AS failed FROM {source}" for i, v, f in rows)
+    return " UNION ALL ".join(f"SELECT {keys}, '{i}' AS check_id, nullif(round(cast({v} as double), 4), cast('NaN' as double)) AS value, coalesce({f}, false) AS failed FROM {source}" for i, v, f in rows)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from plumbline.plans.checks import CONSENSUS, EOD, INSTRUMENTS, INTRADAY, PAIR_ROWS, PAIRS, RELATION, WT, Family, n, share
+from plumbline.plans import more
+from plumbline.plans.checks import CONSENSUS, EOD, FIELD_CHECKS, INSTRUMENTS, INTRADAY, LIMIT, PAIR_ROWS, PAIRS, RELATION, WT, Family, n, share
 from plumbline.sources.bars import DAILY, DAILY_CLEAN, MINUTE, K
 
 #: An option chain over lineitem: strikes of 5,000, two expiries, calls and puts near their intrinsic value.
@@ -73,9 +74,13 @@ def _last(k: int) -> str:
     return f"(PARTITION BY {K} ORDER BY ts, event_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
 
 
-LIVE_CHECKS = Family(
-    "checks_live",
-    f"""{LIVE},
+def live_checks(drift_ms: float | None = LIMIT["clock_drift_ms"]) -> Family:
+    """Checks of a feed's snapshot; ``drift_ms`` is what the time service reports, absent it LT-019 is skipped."""
+    drift = "CAST(NULL AS double)" if drift_ms is None else f"{float(drift_ms)}e0"
+    return Family("checks_live", _LIVE_BASE, "b", K, (*_LIVE_ROWS, ("LT-019", "Live Hard Critical 5", drift, f"abs({drift}) > 1000")))
+
+
+_LIVE_BASE = f"""{LIVE},
 f1 AS (SELECT *, lag(sec) OVER {WL} AS prev_sec, lag(close) OVER {WL} AS prev_close, lag(nullif(open_interest, 0)) OVER {WL} AS prev_oi, count(*) OVER (PARTITION BY {K}, ts) AS same_ts, row_number() OVER {WL} AS up, row_number() OVER (PARTITION BY {K} ORDER BY ts DESC, event_id DESC) AS down,
   avg(close) OVER {_last(20)} AS c20, stddev_samp(close) OVER {_last(20)} AS s20, count(close) OVER {_last(20)} AS n20, avg(volume) OVER {_last(20)} AS v20, stddev_samp(volume) OVER {_last(20)} AS vs20, avg(close) OVER {_last(60)} AS c60,
   first_value(close) OVER {WL} AS first_close, avg(ask - bid) OVER (PARTITION BY {K}) AS sp_mean, stddev_samp(ask - bid) OVER (PARTITION BY {K}) AS sp_sd FROM feed),
@@ -87,31 +92,29 @@ a AS (SELECT {K}, count(*) AS n, max(last_arrival) AS last_arrival, max(latency)
   {n("abs((ask - bid - sp_mean) / greatest(sp_sd, 0.001e0)) > 3")} AS spreads, max(sec) AS last_sec, {n("close < q1 - 3 * (q3 - q1) OR close > q3 + 3 * (q3 - q1)")} AS extreme, max(CASE WHEN down = 1 THEN r5 / greatest(r60, 1e-8) END) AS vol_ratio,
   {n("((close % 0.05) + 0.05) % 0.05 > 0.0005")} AS off_tick, {n("close < first_close * 0.8 OR close > first_close * 1.2")} AS band, max(held) AS held, {n("session_flag NOT IN ('pre_open', 'normal', 'closing_auction', 'post_close') OR (hhmm BETWEEN 540 AND 554 AND session_flag <> 'pre_open')")} AS bad_flags,
   count(DISTINCT hhmm) AS minutes_seen FROM f3 JOIN q USING ({K}) GROUP BY {K}),
-b AS (SELECT *, (SELECT max(sec) FROM feed) AS now_sec FROM a)""",
-    "b",
-    K,
-    (
-        ("LT-001", "Live Hard Critical 5", "now_sec - last_arrival", "now_sec - last_arrival > 5"),
-        ("LT-002", "Live Hard Critical 5", "latency", "latency > 0.5"),
-        ("LT-003", "Live Hard Critical 5", "1440 - minutes_seen", "1440 - minutes_seen > 2"),
-        ("LT-004", "Live Soft High 4", "spikes", "n >= 10 AND spikes > 0"),
-        ("LT-005", "Live Hard Critical 5", "dups", "dups > 0"),
-        ("LT-006", "Live Soft Medium 3", "v_spikes", "n >= 10 AND v_spikes > 0"),
-        ("LT-007", "Live Hard Critical 5", "outside", "outside > 0"),
-        ("LT-009", "Live Soft Medium 3", "oi_jumps", "oi_jumps > 0"),
-        ("LT-010", "Live Hard Critical 5", "max_gap", "max_gap > 300"),
-        ("LT-011", "Live Soft Medium 3", "drift", "n >= 60 AND drift > 0.03"),
-        ("LT-014", "Live Soft Medium 3", "spreads", "spreads > 0"),
-        ("LT-015", "Live Hard Critical 5", "now_sec - last_sec", "now_sec - last_sec > 120"),
-        ("LT-016", "Live Soft High 4", "extreme", "n >= 20 AND extreme > 0"),
-        ("LT-017", "Live Hard Critical 5", "0", "false"),
-        ("LT-018", "Live Soft Medium 3", "vol_ratio", "n >= 60 AND vol_ratio > 3"),
-        ("MICRO-001", "Live Hard High 5", "off_tick", "off_tick > 0"),
-        ("MICRO-002", "Live Hard High 5", "band", "band > 0"),
-        ("MICRO-003", "Live Hard High 5", "held", "held > 120"),
-        ("MICRO-004", "Live Soft Medium 3", "bad_flags", "bad_flags > 0"),
-    ),
+b AS (SELECT a.*, max(last_sec) OVER (PARTITION BY symbol) AS now_sec FROM a)"""
+_LIVE_ROWS = (
+    ("LT-001", "Live Hard Critical 5", "now_sec - last_arrival", "now_sec - last_arrival > 5"),
+    ("LT-002", "Live Hard Critical 5", "latency", "latency > 0.5"),
+    ("LT-003", "Live Hard Critical 5", "1440 - minutes_seen", "1440 - minutes_seen > 2"),
+    ("LT-004", "Live Soft High 4", "spikes", "n >= 10 AND spikes > 0"),
+    ("LT-005", "Live Hard Critical 5", "dups", "dups > 0"),
+    ("LT-006", "Live Soft Medium 3", "v_spikes", "n >= 10 AND v_spikes > 0"),
+    ("LT-007", "Live Hard Critical 5", "outside", "outside > 0"),
+    ("LT-009", "Live Soft Medium 3", "oi_jumps", "oi_jumps > 0"),
+    ("LT-010", "Live Hard Critical 5", "max_gap", "max_gap > 300"),
+    ("LT-011", "Live Soft Medium 3", "drift", "n >= 60 AND drift > 0.03"),
+    ("LT-014", "Live Soft Medium 3", "spreads", "spreads > 0"),
+    ("LT-015", "Live Hard Critical 5", "now_sec - last_sec", "now_sec - last_sec > 120"),
+    ("LT-016", "Live Soft High 4", "extreme", "n >= 20 AND extreme > 0"),
+    ("LT-017", "Live Hard Critical 5", "0", "false"),
+    ("LT-018", "Live Soft Medium 3", "vol_ratio", "n >= 60 AND vol_ratio > 3"),
+    ("MICRO-001", "Live Hard High 5", "off_tick", "off_tick > 0"),
+    ("MICRO-002", "Live Hard High 5", "band", "band > 0"),
+    ("MICRO-003", "Live Hard High 5", "held", "held > 120"),
+    ("MICRO-004", "Live Soft Medium 3", "bad_flags", "bad_flags > 0"),
 )
+LIVE_CHECKS = live_checks()
 
 #: Feed pairs by minute (LT-008), and intraday agreement of sources (SRC-I*, XREF-002).
 FEED_PAIRS = Family(
@@ -146,18 +149,8 @@ t AS (SELECT symbol, exchange, count(*) AS groups, sum(k) AS n, sum(k * m) / sum
 s AS (SELECT g.symbol, g.exchange, sum(k * (m - grand) * (m - grand)) AS between_ss FROM g JOIN t USING (symbol, exchange) GROUP BY 1, 2)
 SELECT symbol, exchange, groups, cast(n AS bigint) AS n, round((between_ss / (groups - 1)) / (within / (n - groups)), 6) AS f_stat FROM t JOIN s USING (symbol, exchange) WHERE groups >= 2"""
 
-REFERENCE = f"""WITH {DAILY.strip()},
-{INSTRUMENTS.strip()},
-have AS (SELECT symbol, count(DISTINCT source) AS sources, count(*) AS n FROM bars GROUP BY symbol),
-j AS (SELECT symbol, kind, isin, listed, tick, lot, coalesce(sources, 0) AS sources FROM instruments FULL JOIN have USING (symbol))
-SELECT symbol, 'SYM-001' AS check_id, kind IS NULL AS failed FROM j UNION ALL SELECT symbol, 'SYM-002', isin IS NULL OR isin = 'TBD' OR listed IS NULL OR lot IS NULL OR tick IS NULL FROM j
-UNION ALL SELECT symbol, 'SYM-004', sources = 0 FROM j UNION ALL SELECT symbol, 'SYM-005', sources = 0 FROM j UNION ALL SELECT symbol, 'SYM-006', kind IS NULL FROM j
-UNION ALL SELECT symbol, 'INST-001', lot IS NULL FROM j UNION ALL SELECT symbol, 'INST-002', tick IS NULL FROM j UNION ALL SELECT symbol, 'INST-006', isin IS NULL OR isin = 'TBD' FROM j
-UNION ALL SELECT symbol, 'INST-007', listed IS NULL FROM j UNION ALL SELECT symbol, 'INST-009', kind IS NULL FROM j UNION ALL SELECT symbol, 'RD-001', sources < 3 FROM j UNION ALL SELECT symbol, 'RD-002', kind NOT IN ('Equity', 'ETF') OR kind IS NULL FROM j
-UNION ALL SELECT symbol, 'BT-006', kind IS NULL FROM j"""
-
 WEEKLY = f"""WITH {DAILY.strip()}, w AS (SELECT {K}, cast(@TRUNC(week, d) AS date) AS week, @ARGMIN(open, d) AS open, max(high) AS high, min(low) AS low, @ARGMAX(close, d) AS close, sum(volume) AS volume, count(*) AS days FROM bars WHERE close IS NOT NULL GROUP BY 1, 2, 3, 4)
-SELECT *, high < low AS bt_021, high < open AS bt_024 FROM w"""
+SELECT * FROM w"""
 FIVE = f"""WITH {MINUTE.strip()} SELECT {K}, cast(floor(@MICROS(ts) / 300000000e0) AS bigint) AS bucket, @ARGMIN(open, ts) AS open, max(high) AS high, min(low) AS low, @ARGMAX(close, ts) AS close, sum(volume) AS volume FROM minutes GROUP BY 1, 2, 3, 4"""
 CALENDAR = f"""WITH {DAILY_CLEAN.strip()}, span AS (SELECT min(d) AS lo, max(d) AS hi FROM daily_clean), days AS (SELECT @DAYSEQ(lo, hi) AS d FROM span),
 holidays AS (SELECT d FROM days WHERE (month(d) = 1 AND day(d) = 26) OR (month(d) = 8 AND day(d) = 15) OR (month(d) = 10 AND day(d) = 2)),
@@ -167,19 +160,33 @@ SELECT {K}, sum(CASE WHEN t.d IS NOT NULL THEN 1 ELSE 0 END) AS on_calendar, sum
 FROM own LEFT JOIN trading t ON own.d = t.d GROUP BY {K}"""
 CHART = f"""WITH {DAILY.strip()}, c AS (SELECT *, first_value(close) OVER {WT} AS c0, lag(close) OVER {WT} AS pc, avg(volume) OVER (PARTITION BY {K} ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS v20, count(volume) OVER (PARTITION BY {K} ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS k FROM bars)
 SELECT {K}, d, round(close / nullif(pc, 0) - 1, 8) AS ret, round(close / nullif(c0, 0) - 1, 8) AS cumret, close >= open AS up, CASE WHEN k >= 20 THEN round(v20, 6) END AS vma20 FROM c"""
-QUARANTINE = f"""WITH {LIVE.strip()}, f AS (SELECT {K}, cast(@TRUNC(day, ts) AS date) AS d, sum(CASE WHEN hhmm < 555 OR hhmm > 930 THEN 1 ELSE 0 END) AS fails, sum(CASE WHEN arrived - sec > 0.5 THEN 1 ELSE 0 END) AS late FROM feed GROUP BY 1, 2, 3, 4),
-r AS (SELECT *, sum(fails) OVER (PARTITION BY {K} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM f)
-SELECT {K}, d, cast(fails AS bigint) AS fails, cast(total AS bigint) AS total_fails, total > 3 AS quarantined, late > 3 AS frozen FROM r"""
+_COUNTED = f"""{LIVE}, f AS (SELECT {K}, cast(@TRUNC(day, ts) AS date) AS d, sum(CASE WHEN hhmm < 555 OR hhmm > 930 THEN 1 ELSE 0 END) AS fails, sum(CASE WHEN arrived - sec > 0.5 THEN 1 ELSE 0 END) AS late FROM feed GROUP BY 1, 2, 3, 4),
+r AS (SELECT *, sum(fails) OVER (PARTITION BY {K} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM f)"""
+QUARANTINE = f"""WITH {_COUNTED.strip()} SELECT {K}, d, cast(fails AS bigint) AS fails, cast(total AS bigint) AS total_fails, total > 3 AS quarantined, late > 3 AS frozen FROM r"""
 FINGERPRINT = f"""WITH {DAILY.strip()}, {INSTRUMENTS.strip()} SELECT {K}, count(*) AS n_rows, min(d) AS first_d, max(d) AS last_d, cast(round(sum(close) * 100) AS bigint) % 1000000 AS fingerprint, round(@DAYS(max(d), min(d)) / 365.25e0, 4) AS years FROM bars GROUP BY {K}"""
 
-FAMILIES = (DERIVATIVES, FUNDS, LIVE_CHECKS, FEED_PAIRS)
-SCORED = (EOD, INTRADAY, PAIRS, CONSENSUS, RELATION, DERIVATIVES, FUNDS, LIVE_CHECKS, FEED_PAIRS)
+#: Persistent failures of a live feed: quarantine and freeze.
+COUNTERS = Family(
+    "checks_live_counters",
+    f"""{_COUNTED},
+t AS (SELECT {K}, max(total) AS fails, max(late) AS late FROM r GROUP BY {K})""",
+    "t",
+    K,
+    (("LT-012", "Live Hard Critical 5", "fails", "fails > 3"), ("LT-020", "Live Hard Critical 5", "late", "late > 3")),
+)
+FAMILIES = (DERIVATIVES, FUNDS, LIVE_CHECKS, FEED_PAIRS, COUNTERS)
+SCORED = (EOD, INTRADAY, PAIRS, CONSENSUS, RELATION, *FAMILIES, *more.FAMILIES)
+#: Layer, gate, severity and weight of the field checks, whose plans make their ids by arithmetic.
+FIELD_META = {"checks_eod_fields": ("EOD", 24), "checks_intraday_fields": ("INTRADAY", 20)}
 
 
 def results(engine: str) -> str:
     """Common table expressions up to ``results``: every family's verdicts with their metadata."""
-    body = " UNION ALL ".join(f"SELECT symbol, exchange, source, check_id, value, failed FROM ({f.text(engine)}) {f.name}" for f in SCORED)
-    meta = " UNION ALL ".join("SELECT '{}' AS id, '{}' AS layer, '{}' AS gate, '{}' AS severity, {} AS weight".format(i, *m.rsplit(" ", 3)) for f in SCORED for i, m, _, _ in f.rows)
+    plans = [(f.name, f.text(engine)) for f in SCORED] + [*FIELD_CHECKS.items()]
+    body = " UNION ALL ".join(f"SELECT symbol, exchange, source, check_id, value, failed FROM ({text}) {name}" for name, text in plans)
+    told = [(i, m) for f in SCORED for i, m, _, _ in f.rows]
+    told += [(f"{layer[:3]}-{first + k:03d}", f"{layer} Soft {('Medium 3', 'Low 2', 'Low 2')[k % 3]}") for layer, first in FIELD_META.values() for k in range(18)]
+    meta = " UNION ALL ".join("SELECT '{}' AS id, '{}' AS layer, '{}' AS gate, '{}' AS severity, {} AS weight".format(i, *m.rsplit(" ", 3)) for i, m in told)
     status = "CASE WHEN value IS NULL THEN 'Skip' WHEN failed THEN 'Fail' ELSE 'Pass' END"
     return f"""verdicts AS ({body}), specs AS ({meta}),
 results AS (SELECT v.*, layer, gate, severity, weight, {status} AS status, CASE WHEN {status} = 'Pass' THEN weight ELSE 0 END AS weighted FROM verdicts v JOIN specs ON check_id = id)"""
@@ -199,6 +206,6 @@ SCORECARDS = {
       CASE WHEN sum(CASE WHEN status = 'Fail' AND gate = 'Hard' THEN 1 ELSE 0 END) > 0 THEN 'BLOCKED' WHEN sum(CASE WHEN status = 'Fail' THEN 1 ELSE 0 END) > 0 THEN 'WARN' ELSE 'CLEAN' END AS run_status FROM results""",
 }
 PLANS = {
-    "anova_f_stat": ANOVA, "reference_data": REFERENCE, "weekly_resample": WEEKLY, "five_minute_resample": FIVE, "trading_calendar": CALENDAR, "chart_columns": CHART, "live_quarantine": QUARANTINE, "fingerprints": FINGERPRINT,
+    "anova_f_stat": ANOVA, "weekly_resample": WEEKLY, "five_minute_resample": FIVE, "trading_calendar": CALENDAR, "chart_columns": CHART, "live_quarantine": QUARANTINE, "fingerprints": FINGERPRINT,
     "bars_daily": f"WITH {DAILY.strip()} SELECT * FROM bars", "bars_minute": f"WITH {MINUTE.strip()} SELECT symbol, exchange, source, hour(ts) * 60 + minute(ts) AS hhmm, d, open, high, low, close, volume, open_interest FROM minutes",
 }

@@ -1,12 +1,13 @@
 """Window scoring, best-source selection and the merged series.
 
-Windows are consecutive periods of N months from the first month of a symbol's data. Bars are exploded once into
-the frequencies; the window index is arithmetic on months, not a join. Scores are one aggregation over
-(frame, frequency, window); pair agreement is a second one over an equi-join by date.
+Windows are consecutive periods of N months from the first month of a symbol's data. Bars are summed by month, and so
+is the agreement of pairs of sources, which meet once, by date. Only those sums are given to the ten frequencies; the
+window index is arithmetic on months, not a join.
 """
 
 from __future__ import annotations
 
+from plumbline.plans.repairs import eod_chain
 from plumbline.sources.bars import DAILY, K
 
 #: (name, months); 0 months is the whole range.
@@ -15,45 +16,61 @@ WEIGHTS = {
     "completeness": 0.10, "no_duplicates": 0.05, "ohlc_consistency": 0.10, "volume_quality": 0.10, "price_continuity": 0.10, "coverage": 0.10, "adj_close_valid": 0.10, "oi_valid": 0.05, "src_e002": 0.15, "src_e003": 0.15,
 }
 
-_FREQS = " UNION ALL ".join(f"SELECT '{f}' AS freq, {m} AS months, {i} AS freq_ord" for i, (f, m) in enumerate(FREQUENCIES))
+_FREQ = "CASE freq_ord " + " ".join(f"WHEN {i} THEN '{f}'" for i, (f, _) in enumerate(FREQUENCIES)) + " END AS freq"
+_MONTHS = "CASE freq_ord " + " ".join(f"WHEN {i} THEN {m}" for i, (_, m) in enumerate(FREQUENCIES)) + " END AS months"
 _W = f"{K}, freq, idx"
 
 
-def _pair(field: str) -> str:
-    return f"avg(CASE WHEN abs(a{field} / nullif(b{field}, 0) - 1) > 0.001 THEN 1e0 ELSE 0e0 END) * 100"
+def _rolled(relation: str, columns: str) -> str:
+    """Rows by month (month number mi) as rows by window, ten for each: there are few of them."""
+    return f"""SELECT *, CASE WHEN months = 0 THEN 0 ELSE cast(floor(mi / (months * 1e0)) AS int) END AS idx FROM (SELECT *, {_FREQ}, {_MONTHS} FROM (SELECT {columns}, @INTSEQ(0, {len(FREQUENCIES) - 1}) AS freq_ord FROM {relation}) e) f"""
 
 
-SCORES = f"""{DAILY},
-freqs AS ({_FREQS}),
+def _off(field: str) -> str:
+    return f"sum(CASE WHEN abs(a{field} / nullif(b{field}, 0) - 1) > 0.001 THEN 1 ELSE 0 END)"
+
+
+def scores(bars: str = DAILY) -> str:
+    """Common table expressions up to ``scores``. Bars and pairs of bars are summed by month first; windows sum months.
+
+    A window's first bar has no return, so the return into each month is counted apart and taken off where the window begins.
+    """
+    return f"""{bars},
 origin AS (SELECT symbol, min(d) AS first_d, max(d) AS last_d, year(min(d)) * 12 + month(min(d)) AS m0 FROM bars GROUP BY symbol),
-x AS (SELECT bars.*, freq, freq_ord, months, CASE WHEN months = 0 THEN 0 ELSE cast(floor((year(d) * 12 + month(d) - m0) / (months * 1e0)) AS int) END AS idx FROM bars JOIN origin USING (symbol) CROSS JOIN freqs),
-y AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY {_W} ORDER BY d), 0) - 1 AS ret FROM x),
-pairs AS (SELECT a.symbol, a.freq, a.idx, a.source AS s1, a.exchange AS e1, b.source AS s2, b.exchange AS e2, a.open AS ao, b.open AS bo, a.high AS ah, b.high AS bh, a.low AS al, b.low AS bl, a.close AS ac, b.close AS bc
-  FROM x a JOIN x b ON a.symbol = b.symbol AND a.freq = b.freq AND a.idx = b.idx AND a.d = b.d AND a.source < b.source),
-breach AS (SELECT symbol, freq, idx, s1, e1, s2, e2, {_pair("c")} AS c, ({_pair("o")} + {_pair("h")} + {_pair("l")}) / 3 AS ohl FROM pairs GROUP BY symbol, freq, idx, s1, e1, s2, e2),
-sides AS (SELECT symbol, e1 AS exchange, s1 AS source, freq, idx, c, ohl FROM breach UNION ALL SELECT symbol, e2, s2, freq, idx, c, ohl FROM breach),
-agree AS (SELECT {_W}, round(greatest(0e0, 1 - avg(c) / 100), 4) AS src_e002, round(greatest(0e0, 1 - avg(ohl) / 100), 4) AS src_e003 FROM sides GROUP BY {_W}),
+x AS (SELECT bars.*, year(d) * 12 + month(d) - m0 AS mi FROM bars JOIN origin USING (symbol)),
+y AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY {K} ORDER BY d), 0) - 1 AS ret, row_number() OVER (PARTITION BY {K}, mi ORDER BY d) AS nr FROM x),
+by_month AS (SELECT {K}, mi, count(*) AS k, count(DISTINCT d) AS k_d, count(open) + count(high) + count(low) + count(close) AS cells, count(close) AS k_close,
+  sum(CASE WHEN high >= low AND close BETWEEN low AND high AND open BETWEEN low AND high THEN 1 ELSE 0 END) AS ok, sum(CASE WHEN volume = 0 OR volume IS NULL THEN 1 ELSE 0 END) AS no_volume,
+  sum(CASE WHEN adj_close IS NULL THEN 1 ELSE 0 END) AS no_adj, sum(CASE WHEN open_interest < 0 THEN 1 ELSE 0 END) AS bad_oi,
+  sum(CASE WHEN open IS NOT NULL AND high >= low AND close BETWEEN low AND high AND open BETWEEN low AND high THEN 1 ELSE 0 END) AS clean,
+  count(ret) AS rets, sum(CASE WHEN abs(ret) > 0.20 THEN 1 ELSE 0 END) AS jumps, count(CASE WHEN nr = 1 THEN ret END) AS rets_in, sum(CASE WHEN nr = 1 AND abs(ret) > 0.20 THEN 1 ELSE 0 END) AS jumps_in FROM y GROUP BY {K}, mi),
+w0 AS ({_rolled("by_month", "*")}),
+w AS (SELECT *, row_number() OVER (PARTITION BY {_W} ORDER BY mi) AS nth FROM w0),
+pairs AS (SELECT a.symbol, a.mi, a.source AS s1, a.exchange AS e1, b.source AS s2, b.exchange AS e2, a.open AS ao, b.open AS bo, a.high AS ah, b.high AS bh, a.low AS al, b.low AS bl, a.close AS ac, b.close AS bc
+  FROM x a JOIN x b ON a.symbol = b.symbol AND a.d = b.d AND a.source < b.source),
+pair_month AS (SELECT symbol, mi, s1, e1, s2, e2, count(*) AS k, {_off("c")} AS c, {_off("o")} AS o, {_off("h")} AS h, {_off("l")} AS l FROM pairs GROUP BY symbol, mi, s1, e1, s2, e2),
+pair_window AS ({_rolled("pair_month", "*")}),
+breach AS (SELECT symbol, freq, idx, s1, e1, s2, e2, 100e0 * sum(c) / sum(k) AS c, (100e0 * sum(o) / sum(k) + 100e0 * sum(h) / sum(k) + 100e0 * sum(l) / sum(k)) / 3 AS ohl FROM pair_window GROUP BY symbol, freq, idx, s1, e1, s2, e2),
+sided AS (SELECT *, @INTSEQ(1, 2) AS side FROM breach),
+agree AS (SELECT symbol, exchange, source, freq, idx, round(greatest(0e0, 1 - avg(c) / 100), 4) AS src_e002, round(greatest(0e0, 1 - avg(ohl) / 100), 4) AS src_e003
+  FROM (SELECT symbol, freq, idx, CASE side WHEN 1 THEN e1 ELSE e2 END AS exchange, CASE side WHEN 1 THEN s1 ELSE s2 END AS source, c, ohl FROM sided) s GROUP BY {_W}),
+base AS (SELECT {_W}, freq_ord, months, sum(k) AS n_rows, sum(cells) / (4e0 * sum(k)) AS completeness, sum(k_d) / (sum(k) * 1e0) AS no_duplicates, sum(ok) / (sum(k) * 1e0) AS ohlc_consistency, 1 - sum(no_volume) / (sum(k) * 1e0) AS volume_quality,
+  CASE WHEN sum(k) = 1 THEN 0e0 WHEN sum(k_close) <= 1 THEN 1e0 ELSE 1 - (sum(jumps) - sum(CASE WHEN nth = 1 THEN jumps_in ELSE 0 END)) / (greatest(sum(rets) - sum(CASE WHEN nth = 1 THEN rets_in ELSE 0 END), 1) * 1e0) END AS price_continuity,
+  1 - sum(no_adj) / (sum(k) * 1e0) AS adj_close_valid, 1 - sum(bad_oi) / (sum(k) * 1e0) AS oi_valid, sum(clean) AS n_clean_points FROM w GROUP BY {_W}, freq_ord, months),
 period AS (SELECT symbol, freq, freq_ord, months, idx, CASE WHEN months = 0 THEN first_d ELSE cast(@ADDMONTHS(cast(@TRUNC(month, first_d) AS date), idx * months) AS date) END AS window_start,
   CASE WHEN months = 0 THEN last_d ELSE least(last_d, cast(@ADDDAYS(cast(@ADDMONTHS(cast(@TRUNC(month, first_d) AS date), (idx + 1) * months) AS date), -1) AS date)) END AS window_end
-  FROM (SELECT DISTINCT symbol, freq, freq_ord, months, idx FROM x) w JOIN origin USING (symbol)),
-expected AS (SELECT symbol, freq, idx, window_start, window_end, months, freq_ord, greatest(1,
+  FROM (SELECT symbol, freq, freq_ord, months, idx FROM base GROUP BY symbol, freq, freq_ord, months, idx) w JOIN origin USING (symbol)),
+expected AS (SELECT symbol, freq, idx, window_start, window_end, greatest(1,
   cast(floor((@DAYS(window_end, window_start) + 1) / 7e0) AS int) * 5 + CASE WHEN @WEEKDAY(window_start) + (@DAYS(window_end, window_start) + 1) % 7 <= 5 THEN (@DAYS(window_end, window_start) + 1) % 7
     WHEN @WEEKDAY(window_start) >= 5 THEN greatest(0, (@DAYS(window_end, window_start) + 1) % 7 - (7 - @WEEKDAY(window_start)))
     ELSE (@DAYS(window_end, window_start) + 1) % 7 - least(2, @WEEKDAY(window_start) + (@DAYS(window_end, window_start) + 1) % 7 - 5) END) AS n_expected FROM period),
-base AS (SELECT {_W}, count(*) AS n_rows,
-  1 - avg(((CASE WHEN open IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN high IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN low IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN close IS NULL THEN 1e0 ELSE 0e0 END)) / 4) AS completeness,
-  cast(count(DISTINCT d) AS double) / count(*) AS no_duplicates,
-  avg(CASE WHEN high >= low AND close BETWEEN low AND high AND open BETWEEN low AND high THEN 1e0 ELSE 0e0 END) AS ohlc_consistency,
-  1 - avg(CASE WHEN volume = 0 OR volume IS NULL THEN 1e0 ELSE 0e0 END) AS volume_quality,
-  CASE WHEN count(*) = 1 THEN 0e0 WHEN count(close) <= 1 THEN 1e0 ELSE 1 - sum(CASE WHEN abs(ret) > 0.20 THEN 1e0 ELSE 0e0 END) / greatest(count(ret), 1) END AS price_continuity,
-  1 - avg(CASE WHEN adj_close IS NULL THEN 1e0 ELSE 0e0 END) AS adj_close_valid, 1 - avg(CASE WHEN open_interest < 0 THEN 1e0 ELSE 0e0 END) AS oi_valid,
-  sum(CASE WHEN open IS NOT NULL AND high >= low AND close BETWEEN low AND high AND open BETWEEN low AND high THEN 1 ELSE 0 END) AS n_clean_points FROM y GROUP BY {_W}),
-scored AS (SELECT base.*, window_start, window_end, months, freq_ord, n_expected, least(n_rows / (n_expected * 1e0), 1e0) AS coverage, coalesce(src_e002, -1e0) AS src_e002, coalesce(src_e003, -1e0) AS src_e003
+scored AS (SELECT base.*, window_start, window_end, n_expected, least(n_rows / (n_expected * 1e0), 1e0) AS coverage, coalesce(src_e002, -1e0) AS src_e002, coalesce(src_e003, -1e0) AS src_e003
   FROM base JOIN expected USING (symbol, freq, idx) LEFT JOIN agree USING ({_W})),
 scores AS (SELECT *, {" + ".join(f"{w}e0 * {c}" for c, w in WEIGHTS.items())} AS composite_score FROM scored)"""
 
+SCORES = scores()
 SCORE_COLUMNS = ", ".join(f"round({c}, 6) AS {c}" for c in (*WEIGHTS, "composite_score"))
-WINDOW_SCORES = f"WITH {SCORES.strip()} SELECT {K}, freq, window_start, window_end, n_rows, n_expected, cast(n_clean_points AS bigint) AS n_clean_points, {SCORE_COLUMNS} FROM scores"
+WINDOW_SCORES = f"WITH {SCORES.strip()} SELECT {K}, freq, window_start, window_end, cast(n_rows AS bigint) AS n_rows, n_expected, cast(n_clean_points AS bigint) AS n_clean_points, {SCORE_COLUMNS} FROM scores"
 
 #: Ties by score and clean points go to the source that scores higher in the containing window of the next coarser
 #: frequency that decides (here the whole range), then to exchange and source in order.
@@ -64,11 +81,12 @@ ranked AS (SELECT scores.*, row_number() OVER (PARTITION BY symbol, freq, idx OR
 best AS (SELECT * FROM ranked WHERE place = 1)"""
 BEST_SOURCES = f"WITH {SELECTION.strip()} SELECT symbol, freq, window_start, window_end, source AS best_source, exchange AS best_exchange, round(composite_score, 6) AS best_score, cast(n_clean_points AS bigint) AS best_clean_points, n_candidates FROM best"
 
-#: The winner's bars of every quarter, stitched, with provenance.
+#: The winner's repaired bars of every quarter, stitched, with provenance.
 MERGE = f"""{SELECTION},
+{eod_chain(base="").strip()},
 merged AS (SELECT b.symbol, b.d, open, high, low, close, volume, b.source AS _source, b.exchange AS _exchange, window_start AS _window_start, window_end AS _window_end, composite_score AS _dq_score,
   row_number() OVER (PARTITION BY b.symbol, b.d ORDER BY window_start) AS keep
-  FROM bars b JOIN best s ON b.symbol = s.symbol AND b.source = s.source AND b.exchange = s.exchange AND s.freq = 'quarterly' AND b.d BETWEEN s.window_start AND s.window_end)"""
+  FROM repaired b JOIN best s ON b.symbol = s.symbol AND b.source = s.source AND b.exchange = s.exchange AND s.freq = 'quarterly' AND b.d BETWEEN s.window_start AND s.window_end)"""
 FINAL_SERIES = f"WITH {MERGE.strip()} SELECT symbol, d, open, high, low, close, volume, _source, _exchange, 'quarterly' AS _window_freq, _window_start, _window_end, round(_dq_score, 6) AS _dq_score FROM merged WHERE keep = 1"
 PROVENANCE = f"WITH {MERGE.strip()} SELECT symbol, _window_start, max(_source) AS source, max(_exchange) AS exchange, round(max(_dq_score), 6) AS score, count(*) AS n_rows FROM merged WHERE keep = 1 GROUP BY symbol, _window_start"
 

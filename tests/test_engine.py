@@ -10,7 +10,7 @@ from plumbline.plans import checks, dialect, market, repairs
 from plumbline.sources import vendor_csv
 from plumbline.streaming import live
 
-SMALL = ["checks_eod", "checks_intraday", "checks_source_pairs", "checks_consensus", "checks_relation", "checks_eod_fields", "repair_eod", "window_scores", "best_sources", "final_series", "trading_calendar"]
+SMALL = sorted(set(catalogue.QUERIES) - set(market.SCORECARDS)) + ["market_scorecard", "top_failures"]
 
 
 def plain(rows):
@@ -69,10 +69,93 @@ def test_vendor_files(spark, tmp_path):
 
 
 def test_capped_returns_follow_the_capped_close(spark):
-    rows = [(1, 100.0), (2, 150.0), (3, 300.0), (4, 290.0), (5, None), (6, 100.0)]
-    df = spark.createDataFrame([("s", "e", "v", d, c) for d, c in rows], "symbol string, exchange string, source string, d int, close double")
-    got = [r.close for r in repairs.capped_returns(df).orderBy("d").collect()]
-    assert got == [100.0, 120.0, 144.0, 290.0, None, 232.0]
+    """RECT-EOD-009 on a table: each far close is cut to the previous, already cut, one."""
+    rows = [(1, 100.0, 0), (2, 150.0, 1), (3, 300.0, 1), (4, 290.0, 0), (5, 100.0, -1), (6, 101.0, 0)]
+    df = spark.createDataFrame([("s", "e", "v", d, c, c, c, c, None, 1.0, 1.0, 0, "", k) for d, c, k in rows], "symbol string, exchange string, source string, d int, open double, high double, low double, close double, adj_close double, volume double, open_interest double, inserted int, log string, dir int")
+    got = [r.close for r in spark.sql(dialect.render("@CAPPED({t}, 0.2)", "spark"), t=df).orderBy("d").collect()]
+    assert got == [100.0, 120.0, 144.0, 290.0, 232.0, 101.0]
+
+
+def test_repaired_frames_against_a_plain_loop(spark, sf):
+    """The chain's caps over real frames, row by row in Python from the step before."""
+    text = repairs.EOD_REPAIRED[: repairs.EOD_REPAIRED.index("r009 AS")].rstrip().rstrip(",")
+    rows = dialect.query(text + " SELECT symbol, exchange, source, d, close, dir FROM way")(spark, sf).collect()
+    want, last = {}, {}
+    for r in sorted(rows, key=lambda r: (r.symbol, r.exchange, r.source, r.d)):
+        key = (r.symbol, r.exchange, r.source)
+        last[key] = round(last[key] * (1 + r.dir * repairs.CAP), 2) if r.dir and key in last else r.close
+        want[(*key, r.d)] = last[key]
+    got = {(r.symbol, r.exchange, r.source, r.d): r.close for r in catalogue.QUERIES["repair_eod"](spark, sf).collect()}
+    assert got.keys() == want.keys() and sum(r.dir != 0 for r in rows) > 100
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in got)
+
+
+def test_missing_weekdays_are_inserted_flat(spark):
+    import datetime as dt
+
+    rows = [("s", "e", "v", dt.date(2024, 1, d), *(x,) * 5, 10.0, 1.0) for d, x in ((1, 10.0), (4, 11.0), (8, 11.5))]  # a Monday, the Thursday after, the next Monday
+    df = spark.createDataFrame(rows, "symbol string, exchange string, source string, d date, open double, high double, low double, close double, adj_close double, volume double, open_interest double")
+    text = "WITH " + repairs.eod_chain("2024-12-31", base="bars AS (SELECT * FROM {t})") + " SELECT day(d) AS d, close, inserted, log FROM repaired ORDER BY d"
+    got = [tuple(r) for r in spark.sql(dialect.render(text, "spark"), t=df).collect()]
+    assert [r[:3] for r in got] == [(1, 10.0, 0), (2, 10.0, 1), (3, 10.0, 1), (4, 11.0, 0), (5, 11.0, 1), (8, 11.5, 0)]
+    assert all(("RECT-EOD-002" in r[3]) == bool(r[2]) for r in got)
+
+
+def test_rule_audit_counts_cells(spark):
+    rules = catalogue.QUERIES["repair_rules"](spark, "/root/testdata/sf0.01").collect()
+    assert {"RECT-EOD-001", "RECT-EOD-005", "RECT-EOD-004", "RECT-EOD-009", "RECT-EOD-011", "RECT-EOD-012"} <= {r.rule_id for r in rules}
+    assert all(r.changes >= r.rows_modified > 0 and r.confidence >= repairs.MIN_CONFIDENCE for r in rules)
+
+
+#: Checks whose planted faults are in some frames and not in others.
+BOTH_WAYS = ["BT-001", "BT-002", "SRC-E014", "SYM-004", "SYM-005", "SYM-006", "TF-002", "BT-011", "EOD-046", "SYM-002", "RD-002", "INST-003", "INST-004", "INST-005", "INST-006", "INST-007", "INST-008", "INST-010", "INST-011", "INST-012"]
+
+
+def test_checks_pass_and_fail(spark):
+    """Every check of the stored results is there; those with planted faults fail in some frames and pass in others."""
+    rows = catalogue.QUERIES["check_results"](spark, "/root/testdata/sf0.01").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.check_id, set()).add(r.status)
+    assert len(by) >= 230
+    assert all({"Pass", "Fail"} <= by[i] for i in BOTH_WAYS), [i for i in BOTH_WAYS if not {"Pass", "Fail"} <= by[i]]
+    assert by["LT-019"] == {"Skip"} and "Skip" in by["EOD-046"]
+
+
+def test_clock_drift(spark, sf):
+    for drift, failed in ((1500, True), (-2000, True), (20, False)):
+        rows = [r for r in dialect.query(market.live_checks(drift).text("spark"))(spark, sf).collect() if r.check_id == "LT-019"]
+        assert rows and all(r.failed is failed and r.value == drift for r in rows)
+
+
+def test_anova_tail(spark):
+    """The finite form of the tail against a numeric integral of the F density."""
+    import math
+
+    def tail(f, d1, d2, steps=200_000, top=2_000.0):
+        c = math.exp(math.lgamma((d1 + d2) / 2) - math.lgamma(d1 / 2) - math.lgamma(d2 / 2) + d1 / 2 * math.log(d1 / d2))
+        # substitution u = 1 / (1 + x) keeps the range finite
+        total, lo, hi = 0.0, 0.0, 1 / (1 + f)
+        for i in range(steps):
+            u = (i + 0.5) * hi / steps
+            x = 1 / u - 1
+            total += c * x ** (d1 / 2 - 1) * (1 + d1 * x / d2) ** (-(d1 + d2) / 2) / (u * u)
+        return total * hi / steps
+
+    for d1, f in ((2, 1.7), (4, 2.9)):
+        d2 = 57
+        x, b = d2 / (d2 + d1 * f), d2 / 2
+        want = x**b if d1 == 2 else x**b * (1 + b * (1 - x))
+        assert abs(tail(f, d1, d2) - want) < 1e-4
+
+
+def test_root_causes_and_null_tokens(spark):
+    rows = [("EOD-001", "Fail", "Data_Not_Present"), ("GOV-003", "Pass", ""), ("EOD-002", "Fail", "stale since"), ("INT-011", "Fail", None), ("SYM-002", "Fail", "isin TBD"), ("EOD-005", "Fail", "3 rows"), ("EOD-005", "Pass", None)]
+    df = spark.createDataFrame(rows, "id string, status string, details string")
+    got = [r[0] for r in df.select(sem.root_cause(F.col("id"), F.col("status"), F.col("details"))).collect()]
+    assert got == ["DATA_MISSING", "DATA_STALE", "DATA_STALE", "SYNTHETIC_ARTIFACT", "CONFIG_MISMATCH", "DATA_QUALITY", "OK"]
+    cells = spark.createDataFrame([(x,) for x in ["--", "#N/A", " NA ", "1.5", "na"]], "x string")
+    assert [r[0] for r in cells.select(sem.cleaned(F.col("x"))).collect()] == [None, None, None, "1.5", "na"]
 
 
 def test_operators(spark):
