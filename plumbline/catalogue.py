@@ -29,21 +29,26 @@ for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
 for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS | more.PLANS).items():
     _plan(_name, _text)
-_STORED: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every check's result over a folder's tables, judged once a session and stored for all scorecards."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        _STORED[key] = stored(dialect.query(f"WITH {market.results('spark')} SELECT * FROM results")(spark, sf_dir), "results")
-    return _STORED[key]
+def _once(name: str, text: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The rows of a plan over a folder's tables, made once a session and stored for all plans that read them."""
 
+    def made(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (name, spark.sparkContext.applicationId, sf_dir)
+        if key not in _STORED:
+            _STORED[key] = stored(dialect.query(text)(spark, sf_dir), name)
+        return _STORED[key]
 
-def _scorecard(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: spark.sql(text.replace("FROM results", "FROM {results}"), results=results(spark, sf_dir))
+    return made
 
 
+results = _once("results", f"WITH {market.results('spark')} SELECT * FROM results")
+scores = _once("scores", windows.ALL_SCORES)
+for _name, _made in windows.OVER_SCORES.items():
+    QUERIES[_name] = dialect.query(_made(windows.STORED_SCORES), scores=scores)
+    SQL[_name] = dialect.oracle(_made())
 for _name, _text in market.SCORECARDS.items():
-    QUERIES[_name] = _scorecard(_text)
+    QUERIES[_name] = dialect.query(_text.replace("FROM results", "FROM {results}"), results=results)
     SQL[_name] = dialect.oracle(f"WITH {market.results('duckdb')} {_text}")

@@ -50,6 +50,7 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "JSON": lambda x, k: f"get_json_object({x}, '$.{k}')",
         "TRUNC": lambda u, t: f"date_trunc('{u}', {t})",
         "SPLIT": lambda x: f"explode(split({x}, ';'))",
+        "JOINED": lambda order, x: f"array_join(transform(array_sort(collect_list(struct({order} AS o, {x} AS x))), e -> e.x), ';')",
         "CAPPED": _capped_spark,
     },
     "duckdb": {
@@ -72,6 +73,7 @@ _MACROS: dict[str, dict[str, Callable[..., str]]] = {
         "JSON": lambda x, k: f"json_extract_string({x}, '$.{k}')",
         "TRUNC": lambda u, t: f"date_trunc('{u}', {t})",
         "SPLIT": lambda x: f"unnest(string_split({x}, ';'))",
+        "JOINED": lambda order, x: f"string_agg({x}, ';' ORDER BY {order})",
         "CAPPED": _capped_duckdb,
     },
 }
@@ -102,11 +104,12 @@ def render(text: str, engine: str) -> str:
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def query(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    """The Spark query of a plan over the Parquet tables of a folder."""
+def query(text: str, **more: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The Spark query of a plan over the Parquet tables of a folder, and over the tables that ``more`` makes of it."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+        used |= {t: made(spark, sf_dir) for t, made in more.items()}
         return spark.sql(render(text, "spark"), **used)
 
     return run
