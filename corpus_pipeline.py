@@ -18,8 +18,10 @@ from plumbline.sources.shared import stored
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose likeliest severity grade is the lowest."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic")
-    scored = toxicity.score(docs.select("text", F.struct(*docs.columns).alias("row")), model)
-    return scored.where("grade = 0").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    # columns get private names on the way, so that none clashes with the scores and no text travels twice
+    own = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    scored = toxicity.score(docs.select(*[F.col(c).alias(x) for c, x in own.items()]), model)
+    return scored.where("grade = 0").select(*[F.col(x).alias(c) for c, x in own.items()])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

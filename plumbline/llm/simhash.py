@@ -3,12 +3,14 @@
 Each text gets a 64-bit fingerprint of its word shingles. The distinct fingerprints are compared: correlated
 bits are grouped into m partitions, and partition i gets a threshold t_i with sum(t_i) = limit - m + 1, so two
 fingerprints within ``limit`` bits differ by at most t_i bits in some partition i. Partitions and thresholds
-come from statistics of all fingerprints: a dynamic programme takes the thresholds that cost the fewest probes
-and estimated candidates. One side enumerates the values within t_i, the other is looked up by its own value, and
+come from statistics of all fingerprints: the pairs with equal values of each partition are counted from its histogram of
+values, those within more bits are scaled from it, and a dynamic programme takes the thresholds that cost the fewest
+probes and candidates. One side enumerates the values within t_i, the other is looked up by its own value, and
 ``bit_count`` of the XOR verifies each candidate.
 
 Linked fingerprints form components. Nearest links come first (neighbours in sorted order), and pairs that are in
-one component already are not listed again, so a large group of near copies gives few links. Components come from
+one component already are not listed again, so a large group of near copies gives few links. Where many fingerprints
+share a value, those of the value's largest group are not compared with each other at all. Components come from
 large-star and small-star joins on stored tables.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other; repeated rows and
@@ -32,6 +34,8 @@ from plumbline.sources.shared import drop_stored, stored
 SHINGLE = 4
 LIMIT = 4
 SEED = 42
+#: A probe is a row that is shuffled and sorted, a candidate is one comparison of two longs; this many weigh as much.
+PROBE_COST = 10
 
 
 def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
@@ -106,8 +110,19 @@ def group_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
     return groups
 
 
-def estimated_pairs(n: int, both: np.ndarray, group: list[int], limit: int) -> list[float]:
-    """Pairs expected to differ by at most t bits in the group, for t = 0..limit, from each bit's frequency."""
+def equal_pairs(fps: DataFrame, groups: list[list[int]]) -> list[int]:
+    """Pairs of rows with equal values of each group of bits, from the histogram of the values of all rows."""
+    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_signed(g))).alias("v")) for i, g in enumerate(groups)])
+    counts = fps.select(F.explode(values).alias("x")).groupBy("x.i", "x.v").agg(F.count("*").alias("n"))
+    got = {r.i: r.pairs for r in counts.groupBy("i").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("pairs")).collect()}
+    return [int(got.get(i) or 0) for i in range(len(groups))]
+
+
+def estimated_pairs(n: int, both: np.ndarray, group: list[int], limit: int, equal: int) -> list[float]:
+    """Pairs expected to differ by at most t bits in the group, for t = 0..limit.
+
+    ``equal`` is the count for t = 0; larger t are in the proportion that the bits' frequencies give.
+    """
     p = both.diagonal()[group] / max(n, 1)
     differ = 2 * p * (1 - p)
     dist = np.zeros(limit + 2)
@@ -115,7 +130,9 @@ def estimated_pairs(n: int, both: np.ndarray, group: list[int], limit: int) -> l
     for d in differ:
         dist[1:] = dist[1:] * (1 - d) + dist[:-1] * d
         dist[0] *= 1 - d
-    return (np.cumsum(dist[: limit + 1]) * n * (n - 1) / 2).tolist()
+    most = n * (n - 1) / 2
+    chance = np.cumsum(dist[: limit + 1])
+    return np.minimum(equal + (chance - chance[0]) * most * max(1.0, equal / max(chance[0] * most, 1.0)), most).tolist()
 
 
 def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
@@ -135,15 +152,16 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 def plan(fps: DataFrame, limit: int = LIMIT, most: int = 6) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition, for the number of partitions that costs least."""
     n, both = bit_statistics(fps)
+    ways = [group_bits(n, both, m) for m in range(2, min(most, limit + 1) + 1)]
+    equal = iter(equal_pairs(fps, [g for groups in ways for g in groups]))
     found = None
-    for m in range(2, min(most, limit + 1) + 1):
-        groups = group_bits(n, both, m)
+    for groups in ways:
         costs = []
         for g in groups:
-            pairs = estimated_pairs(n, both, g, limit)
+            pairs = estimated_pairs(n, both, g, limit, next(equal))
             probes = list(itertools.accumulate(n * comb(len(g), t) for t in range(limit + 1)))
-            costs.append([0.0, *[n + a + b for a, b in zip(pairs, probes)]])
-        cost, ts = allocate(costs, limit - m + 1)
+            costs.append([0.0, *[PROBE_COST * (n + b) + a for a, b in zip(pairs, probes)]])
+        cost, ts = allocate(costs, limit - len(groups) + 1)
         if found is None or cost < found[0]:
             found = (cost, [(g, t) for g, t in zip(groups, ts) if t >= 0])
     return found[1]
@@ -197,7 +215,8 @@ def near_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -
 def search_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -> DataFrame:
     """Links (a, b), a < b, between all pairs of fingerprints within ``limit`` bits that aren't in one group yet.
 
-    ``fps`` has fp and grp. A probe is the value of a partition with up to its threshold of bits flipped.
+    ``fps`` has fp and grp. A probe is the value of a partition with up to its threshold of bits flipped. A probe of a
+    value's largest group meets the other groups' fingerprints only, so k near copies never make k * k candidates.
     """
     probes, own = [], []
     for i, (bits, t) in enumerate(parts):
@@ -211,9 +230,15 @@ def search_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int)
     for x, y in zip(probes[1:], own[1:], strict=True):
         left, right = left.unionByName(x), right.unionByName(y)
     right = right.select("part", "value", F.col("fp").alias("b"), F.col("grp").alias("gb"))
+    sizes = right.groupBy("part", "value", "gb").agg(F.count("*").alias("n")).groupBy("part", "value").agg(F.max(F.struct("n", "gb")).alias("m"))
+    sizes = sizes.select("part", "value", F.col("m.gb").alias("largest"))
+    own, left = right.join(sizes, ["part", "value"]), left.join(sizes, ["part", "value"])
     close = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (distance(F.col("a"), F.col("b")) <= limit)
-    same = (left.part == right.part) & (left.value == right.value)
-    return left.join(right, same & close).select("a", "b").distinct()
+    out = None
+    for some, others in ((left, own.where("gb <> largest")), (left.where("ga <> largest"), own.where("gb = largest"))):
+        found = some.drop("largest").join(others.drop("largest"), ["part", "value"]).where(close).select("a", "b")
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -254,9 +279,13 @@ def grouped(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
     by_a = found.join(of, found.a == of.x).select(F.col("g").alias("ga"), "b")
     cross = by_a.join(of, by_a.b == of.x).select(F.col("ga").alias("a"), F.col("g").alias("b")).distinct()
     roots = components(cross)
+    drop_stored(fps)
     final = known.join(roots, known.grp == roots.node, "left").select("fp", "least", F.coalesce("root", "grp").alias("comp"))
     ids = final.groupBy("comp").agg(F.min("least").alias("component_id"))
-    return final.join(ids, "comp").select("fp", "component_id")
+    done = stored(final.join(ids, "comp").select("fp", "component_id"), "groups")
+    drop_stored(known)
+    drop_stored(roots)
+    return done
 
 
 def near_duplicates(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
@@ -268,13 +297,15 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE)
 def keep_one(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document with the smallest doc_id.
 
-    Only keys of 16 bytes take part in the choice; the texts are shuffled once, by key.
+    Only keys of 16 bytes take part in the choice; the texts are shuffled once, by key. ``docs`` travels as one struct,
+    so its columns can have any names.
     """
-    none = F.lit(-(1 << 63))  # stands for a null doc_id
-    best = near_duplicates(docs, limit, shingle).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("b"))
-    best = best.select(F.coalesce(F.col("b.doc_id"), none).alias("_id"), F.col("b.th").alias("_th"))
-    keyed = docs.withColumn("_id", F.coalesce("doc_id", none)).withColumn("_th", F.xxhash64("text"))
-    return keyed.join(best, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]).select(docs.columns)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = stored(near_duplicates(docs, limit, shingle), "near")
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("b")).select("b.*").select("none", key.alias("id"), "th")
+    keyed = docs.select(F.col("doc_id").isNull().alias("none"), key.alias("id"), F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
+    # the same keys, none of them null, so that the join and the choice of one row read one shuffle of the texts
+    return keyed.join(best, ["none", "id", "th"], "left_semi").dropDuplicates(["none", "id", "th"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

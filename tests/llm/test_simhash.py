@@ -87,3 +87,44 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 107), (107, 103), (200, 201), (5, 5)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got.get(i, i) == 0 for i in range(41)) and got[107] == got[103] == 100 and got[201] == 200
+
+
+def test_pairs_of_one_group_are_left_out(spark):
+    """Two large groups that share values: only links between them are listed, and the larger group never meets itself."""
+    rng = random.Random(8)
+    base = rng.getrandbits(63)
+    fps = sorted({base ^ sum(1 << b for b in rng.sample(range(60), rng.randrange(0, 4))) for _ in range(250)})
+    group = {x: rng.randrange(4) if rng.random() < 0.4 else 0 for x in fps}
+    want = {(a, b) for a in fps for b in fps if a < b and group[a] != group[b] and (a ^ b).bit_count() <= 4}
+    df = spark.createDataFrame([(x, group[x]) for x in fps], "fp long, grp long")
+    parts = simhash.plan(df)
+    assert {(r.a, r.b) for r in simhash.search_links(df, parts, 4).collect()} == want
+
+
+def test_plan_counts_candidates_from_the_histogram(spark):
+    """Equal pairs are exact; estimates for more bits are within a factor of the true ones on real fingerprints."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fps = simhash.fingerprints(docs).select("fp").distinct()
+    xs = [r.fp & (1 << 64) - 1 for r in fps.collect()]
+    n, both = simhash.bit_statistics(fps)
+    groups = simhash.group_bits(n, both, 5)
+    equal = simhash.equal_pairs(fps, groups)
+    for g, e in zip(groups, equal):
+        mask = sum(1 << b for b in g)
+        near = [0] * 65
+        for i in range(len(xs)):
+            for j in range(i):
+                near[((xs[i] ^ xs[j]) & mask).bit_count()] += 1
+        told = simhash.estimated_pairs(n, both, g, 4, e)
+        assert e == near[0] and told[0] == e
+        assert all(sum(near[: t + 1]) / 8 <= told[t] <= 8 * sum(near[: t + 1]) for t in (1, 2))
+    parts = simhash.plan(fps)
+    m = len(simhash.group_bits(n, both, len(parts)))
+    assert sum(t for _, t in parts) - (m - len(parts)) == 4 - m + 1 and sorted(b for g, _ in parts for b in g) == [*range(64)]
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x", 1, 5), (2, "a b c d e f", "y", 2, 6), (None, "p q r s t u v w", "z", 3, 7), (4, None, "q", 4, None)], "doc_id long, text string, _id string, th long, id long")
+    got = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
+    assert got == [(1, "a b c d e f", "x", 1, 5), (4, None, "q", 4, None), (None, "p q r s t u v w", "z", 3, 7)]
+    assert simhash.keep_one(docs.limit(0)).count() == 0
