@@ -143,7 +143,7 @@ def test_probabilities_sum_to_one(spark):
 
 
 def test_planted_and_labelled_junk_goes_and_clean_texts_stay(spark):
-    """Texts that pass the base rules: labels take no part in the bands, so all of them are held out."""
+    """Texts that pass the base rules. No label takes part in a fit, but the widths and the scatter term were chosen on these."""
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang"), spark.read.parquet(f"{d}/labels.parquet")
     clean = docs.where("lang = 'en'").join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id").orderBy("doc_id").limit(60).collect()
