@@ -53,7 +53,7 @@ FEW_BUCKETS = 4096
 BATCH_BYTES = 16 << 20
 #: Strings that an index takes at once, in bytes (it needs some 200 times that while it is built): a larger bucket is
 #: cut by anchor, and the contexts of an anchor that alone are larger by the hash of each string of ``match`` bytes.
-INDEX_BYTES = 450_000
+INDEX_BYTES = 300_000
 #: Texts of the sample that finds hot anchors, and the share of its texts (HOT_LEAST at least) that makes an anchor hot.
 HOT_SAMPLE = 64
 HOT_SHARE = 1 / 2048
