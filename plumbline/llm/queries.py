@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontam, mil, passages, perplexity, sharding, simhash, substrings, toxicity, urls
+from plumbline.llm import bpe, decontam, fim, mil, packing, passages, perplexity, resample, sharding, simhash, substrings, toxicity, urls
 
 
 def tokenizer_path() -> str:
@@ -18,6 +18,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path())
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op13(spark, sf_dir, tokenizer_path())
+
+
 QUERIES = {
     "op1_toxicity": toxicity.op1,
     "op2_url_filter": urls.op2,
@@ -29,5 +33,8 @@ QUERIES = {
     "op8_perplexity": perplexity.op8,
     "op9_passages": passages.op9,
     "op10_bpe": op10_bpe,
+    "op11_fim": fim.op11,
+    "op12_resampling": resample.op12,
+    "op13_packing": op13_packing,
 }
-SQL = {"op2_url_filter": urls.OP2_SQL, "op3_decontamination": decontam.OP3_SQL, "op4_sharding": sharding.OP4_SQL}
+SQL = {"op2_url_filter": urls.OP2_SQL, "op3_decontamination": decontam.OP3_SQL, "op4_sharding": sharding.OP4_SQL, "op11_fim": fim.OP11_SQL}
