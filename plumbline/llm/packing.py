@@ -12,8 +12,8 @@ padding.
 Defined cases: a null list is an empty example; an example without ids has no piece (with an end id it has one token);
 an example above a limit is cut at the limit, also where cutting is not asked for; a loss mask shorter than its ids, or
 null, counts as bearing loss where it says nothing; null ids are taken as 0; repeated rows and keys are packed row by row;
-an empty table gives no rows; a column of the input that has an output's name is replaced. Sequence ids number the
-partitions of the input, so the input must give the same rows when a lost task is run again, as scans, stored tables and
+an empty table gives no rows; a column of the input that has an output's name is replaced. Sequence ids are a task's
+partition and a count with gaps, so the input must give the same rows when a lost task is run again, as scans, stored tables and
 sorted shuffles do.
 """
 
@@ -139,41 +139,61 @@ def _powers(own: list[tuple[int, int, int]], most: int) -> Iterator[list[tuple[i
         yield part
 
 
-def _pieces(limits: tuple[int, int, int], cut: bool, end: int | None, rest: list[str], name: str, finish):
-    """Rows of the columns ``rest``, ``OUTPUTS`` and what ``finish`` makes of the ids of each piece."""
+def _lot(table: pa.Table, flat: np.ndarray, offs: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int], cut: bool, first: int, name: str, finish) -> Iterator[pa.RecordBatch]:
+    """The pieces of a lot's examples (the rows of ``table``) in sequences numbered from ``first`` on.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows have the columns of ``table``, ``OUTPUTS`` and, as ``name``, what ``finish`` makes of the ids of each piece.
+    """
+    rows, held = [], 0
+
+    def closed() -> pa.RecordBatch:
+        i, start, n, seq, at = np.array(rows, np.int64).reshape(-1, 5).T
+        begin = offs[i] + start
+        own = table.take(pa.array(i)).combine_chunks().to_batches()[0]
+        made = [start, n, loss[begin + n] - loss[begin], offs[i + 1] - offs[i], seq, at]
+        return pa.RecordBatch.from_arrays([*own.columns, *map(pa.array, made), finish([flat[a : a + k] for a, k in zip(begin.tolist(), n.tolist())])], names=[*table.column_names, *OUTPUTS, name])
+
+    for sequence in sequences(offs, loss, limits, cut):
+        at = 0
+        for i, start, n in sequence:
+            rows.append((i, start, n, first, at))
+            at += n
+        first, held = first + 1, held + at
+        if held >= BATCH_TOKENS:
+            yield closed()
+            rows, held = [], 0
+    if rows:
+        yield closed()
+
+
+class _Numbers:
+    """Sequence ids of the task at hand: its partition, and a count."""
+
+    def __init__(self):
+        self.task, self.next = None, 0
+
+    def take(self, n: int) -> int:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 33
+        at = TaskContext.get()
+        if self.task != at.taskAttemptId():
+            self.task, self.next = at.taskAttemptId(), at.partitionId() << 33
+        self.next += n
+        return self.next - n
+
+
+def _pieces(limits: tuple[int, int, int], cut: bool, end: int | None, rest: list[str], name: str, finish):
+    """Lots of consecutive rows (ids, loss, the columns ``rest``), packed."""
+    numbers = _Numbers()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, masks, kept, sizes, waiting = [], [], [], [], 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            nonlocal number
             offs = np.concatenate([[0], np.cumsum(sizes)])
             flat = np.concatenate([np.zeros(0, np.uint32), *ids])
             loss = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, bool), *masks]))])
-            table, rows, held = pa.Table.from_batches(kept), [], 0
-
-            def closed() -> pa.RecordBatch:
-                i, start, n, seq, at = np.array(rows, np.int64).reshape(-1, 5).T
-                first = offs[i] + start
-                own = table.take(pa.array(i)).combine_chunks().to_batches()[0]
-                made = [start, n, loss[first + n] - loss[first], offs[i + 1] - offs[i], seq, at]
-                last = finish([flat[a : a + k] for a, k in zip(first.tolist(), n.tolist())])
-                return pa.RecordBatch.from_arrays([*own.columns, *map(pa.array, made), last], names=[*rest, *OUTPUTS, name])
-
-            for sequence in sequences(offs, loss, limits, cut):
-                at = 0
-                for i, start, n in sequence:
-                    rows.append((i, start, n, number, at))
-                    at += n
-                number, held = number + 1, held + at
-                if held >= BATCH_TOKENS:
-                    yield closed()
-                    rows, held = [], 0
-            if rows:
-                yield closed()
+            yield from _lot(pa.Table.from_batches(kept), flat, offs, loss, limits, cut, numbers.take(len(flat)), name, finish)
 
         for batch in batches:
             own, begun = pa.RecordBatch.from_struct_array(batch.column(2)), 0
@@ -213,6 +233,11 @@ def _packed(examples: DataFrame, ids: str, loss: str | None, limits: tuple[int,
     return rows.toDF("ids", "loss", "rest").mapInArrow(_pieces(limits, cut, end, [*rest, hidden], ids, finish), schema).drop(hidden)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    offs = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate([np.zeros(0, np.uint32), *parts]).astype(np.int32)))
+
+
 def pack(
     examples: DataFrame, ids: str = "ids", loss: str | None = None, tokens: int = TOKENS, segments: int = SEGMENTS, loss_tokens: int | None = None, cut: bool = True, end: int | None = None
 ) -> DataFrame:
@@ -223,19 +248,35 @@ def pack(
     the limits stay whole.
     """
 
-    def finish(parts: list[np.ndarray]) -> pa.Array:
-        offs = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(parts).astype(np.int32)))
+    return _packed(examples, ids, loss, (tokens, segments, loss_tokens or tokens), cut, end, _lists, T.ArrayType(T.IntegerType()))
+
+
+def pack_texts(docs: DataFrame, tokenizer: str, text: str = "text", tokens: int = TOKENS, segments: int = SEGMENTS, end: int | None = None, name: str = "ids", finish=None, kind: T.DataType | None = None) -> DataFrame:
+    """:func:`pack` of the ids of whole texts, packed in the task that puts a text's ids together; every id bears loss.
+
+    The ids of texts never leave that task: a row a piece does. ``finish`` makes the column ``name`` of the ids of pieces.
+    """
+    rest = [c for c in docs.columns if c not in (text, name, *OUTPUTS)]
+    numbers, limits, made_of = _Numbers(), (tokens, segments, tokens), finish or _lists
+
+    def packed(codec, kept: pa.Table, flat: np.ndarray, offs: np.ndarray) -> pa.Table:
+        if end is not None:
+            flat = np.insert(flat.astype(np.uint32), offs[1:], end)
+            offs = offs + np.arange(len(offs))
+        batches = _lot(kept, flat, offs, np.arange(len(flat) + 1), limits, True, numbers.take(len(flat)), name, made_of)
+        return pa.Table.from_batches(batches, pa.schema([*kept.schema, *[(c, pa.int64()) for c in OUTPUTS], (name, made_of([]).type)]))
 
-    return _packed(examples, ids, loss, (tokens, segments, loss_tokens or tokens), cut, end, finish, T.ArrayType(T.IntegerType()))
+    fields = docs.select([f"`{c}`" for c in rest]).schema.fields
+    schema = T.StructType([*fields, *[T.StructField(c, k) for c, k in OUTPUTS.items()], T.StructField(name, kind or T.ArrayType(T.IntegerType()))])
+    return bpe._encoded(docs, tokenizer, text, rest, packed, schema)
 
 
 def op13(spark: SparkSession, sf_dir: str, tokenizer: str) -> DataFrame:
     """All documents as pieces of sequences of 2,048 tokens; id 1 closes a document, every id bears loss."""
-    docs = bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), tokenizer).select("doc_id", "ids")
 
     def finish(parts: list[np.ndarray]) -> pa.Array:
         return pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in parts], pa.int64())
 
-    made = _packed(docs, "ids", None, (TOKENS, SEGMENTS, TOKENS), True, 1, finish, T.LongType())
-    return made.withColumnsRenamed({"ids": "ids_crc32", "example_tokens": "doc_tokens"})
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    made = pack_texts(docs, tokenizer, end=1, name="ids_crc32", finish=finish, kind=T.LongType())
+    return made.withColumnsRenamed({"example_tokens": "doc_tokens"})

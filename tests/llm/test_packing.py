@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import packing, queries
+from plumbline.llm import bpe, packing, queries
 
 
 def whole(rows, sizes, tokens=2048, segments=128, loss=None):
@@ -48,6 +48,16 @@ def test_query(spark):
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
 
 
+def test_texts_pack_as_their_ids(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(80).withColumn("length", F.lit("taken"))
+    rows = packing.pack_texts(docs, queries.tokenizer_path(), tokens=256, segments=9).collect()
+    want = {r.doc_id: r.ids for r in bpe.encode(docs.select("doc_id", "text"), queries.tokenizer_path()).collect()}
+    assert {"lang", "source"} <= set(rows[0].__fields__) and "text" not in rows[0].__fields__
+    assert whole(rows, {k: len(x) for k, x in want.items()}, 256, 9) < 0.001
+    assert all(r.ids == want[r.doc_id][r.start : r.start + r.length] for r in rows)
+    assert packing.pack_texts(docs.limit(0), queries.tokenizer_path()).collect() == []
+
+
 @pytest.mark.parametrize("limits", [(64, 4, 64), (64, 3, 20), (2048, 128, 2048), (7, 1, 7)])
 @pytest.mark.parametrize("cut", [True, False])
 def test_limits(limits, cut):
