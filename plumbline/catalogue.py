@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.plans import checks, dialect, market, more, repairs, windows
-from plumbline.sources.shared import stored
+from plumbline.plans import checks, dialect, executor, market, more, outcomes, repairs, windows
+from plumbline.sources.shared import drop_stored, stored
+from plumbline.streaming import queries as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,17 +30,25 @@ for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
 for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS | more.PLANS).items():
     _plan(_name, _text)
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[tuple, DataFrame]] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, times and lengths of a folder's tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)))
 
 
 def _once(name: str, text: str) -> Callable[[SparkSession, str], DataFrame]:
-    """The rows of a plan over a folder's tables, made once a session and stored for all plans that read them."""
+    """The rows of a plan over a folder's tables, stored for all plans that read them; made anew when the tables change."""
 
     def made(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (name, spark.sparkContext.applicationId, sf_dir)
-        if key not in _STORED:
-            _STORED[key] = stored(dialect.query(text)(spark, sf_dir), name)
-        return _STORED[key]
+        key, now = (name, spark.sparkContext.applicationId, sf_dir), _state(spark, sf_dir)
+        if key not in _STORED or _STORED[key][0] != now:
+            if key in _STORED:
+                drop_stored(_STORED[key][1])
+            _STORED[key] = now, stored(dialect.query(text)(spark, sf_dir), name)
+        return _STORED[key][1]
 
     return made
 
@@ -52,3 +61,17 @@ for _name, _made in windows.OVER_SCORES.items():
 for _name, _text in market.SCORECARDS.items():
     QUERIES[_name] = dialect.query(_text.replace("FROM results", "FROM {results}"), results=results)
     SQL[_name] = dialect.oracle(f"WITH {market.results('duckdb')} {_text}")
+
+
+def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    present, kinds = (dialect.query(text)(spark, sf_dir) for text in (outcomes.PRESENT, outcomes.KINDS))
+    return outcomes.outcomes(results(spark, sf_dir), present, outcomes.specs_of(spark, market.told()), outcomes.EXPECTED, kinds)
+
+
+QUERIES["outcomes"] = _outcomes
+SQL["outcomes"] = dialect.oracle(f"WITH {market.results('duckdb')}, {outcomes.OUTCOMES_SQL} SELECT * FROM outcomes")
+QUERIES["outcome_totals"] = lambda spark, sf_dir: outcomes.totals(_outcomes(spark, sf_dir))
+SQL["outcome_totals"] = dialect.oracle(f"WITH {market.results('duckdb')}, {outcomes.OUTCOMES_SQL} {outcomes.TOTALS_SQL}")
+for _more in (executor, streams):
+    QUERIES |= _more.QUERIES
+    SQL |= _more.SQL

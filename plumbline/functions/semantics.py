@@ -62,15 +62,21 @@ STALE_CHECKS = ["BST-005", "GOV-003", "BT-008"]
 ARTIFACT_CHECKS = ["EOD-018", "BT-023", "INT-011", "EOD-014"]
 
 
-def root_cause(check_id: Column, status: Column, details: Column) -> Column:
-    """One of six outcomes for a result; the first rule that holds decides."""
-    has = lambda *words: F.lower(F.coalesce(details, F.lit(""))).rlike("|".join(words))
+#: Words in a result's details that tell its cause: of a run's summary, and of the report, which has no runtime errors.
+RUN_CAUSES = {"missing": ["data_not_present", "file not found", "no data"], "config": ["tbd", "not configured", r"instruments\.yaml"], "runtime": ["runtime_error"]}
+REPORT_CAUSES = {"missing": ["data_not_present", "file not found"], "config": ["tbd", "not configured", r"instruments\.yaml"], "runtime": []}
+
+
+def root_cause(check_id: Column, status: Column, details: Column, words: dict[str, list[str]] = REPORT_CAUSES) -> Column:
+    """The outcome of a result; the first rule that holds decides. A run's summary tells failures only, so that anything else is DATA_QUALITY."""
+    has = lambda some: F.lower(F.coalesce(details, F.lit(""))).rlike("|".join(some)) if some else F.lit(False)
     rules = [
-        (has("data_not_present", "file not found"), "DATA_MISSING"),
-        (has("stale") | check_id.isin(STALE_CHECKS), "DATA_STALE"),
-        (check_id.isin(ARTIFACT_CHECKS), "SYNTHETIC_ARTIFACT"),
-        (has("tbd", "not configured", r"instruments\\.yaml"), "CONFIG_MISMATCH"),
-        (status == "Fail", "DATA_QUALITY"),
+        (has(words["missing"]), "DATA_MISSING"),
+        (has(["stale"]) | F.upper(check_id).isin(STALE_CHECKS), "DATA_STALE"),
+        (F.upper(check_id).isin(ARTIFACT_CHECKS), "SYNTHETIC_ARTIFACT"),
+        (has(words["config"]), "CONFIG_MISMATCH"),
+        (has(words["runtime"]), "RUNTIME_ERROR"),
+        (F.lit(True) if words is RUN_CAUSES else status == "Fail", "DATA_QUALITY"),
     ]
     return F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), F.lit(x)) for c, x in rules], F.lit("OK"))
 

@@ -180,13 +180,17 @@ SCORED = (EOD, INTRADAY, PAIRS, CONSENSUS, RELATION, *FAMILIES, *more.FAMILIES)
 FIELD_META = {"checks_eod_fields": ("EOD", 24), "checks_intraday_fields": ("INTRADAY", 20)}
 
 
+def told() -> list[tuple[str, str]]:
+    """(check id, 'layer gate severity weight') of every check of the results."""
+    some = [(i, m) for f in SCORED for i, m, _, _ in f.rows]
+    return some + [(f"{layer[:3]}-{first + k:03d}", f"{layer} Soft {('Medium 3', 'Low 2', 'Low 2')[k % 3]}") for layer, first in FIELD_META.values() for k in range(18)]
+
+
 def results(engine: str) -> str:
     """Common table expressions up to ``results``: every family's verdicts with their metadata."""
     plans = [(f.name, f.text(engine)) for f in SCORED] + [*FIELD_CHECKS.items()]
     body = " UNION ALL ".join(f"SELECT symbol, exchange, source, check_id, value, failed FROM ({text}) {name}" for name, text in plans)
-    told = [(i, m) for f in SCORED for i, m, _, _ in f.rows]
-    told += [(f"{layer[:3]}-{first + k:03d}", f"{layer} Soft {('Medium 3', 'Low 2', 'Low 2')[k % 3]}") for layer, first in FIELD_META.values() for k in range(18)]
-    meta = " UNION ALL ".join("SELECT '{}' AS id, '{}' AS layer, '{}' AS gate, '{}' AS severity, {} AS weight".format(i, *m.rsplit(" ", 3)) for i, m in told)
+    meta = " UNION ALL ".join("SELECT '{}' AS id, '{}' AS layer, '{}' AS gate, '{}' AS severity, {} AS weight".format(i, *m.rsplit(" ", 3)) for i, m in told())
     status = "CASE WHEN value IS NULL THEN 'Skip' WHEN failed THEN 'Fail' ELSE 'Pass' END"
     return f"""verdicts AS ({body}), specs AS ({meta}),
 results AS (SELECT v.*, layer, gate, severity, weight, {status} AS status, CASE WHEN {status} = 'Pass' THEN weight ELSE 0 END AS weighted FROM verdicts v JOIN specs ON check_id = id)"""

@@ -1,13 +1,11 @@
 """Live checks as Structured Streaming plans.
 
 Input: a stream of ticks (symbol, source, event_id, ts, close, ...). Watermarks bound the state; late ticks beyond them are
-dropped. Checks that look at the last n ticks run in ``foreachBatch`` with the batch plan over a bounded tail.
+dropped. Checks with state of their own (halts, the last n ticks, the circuit breaker) are in ``state``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,19 +37,19 @@ def sessions(ticks: DataFrame) -> DataFrame:
     return ticks.groupBy(F.session_window("ts", HALT), "symbol", "source").agg(F.count("*").alias("ticks")).select("symbol", "source", F.col("session_window.start").alias("first"), F.col("session_window.end").alias("closed"), "ticks")
 
 
-def feed_agreement(one: DataFrame, two: DataFrame, tolerance: float = 0.003) -> DataFrame:
-    """Stream-stream join of two feeds' bars by symbol and minute; rows that differ by more than ``tolerance``."""
-    a = one.select("symbol", "ts", F.col("close").alias("a"))
-    b = two.select(F.col("symbol").alias("_symbol"), F.col("ts").alias("_ts"), F.col("close").alias("b"))
-    near = (F.col("symbol") == F.col("_symbol")) & (F.col("_ts") == F.col("ts"))
-    return a.join(b, near).where((F.col("b") != 0) & (F.abs(F.col("a") / F.col("b") - 1) > tolerance)).select("symbol", "ts", "a", "b")
+def feed_agreement(one: DataFrame, two: DataFrame, tolerance: float = 0.003, within: str = "60 seconds", late: str = WATERMARK) -> DataFrame:
+    """Ticks of two feeds of a symbol at most ``within`` apart whose closes differ by more than ``tolerance``.
+
+    Each side gets its own watermark, and the time range bounds how long a tick can wait for a partner: Spark drops ticks
+    from the join's state once the other side's watermark has passed their range, and late ticks meet nothing. Rows with a
+    null close, symbol or time never agree or disagree.
+    """
+    a = one.select(F.col("symbol"), F.col("ts").alias("ts"), F.col("event_id").alias("event"), F.col("close").alias("a")).withWatermark("ts", late)
+    b = two.select(F.col("symbol").alias("other_symbol"), F.col("ts").alias("other_ts"), F.col("event_id").alias("other_event"), F.col("close").alias("b")).withWatermark("other_ts", late)
+    near = F.expr(f"symbol = other_symbol AND other_ts >= ts - interval {within} AND other_ts <= ts + interval {within}")
+    return a.join(b, near).where((F.col("b") != 0) & (F.abs(F.col("a") / F.col("b") - 1) > tolerance)).select("symbol", "event", "other_event", "a", "b")
 
 
 def outside_session() -> Column:
     at = F.hour("ts") * 60 + F.minute("ts")
     return (at < 555) | (at > 930)
-
-
-def each_batch(check: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that applies a batch plan to every micro-batch and hands on its rows."""
-    return lambda batch, epoch: sink(check(batch), epoch)
