@@ -54,6 +54,21 @@ instruments AS (
 CONFIG = {"source": ["A", "N", "R"], "threshold": ["eod", "intraday", "cross_source", "relation"], "session": ["regular"]}
 CONFIG_ROWS = "config AS (" + " UNION ALL ".join(f"SELECT '{k}' AS part, '{v}' AS name" for k, vs in CONFIG.items() for v in vs) + ")"
 
+#: Days on which every exchange is closed: month and day. A file of an exchange's own days is read by ``operators.calendar``.
+HOLIDAYS = ((1, 26), (8, 15), (10, 2))
+HOLIDAY_ROWS = "holidays AS (" + " UNION ALL ".join(f"SELECT {m} AS m, {d} AS dm" for m, d in HOLIDAYS) + ")"
+#: The trading calendar as a table, a row for each exchange and date of its bars' span, and by frame the days that it
+#: should have (expected), those that it has of them (found), and all that it has (days).
+TRADING = f"""{HOLIDAY_ROWS},
+calendar AS (SELECT exchange, cast(one_day AS date) AS d, CASE WHEN h.m IS NULL AND @WEEKDAY(one_day) < 5 THEN 1 ELSE 0 END AS trading
+  FROM (SELECT exchange, @DAYSEQ(lo, hi) AS one_day FROM (SELECT exchange, min(d) AS lo, max(d) AS hi FROM bars GROUP BY exchange) e) g LEFT JOIN holidays h ON month(one_day) = h.m AND day(one_day) = h.dm),
+frame_spans AS (SELECT {K}, min(d) AS lo, max(d) AS hi FROM bars GROUP BY {K}),
+frame_due AS (SELECT s.symbol, s.exchange, s.source, sum(trading) AS expected FROM frame_spans s JOIN calendar c ON s.exchange = c.exchange AND c.d BETWEEN s.lo AND s.hi GROUP BY 1, 2, 3),
+frame_have AS (SELECT b.symbol, b.exchange, b.source, count(DISTINCT b.d) AS days, count(DISTINCT CASE WHEN trading = 1 THEN b.d END) AS found FROM bars b JOIN calendar c ON b.exchange = c.exchange AND b.d = c.d GROUP BY 1, 2, 3),
+frame_days AS (SELECT h.*, expected, expected - found AS missing FROM frame_have h JOIN frame_due USING ({K}))"""
+#: Return from which a day is beyond the limits, by kind of instrument.
+RETURN_LIMIT = "CASE kind WHEN 'ETF' THEN 0.20e0 WHEN 'Futures' THEN 0.40e0 ELSE 0.25e0 END"
+
 EOD_ROWS = f"""{DAILY},
 w1 AS (SELECT *, lag(close) OVER {WT} AS prev_close, lag(d) OVER {WT} AS prev_d, lead(close) OVER {WT} AS next_close,
   @LASTNN(close) OVER (PARTITION BY {K} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pad,
@@ -79,13 +94,11 @@ w AS (SELECT w5.*, kind, tick, lot, listed FROM w5 JOIN instruments USING (symbo
 EOD = Family(
     "checks_eod",
     f"""{EOD_ROWS},
-weekdays AS (SELECT {K}, count(*) AS expected FROM (SELECT {K}, @DAYSEQ(lo, hi) AS day FROM (SELECT {K}, min(d) AS lo, max(d) AS hi FROM bars GROUP BY {K}) span) days
-  WHERE @WEEKDAY(day) < 5 GROUP BY {K}),
-present AS (SELECT {K}, count(DISTINCT d) AS found FROM bars WHERE @WEEKDAY(d) < 5 GROUP BY {K}),
+{TRADING},
 a AS (SELECT {K}, max(kind) AS kind, count(*) AS n, min(d) AS first_d, max(d) AS last_d, max(listed) AS listed,
   {n("open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL")} AS nulls, {n("same_d > 1")} AS dups,
   {n("open <= 0")} + {n("high <= 0")} + {n("low <= 0")} + {n("close <= 0")} AS nonpos, {n("high < low")} AS inverted, {n("close < low OR close > high")} AS close_out,
-  {n("volume < 0")} AS neg_vol, {share("volume = 0")} AS zero_vol, {n(f"run_len >= {LIMIT['stale_days']}")} AS stale, {n("abs(ret) > 0.25")} AS jumps, max(abs(ret)) AS max_ret,
+  {n("volume < 0")} AS neg_vol, {share("volume = 0")} AS zero_vol, {n(f"run_len >= {LIMIT['stale_days']}")} AS stale, {n("abs(ret) > 0.25")} AS jumps, {n(f"abs(ret) > {RETURN_LIMIT}")} AS beyond, max(abs(ret)) AS max_ret,
   {n("open < low OR open > high")} AS open_out, {share("adj_close IS NULL")} AS adj_null, {n("open_interest < 0")} AS neg_oi,
   {n(f"@DAYS(d, prev_d) > {LIMIT['gap_days']}")} AS gaps, max(v_n) AS v_n, max(v_sd) AS v_sd, {share("v_sd > 0 AND abs((nullif(volume, 0) - v_mean) / nullif(v_sd, 0)) > 5")} AS v_out,
   max(r_n) AS r_n, {share("abs((lr - r_mean) / nullif(r_sd, 0)) > 5")} AS r_out, @DAYS(max(d), min(d)) / 365.25e0 AS years,
@@ -101,8 +114,8 @@ a AS (SELECT {K}, max(kind) AS kind, count(*) AS n, min(d) AS first_d, max(d) AS
   1 - avg(((CASE WHEN open IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN high IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN low IS NULL THEN 1e0 ELSE 0e0 END) + (CASE WHEN close IS NULL THEN 1e0 ELSE 0e0 END)) / 4) AS complete,
   {share("high >= low AND close BETWEEN low AND high AND open BETWEEN low AND high")} AS valid
   FROM w GROUP BY {K}),
-b AS (SELECT a.*, expected, expected - coalesce(found, 0) AS missing, @DAYS(DATE '{LIMIT["as_of"]}', last_d) AS stale_days,
-  CASE WHEN kind IN ('Futures', 'Options') THEN true ELSE false END AS derivative FROM a JOIN weekdays USING ({K}) LEFT JOIN present USING ({K}))""",
+b AS (SELECT a.*, expected, missing, @DAYS(DATE '{LIMIT["as_of"]}', last_d) AS stale_days,
+  CASE WHEN kind IN ('Futures', 'Options') THEN true ELSE false END AS derivative FROM a JOIN (SELECT {K}, expected, missing FROM frame_days) x USING ({K}))""",
     "b",
     K,
     (
@@ -122,7 +135,7 @@ b AS (SELECT a.*, expected, expected - coalesce(found, 0) AS missing, @DAYS(DATE
         ("EOD-014", "EOD Soft Low 2", "v_out", "v_n >= 30 AND v_out > 0.005"),
         ("EOD-015", "EOD Soft Low 2", "r_out", "r_n >= 30 AND r_out > 0.005"),
         ("EOD-016", "EOD Soft Medium 3", "years", f"years < {LIMIT['history_years']}"),
-        ("EOD-017", "EOD Soft High 4", "jumps", "jumps > 0"),
+        ("EOD-017", "EOD Soft High 4", "beyond", "beyond > 0"),
         ("EOD-018", "EOD Soft Low 2", "off_tick", "off_tick > 0.01"),
         ("EOD-019", "EOD Soft Low 1", "off_lot", "derivative AND off_lot > 0.01"),
         ("EOD-020", "EOD Soft Medium 3", "flat", "flat > 0.005"),
@@ -291,8 +304,9 @@ mad AS (SELECT symbol, exchange, d, avg(abs(close - mean)) AS ad, max(mean) AS m
 rel AS (SELECT symbol, exchange, avg(ad) / nullif(avg(mean), 0) AS spread, count(*) AS common_n FROM mad GROUP BY 1, 2),
 cv AS (SELECT symbol, exchange, avg(sd / nullif(mean, 0)) AS cv FROM common GROUP BY 1, 2),
 uni AS (SELECT symbol, exchange, count(DISTINCT d) AS all_days FROM bars GROUP BY 1, 2),
-own AS (SELECT {K}, count(DISTINCT d) AS days, min(d) AS first_d, @DAYS(max(d), min(d)) / 365.25e0 AS years FROM bars GROUP BY {K}),
-agg AS (SELECT symbol, exchange, max(1 - cast(days as double) / all_days) AS missed, @DAYS(max(first_d), min(first_d)) AS start_spread, count(*) AS sources, max(years) AS years, sum(CASE WHEN years >= 2 THEN 1 ELSE 0 END) AS long_frames
+{TRADING},
+own AS (SELECT s.symbol, s.exchange, s.source, days, lo AS first_d, @DAYS(hi, lo) / 365.25e0 AS years, missing FROM frame_spans s JOIN frame_days USING ({K})),
+agg AS (SELECT symbol, exchange, max(1 - cast(days as double) / all_days) AS missed, @DAYS(max(first_d), min(first_d)) AS start_spread, count(*) AS sources, max(years) AS years, sum(CASE WHEN years >= 2 AND missing < 0.05e0 * (days + missing) THEN 1 ELSE 0 END) AS long_frames
   FROM own JOIN uni USING (symbol, exchange) GROUP BY 1, 2),
 worst AS (SELECT symbol, exchange, max(off) AS off, max(n) AS n FROM dev GROUP BY 1, 2),
 t AS (SELECT *, 'all' AS source FROM agg JOIN worst USING (symbol, exchange) JOIN rel USING (symbol, exchange) JOIN cv USING (symbol, exchange))""",

@@ -14,11 +14,14 @@ _ROW = ("d", "open", "high", "low", "close", "adj_close", "volume", "open_intere
 
 
 def _capped_spark(table: str, cap: str) -> str:
-    """Rows of ``table`` with each close that moves too far (dir 1 or -1) cut to the previous, already cut, close."""
-    cut = f"aggregate(arr, cast(array() AS array<double>), (acc, x) -> concat(acc, array(CASE WHEN x.dir <> 0 AND size(acc) > 0 THEN round(element_at(acc, -1) * (1 + x.dir * {cap}e0), 2) ELSE x.close END)))"
-    cells = ", ".join("z.cut AS close" if c == "close" else f"z.arr.{c} AS {c}" for c in _ROW)
-    return f"""SELECT {_KEYS}, {cells} FROM (SELECT {_KEYS}, explode(arrays_zip(arr, cut)) AS z FROM (SELECT {_KEYS}, arr, {cut} AS cut
-    FROM (SELECT {_KEYS}, array_sort(collect_list(struct({", ".join(_ROW)}))) AS arr FROM {table} GROUP BY {_KEYS}) f) g) h"""
+    """Rows of ``table`` with each close that moves too far (dir 1 or -1) cut to the previous, already cut, close.
+
+    Only far returns that follow each other depend on the row before, so they are numbered by run and folded in it.
+    """
+    cells = ", ".join(f"CASE WHEN dir <> 0 THEN aggregate(way, base, (acc, x) -> CASE WHEN x = 0 THEN acc ELSE round(acc * (1 + x * {cap}e0), 2) END) ELSE close END AS close" if c == "close" else c for c in _ROW)
+    run = f"(PARTITION BY {_KEYS}, run ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""SELECT {_KEYS}, {cells} FROM (SELECT *, collect_list(dir) OVER {run} AS way, first_value(close) OVER {run} AS base
+    FROM (SELECT *, sum(CASE WHEN dir = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY {_KEYS} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM {table}) f) g"""
 
 
 def _capped_duckdb(table: str, cap: str) -> str:

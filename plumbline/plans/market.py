@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plumbline.plans import more
-from plumbline.plans.checks import CONSENSUS, EOD, FIELD_CHECKS, INSTRUMENTS, INTRADAY, LIMIT, PAIR_ROWS, PAIRS, RELATION, WT, Family, n, share
+from plumbline.plans.checks import CONSENSUS, EOD, FIELD_CHECKS, HOLIDAY_ROWS, INSTRUMENTS, INTRADAY, LIMIT, PAIR_ROWS, PAIRS, RELATION, WT, Family, n, share
 from plumbline.sources.bars import DAILY, DAILY_CLEAN, MINUTE, K
 
 #: An option chain over lineitem: strikes of 5,000, two expiries, calls and puts near their intrinsic value.
@@ -41,21 +41,33 @@ b AS (SELECT a.*, n_pairs, off, even FROM a LEFT JOIN parity USING ({K}) LEFT JO
     ),
 )
 
+#: An index over the other symbols, of the close weighted by volume: source N from all sources' bars, A and R from their own,
+#: those of R two per cent off.
+INDEX = f"""
+parts AS (SELECT exchange, d, source AS of, sum(close * volume) / nullif(sum(volume), 0) AS weighted, sum(volume) AS volume FROM bars WHERE close > 0 AND volume > 0 GROUP BY exchange, d, source),
+whole AS (SELECT exchange, d, sum(weighted * volume) / sum(volume) AS weighted FROM parts GROUP BY exchange, d),
+constituents AS (SELECT exchange, d, of AS source, weighted FROM parts WHERE of IN ('A', 'R') UNION ALL SELECT exchange, d, 'N', weighted FROM whole),
+indexes AS (SELECT 'IX' AS symbol, exchange, source, d, weighted * CASE WHEN source = 'R' THEN 1.02e0 ELSE 1e0 END AS close, weighted FROM constituents)"""
 FUNDS = Family(
     "checks_funds",
     f"""{DAILY},
+{INSTRUMENTS.strip()},
+{INDEX.strip()},
+{HOLIDAY_ROWS},
+calendar AS (SELECT exchange, cast(one_day AS date) AS d FROM (SELECT exchange, @DAYSEQ(lo, hi) AS one_day FROM (SELECT exchange, min(d) AS lo, max(d) AS hi FROM indexes GROUP BY exchange) e) g
+  LEFT JOIN holidays h ON month(one_day) = h.m AND day(one_day) = h.dm WHERE h.m IS NULL AND @WEEKDAY(one_day) < 5),
+due AS (SELECT exchange, count(*) AS k FROM calendar GROUP BY exchange),
 m AS (SELECT {K}, @PCT(volume, 0.5) AS med_v FROM bars GROUP BY {K}),
-parts AS (SELECT exchange, d, avg(close) AS weighted FROM bars WHERE symbol <> 'S0' GROUP BY exchange, d),
-a AS (SELECT b.symbol, b.exchange, b.source, {share("abs(close / nullif(adj_close, 0) - 1) > 0.02")} AS premium, {share("volume < 0.01 * med_v")} AS thin, avg(abs(close - weighted) / nullif(close, 0)) AS apart
-  FROM bars b JOIN m USING ({K}) LEFT JOIN parts ON b.exchange = parts.exchange AND b.d = parts.d GROUP BY 1, 2, 3),
-x AS (SELECT {K}, count(*) AS absent FROM (SELECT g.symbol, g.exchange, g.source, day FROM (SELECT {K}, @DAYSEQ(lo, hi) AS day FROM (SELECT {K}, min(d) AS lo, max(d) AS hi FROM bars GROUP BY {K}) s) g
-  LEFT JOIN bars b ON g.symbol = b.symbol AND g.exchange = b.exchange AND g.source = b.source AND g.day = b.d WHERE b.d IS NULL AND @WEEKDAY(day) < 5) y GROUP BY {K}),
-t AS (SELECT a.*, coalesce(absent, 0) AS absent FROM a LEFT JOIN x USING ({K}))""",
+a AS (SELECT b.symbol, b.exchange, b.source, {share("abs(close / nullif(adj_close, 0) - 1) > 0.02")} AS premium, {share("volume < 0.01 * med_v")} AS thin FROM bars b JOIN m USING ({K}) GROUP BY 1, 2, 3),
+i AS (SELECT x.symbol, x.exchange, x.source, avg(abs(close - weighted) / nullif(close, 0)) AS apart, max(k) - count(DISTINCT c.d) AS absent
+  FROM indexes x JOIN due ON x.exchange = due.exchange LEFT JOIN calendar c ON x.exchange = c.exchange AND x.d = c.d GROUP BY 1, 2, 3),
+t AS (SELECT a.symbol, a.exchange, a.source, kind, premium, thin, cast(NULL AS double) AS apart, cast(NULL AS bigint) AS absent FROM a JOIN instruments ON a.symbol = instruments.symbol
+  UNION ALL SELECT symbol, exchange, source, 'Index', NULL, NULL, apart, absent FROM i)""",
     "t",
     K,
     (
-        ("ETF-001", "EOD Soft Medium 3", "premium", "premium > 0.005"),
-        ("ETF-002", "EOD Soft Low 2", "thin", "thin > 0.05"),
+        ("ETF-001", "EOD Soft Medium 3", "CASE WHEN kind = 'ETF' THEN premium END", "kind = 'ETF' AND premium > 0.005"),
+        ("ETF-002", "EOD Soft Low 2", "CASE WHEN kind = 'ETF' THEN thin END", "kind = 'ETF' AND thin > 0.05"),
         ("IDX-001", "EOD Hard High 4", "apart", "apart > 0.001"),
         ("IDX-002", "EOD Hard High 5", "absent", "absent > 0"),
     ),
@@ -87,16 +99,17 @@ f1 AS (SELECT *, lag(sec) OVER {WL} AS prev_sec, lag(close) OVER {WL} AS prev_cl
 f2 AS (SELECT *, close / nullif(prev_close, 0) - 1 AS ret, sum(CASE WHEN close = prev_close THEN 0 ELSE 1 END) OVER (PARTITION BY {K} ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM f1),
 f3 AS (SELECT *, max(sec) OVER (PARTITION BY {K}, run) - min(sec) OVER (PARTITION BY {K}, run) AS held, stddev_samp(ret) OVER {_last(5)} AS r5, stddev_samp(ret) OVER {_last(60)} AS r60 FROM f2),
 q AS (SELECT {K}, @PCT(close, 0.25) AS q1, @PCT(close, 0.75) AS q3, @PCT(arrived - sec, 0.5) AS latency, max(arrived) AS last_arrival FROM feed GROUP BY {K}),
+clock AS (SELECT symbol, max(ts) AS now_ts FROM feed GROUP BY symbol),
 a AS (SELECT {K}, count(*) AS n, max(last_arrival) AS last_arrival, max(latency) AS latency, {n("n20 >= 5 AND abs((close - c20) / nullif(s20, 0)) > 3")} AS spikes, {n("same_ts > 1")} AS dups, {n("n20 >= 5 AND abs((volume - v20) / nullif(vs20, 0)) > 4")} AS v_spikes,
   {n("hhmm < 555 OR hhmm > 930")} AS outside, {n("abs(open_interest / prev_oi - 1) > 0.05")} AS oi_jumps, max(sec - prev_sec) AS max_gap, max(CASE WHEN down = 1 THEN abs(c20 / nullif(c60, 0) - 1) END) AS drift,
   {n("abs((ask - bid - sp_mean) / greatest(sp_sd, 0.001e0)) > 3")} AS spreads, max(sec) AS last_sec, {n("close < q1 - 3 * (q3 - q1) OR close > q3 + 3 * (q3 - q1)")} AS extreme, max(CASE WHEN down = 1 THEN r5 / greatest(r60, 1e-8) END) AS vol_ratio,
   {n("((close % 0.05) + 0.05) % 0.05 > 0.0005")} AS off_tick, {n("close < first_close * 0.8 OR close > first_close * 1.2")} AS band, max(held) AS held, {n("session_flag NOT IN ('pre_open', 'normal', 'closing_auction', 'post_close') OR (hhmm BETWEEN 540 AND 554 AND session_flag <> 'pre_open')")} AS bad_flags,
-  count(DISTINCT hhmm) AS minutes_seen FROM f3 JOIN q USING ({K}) GROUP BY {K}),
+  count(DISTINCT CASE WHEN @TRUNC(day, ts) = @TRUNC(day, now_ts) THEN hhmm END) AS minutes_seen, max(hour(now_ts) * 60 + minute(now_ts) - 555) AS elapsed FROM f3 JOIN q USING ({K}) JOIN clock USING (symbol) GROUP BY {K}),
 b AS (SELECT a.*, max(last_sec) OVER (PARTITION BY symbol) AS now_sec FROM a)"""
 _LIVE_ROWS = (
     ("LT-001", "Live Hard Critical 5", "now_sec - last_arrival", "now_sec - last_arrival > 5"),
     ("LT-002", "Live Hard Critical 5", "latency", "latency > 0.5"),
-    ("LT-003", "Live Hard Critical 5", "1440 - minutes_seen", "1440 - minutes_seen > 2"),
+    ("LT-003", "Live Hard Critical 5", "greatest(elapsed - minutes_seen, 0)", "elapsed - minutes_seen > 2"),
     ("LT-004", "Live Soft High 4", "spikes", "n >= 10 AND spikes > 0"),
     ("LT-005", "Live Hard Critical 5", "dups", "dups > 0"),
     ("LT-006", "Live Soft Medium 3", "v_spikes", "n >= 10 AND v_spikes > 0"),
