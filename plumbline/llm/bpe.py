@@ -309,9 +309,9 @@ def _encoded(docs: DataFrame, tokenizer: str, text: str, rest: list[str], finish
     told = docs.sparkSession.sparkContext.broadcast(_spec(tokenizer))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = lot_buckets or min(MAX_BUCKETS, max(1, -(-total // BUCKET_BYTES)))
-    lots = docs.select(F.col(text).alias("text"), F.struct(*rest).alias("rest")).mapInArrow(_lots(told, buckets), _KIND)
-    answers = lots.repartition(buckets, "part").mapInArrow(_answers(told, task_words), _KIND)
-    return answers.groupBy("lot").applyInArrow(_joined(told, finish), schema)
+    lots = docs.select(F.col(text).alias("text"), F.struct(*rest).alias("rest")).mapInArrow(ta.task(_lots(told, buckets)), _KIND)
+    answers = lots.repartition(buckets, "part").mapInArrow(ta.task(_answers(told, task_words)), _KIND)
+    return answers.groupBy("lot").applyInArrow(ta.group(_joined(told, finish)), schema)
 
 
 def _decoder(codec: Codec):

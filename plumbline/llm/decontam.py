@@ -184,7 +184,7 @@ def match(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
         told = prints.toArrow()
         size, found = told["n"].to_numpy(), told["hash"].to_numpy().view(np.uint64)
         known = docs.sparkSession.sparkContext.broadcast({n: np.sort(found[size == n]) for n in spans})
-        windows = base.mapInArrow(_doc_windows(spans, known), out)
+        windows = base.mapInArrow(ta.task(_doc_windows(spans, known)), out)
     else:
         found = docs.select("doc_id", "text").mapInArrow(_fingerprint_rows(spans), f"doc_id {doc_type}, n int, pos int, hash long")
         found = found.join(prints, ["n", "hash"], "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("n", "pos")).alias("hits"))

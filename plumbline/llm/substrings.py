@@ -205,7 +205,7 @@ def _hot_anchors(known: DataFrame, match: int, sample: int = HOT_SAMPLE, share:
     n = some.count()
     if n < least:
         return np.zeros(0, ta.U64)
-    often = some.mapInArrow(run, "h long, c long").distinct().groupBy("h").count().where(F.col("count") >= max(least, n * share))
+    often = some.mapInArrow(ta.task(run), "h long, c long").distinct().groupBy("h").count().where(F.col("count") >= max(least, n * share))
     return np.sort(often.select("h").toArrow()["h"].to_numpy().view(ta.U64))
 
 
@@ -440,7 +440,7 @@ def packed_texts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     rest = [F.struct(*keep).alias("rest")] if keep else []
     base = docs.select(*_base(docs), *rest)
     kind = T.StructType.fromDDL("doc_id long, th int, z binary, n long")
-    return base.mapInArrow(_compressed, T.StructType([*kind.fields, *base.schema.fields[3:]]))
+    return base.mapInArrow(ta.task(_compressed), T.StructType([*kind.fields, *base.schema.fields[3:]]))
 
 
 def _finished(as_text: bool):
@@ -475,21 +475,21 @@ def _deduped(docs: DataFrame, match: int, keep: list[str], as_text: bool, few: i
     often = spark.sparkContext.broadcast(_hot_anchors(known, match, *hot))
     kind = "bucket long, kind byte, body binary"
     if buckets <= few:
-        packed = known.mapInArrow(_anchor_rows(buckets, match, often), kind)
+        packed = known.mapInArrow(ta.task(_anchor_rows(buckets, match, often)), kind)
     else:
         first = _coarse(buckets)
         packed = known.mapInArrow(_anchor_rows(first, match, often), kind).repartition(first, "bucket").mapInArrow(_dealt_again(first, buckets), kind)
-    shared = packed.groupBy("bucket").applyInArrow(_settle, "doc_id long, th int, code long")
+    shared = packed.groupBy("bucket").applyInArrow(ta.group(_settle), "doc_id long, th int, code long")
     shared = shared.groupBy("doc_id", "th").agg(F.collect_list("code").alias("codes"))
     texts = packed_texts(docs, keep)
     rest = ["rest"] if keep else []
     # outer and with the struct, so that both joins with the texts read one shuffle of them
-    contexts = texts.join(shared, ["doc_id", "th"], "left").select("doc_id", "th", "z", "n", "codes", *rest).mapInArrow(_context_rows(buckets, match), "bucket long, doc_id long, th int, start long, stop long, body binary")
-    spans = contexts.groupBy("bucket").applyInArrow(_index(match, index), "doc_id long, th int, start long, stop long")
+    contexts = texts.join(shared, ["doc_id", "th"], "left").select("doc_id", "th", "z", "n", "codes", *rest).mapInArrow(ta.task(_context_rows(buckets, match)), "bucket long, doc_id long, th int, start long, stop long, body binary")
+    spans = contexts.groupBy("bucket").applyInArrow(ta.group(_index(match, index)), "doc_id long, th int, start long, stop long")
     spans = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept " + ("string" if as_text else "binary"))
     schema = T.StructType([*schema.fields, *texts.schema.fields[4:]])
-    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *rest).mapInArrow(_finished(as_text), schema)
+    return texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "z", "n", "spans", *rest).mapInArrow(ta.task(_finished(as_text)), schema)
 
 
 def dedup(docs: DataFrame, match: int = MATCH, keep: list[str] | None = None, as_text: bool = False, **ways) -> DataFrame:

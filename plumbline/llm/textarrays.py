@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,38 @@ _INV = pow(_BASE, -1, 1 << 64)
 _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: a worker that waits for its next task would keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def task(run: Callable) -> Callable:
+    """``run`` of mapInArrow, which gives memory back at its end."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return own
+
+
+def group(run: Callable) -> Callable:
+    """``run`` of a group of applyInArrow, which gives memory back at its end."""
+
+    def own(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return own
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i < n at least; grown by doubling and kept."""
     for k, base in enumerate((_BASE, _INV)):

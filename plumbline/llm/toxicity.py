@@ -163,7 +163,7 @@ def score(docs: DataFrame, model: Model, severity: str = "severity", grade: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array(g, pa.int32())], names=[*rest, severity, grade])
 
     schema = T.StructType([*docs.select(rest).schema.fields, T.StructField(severity, T.DoubleType()), T.StructField(grade, T.IntegerType())])
-    return docs.select(rest).mapInArrow(run, schema)
+    return docs.select(rest).mapInArrow(ta.task(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

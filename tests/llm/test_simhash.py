@@ -123,6 +123,23 @@ def test_plan_counts_candidates_from_the_histogram(spark):
     assert sum(t for _, t in parts) - (m - len(parts)) == 4 - m + 1 and sorted(b for g, _ in parts for b in g) == [*range(64)]
 
 
+def test_plan_takes_unequal_thresholds_where_bits_say_little(spark):
+    """Twelve bits that never vary fall into one group, which the plan passes over: another group bears a flip for it."""
+    rng = random.Random(6)
+    fps = [rng.getrandbits(52) for _ in range(1800)]
+    for x in fps[:200]:
+        y = x
+        for b in rng.sample(range(52), rng.randrange(1, 6)):
+            y ^= 1 << b
+        fps.append(y)
+    fps = sorted(set(fps))
+    df = spark.createDataFrame([(x, x) for x in fps], "fp long, grp long")
+    parts = simhash.plan(df)
+    assert sorted(t for _, t in parts) == [0, 0, 0, 1] and sum(len(g) for g, _ in parts) == 52
+    want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 4}
+    assert {(r.a, r.b) for r in simhash.search_links(df, parts, 4).collect()} == want and len(want) > 100
+
+
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "x", 1, 5), (2, "a b c d e f", "y", 2, 6), (None, "p q r s t u v w", "z", 3, 7), (4, None, "q", 4, None)], "doc_id long, text string, _id string, th long, id long")
     got = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
