@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.operators import queries as charts
-from plumbline.plans import checks, dialect, executor, market, more, outcomes, repairs, windows
+from plumbline.plans import checks, dialect, executor, market, more, outcomes, registry, repairs, windows
 from plumbline.sources.shared import drop_stored, stored
 from plumbline.streaming import queries as streams
 
@@ -73,6 +73,6 @@ QUERIES["outcomes"] = _outcomes
 SQL["outcomes"] = dialect.oracle(f"WITH {market.results('duckdb')}, {outcomes.OUTCOMES_SQL} SELECT * FROM outcomes")
 QUERIES["outcome_totals"] = lambda spark, sf_dir: outcomes.totals(_outcomes(spark, sf_dir))
 SQL["outcome_totals"] = dialect.oracle(f"WITH {market.results('duckdb')}, {outcomes.OUTCOMES_SQL} {outcomes.TOTALS_SQL}")
-for _more in (executor, charts, streams):
+for _more in (executor, registry, charts, streams):
     QUERIES |= _more.QUERIES
     SQL |= _more.SQL

@@ -46,3 +46,33 @@ def jaccard(bars: DataFrame, keys: list[str], member: str, stamp: str) -> DataFr
     both = pair.groupBy(*keys, F.col(f"a.{member}").alias("one"), F.col(f"b.{member}").alias("two")).agg(F.count("*").alias("common"))
     one, two = size.withColumnRenamed(member, "one").withColumnRenamed("n", "n1"), size.withColumnRenamed(member, "two").withColumnRenamed("n", "n2")
     return both.join(one, [*keys, "one"]).join(two, [*keys, "two"]).withColumn("jaccard", F.col("common") / (F.col("n1") + F.col("n2") - F.col("common")))
+
+
+def aligned(bars: DataFrame, keys: list[str], member: str, stamp: str, fields: list[str], order: str) -> DataFrame:
+    """(keys, one, two, stamp, fields of both) where two members have a stamp in common, of repeated stamps the first in ``order``."""
+    first = F.row_number().over(W.partitionBy(*keys, member, stamp).orderBy(order)) == 1
+    once = bars.where(F.col(stamp).isNotNull()).withColumn("_first", first).where("_first").select(*keys, member, stamp, *fields)
+    one = once.withColumnsRenamed({member: "one"} | {f: f"{f}_one" for f in fields})
+    two = once.withColumnsRenamed({member: "two"} | {f: f"{f}_two" for f in fields})
+    return one.join(two, [*keys, stamp]).where("one < two")
+
+
+def in_all(bars: DataFrame, keys: list[str], member: str, stamp: str) -> DataFrame:
+    """(keys, stamp): the intersection of all members' stamps, by counting members and not by joining them in turn."""
+    seen = bars.where(F.col(stamp).isNotNull()).select(*keys, member, stamp).distinct()
+    members = seen.groupBy(*keys).agg(F.count_distinct(member).alias("_members"))
+    return seen.groupBy(*keys, stamp).agg(F.count("*").alias("_n")).join(members, keys).where("_n = _members").select(*keys, stamp)
+
+
+def contained(bars: DataFrame, keys: list[str], member: str, stamp: str) -> DataFrame:
+    """(keys, one, two, rows, common, subset) for every two members in either direction that share a stamp: is one's set in two's."""
+    seen = bars.where(F.col(stamp).isNotNull()).select(*keys, member, stamp).distinct()
+    size = seen.groupBy(*keys, F.col(member).alias("one")).agg(F.count("*").alias("rows"))
+    one, two = seen.withColumnRenamed(member, "one"), seen.withColumnRenamed(member, "two")
+    common = one.join(two, [*keys, stamp]).where("one <> two").groupBy(*keys, "one", "two").agg(F.count("*").alias("common"))
+    return common.join(size, [*keys, "one"]).select(*keys, "one", "two", "rows", "common", (F.col("common") == F.col("rows")).alias("subset"))
+
+
+def known_elsewhere(bars: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``bars`` whose ``on`` stands in ``others`` (a semi join: a row never comes twice)."""
+    return bars.join(others.select(*on).distinct(), on, "left_semi")

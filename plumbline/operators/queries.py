@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators import bars as ops
 from plumbline.operators import calendar, views
 from plumbline.plans import dialect
 from plumbline.plans.checks import HOLIDAYS, TRADING
@@ -52,7 +53,27 @@ def check_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(*KEYS, "payload", *[views.measure(F.col("payload"), x, "long").alias(x) for x in ("rows", "nulls", "inverted", "absent")])
 
 
-QUERIES = {"calendar_days": calendar_days, "viewport_closes": viewport_closes, "viewport_axes": viewport_axes, "local_days": local_days, "check_measures": check_measures}
+def source_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source's dates lie in another's, and how many dates all sources have."""
+    bars, keys = _daily(spark, sf_dir), ["symbol", "exchange"]
+    whole = ops.in_all(bars, keys, "source", "d").groupBy(*keys).agg(F.count("*").alias("in_all"))
+    return ops.contained(bars, keys, "source", "d").join(whole, keys, "left").withColumn("in_all", F.coalesce("in_all", F.lit(0)))
+
+
+def aligned_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sources on common dates: how many, and how many closes agree within a tenth."""
+    pairs = ops.aligned(_daily(spark, sf_dir), ["symbol", "exchange"], "source", "d", ["close"], "close")
+    near = F.sum(F.coalesce((F.abs(F.col("close_one") / F.nullif("close_two", F.lit(0.0)) - 1) <= 0.1).cast("long"), F.lit(0)))
+    return pairs.groupBy("symbol", "exchange", "one", "two").agg(F.count("*").alias("rows"), near.alias("near"))
+
+
+def orders_on_shipping_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of days on which lines were shipped as well, by status."""
+    orders, lines = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    return ops.known_elsewhere(orders.withColumn("d", F.col("o_orderdate").cast("date")), lines.select(F.col("l_shipdate").cast("date").alias("d")), ["d"]).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("orders"))
+
+
+QUERIES = {"calendar_days": calendar_days, "viewport_closes": viewport_closes, "viewport_axes": viewport_axes, "local_days": local_days, "check_measures": check_measures, "source_overlap": source_overlap, "aligned_closes": aligned_closes, "orders_on_shipping_days": orders_on_shipping_days}
 _LO, _HI, _PIXELS = VIEW
 _VIEWED = f"WITH {DAILY.strip()}, v AS (SELECT *, date_diff('day', DATE '1970-01-01', d) AS day FROM bars)"
 SQL = {
@@ -65,6 +86,13 @@ SQL = {
             SELECT {K}, rows, CASE WHEN rows >= 2 THEN l ELSE la END AS price_min, CASE WHEN rows >= 2 THEN h ELSE ha END AS price_max, CASE WHEN rows >= 2 THEN x ELSE xa END AS volume_max FROM a""",
         "local_days": f"""WITH e AS (SELECT event_type AS source, ts + INTERVAL {ZONE_MINUTES} MINUTE AS moved FROM events), m AS (SELECT source, cast(moved AS date) AS d, cast(hour(moved) * 60 + minute(moved) AS int) AS hhmm FROM e)
             SELECT source, d, count(*) AS ticks, min(hhmm) AS first, max(hhmm) AS last, count(*) FILTER (hhmm BETWEEN 555 AND 930) AS in_session FROM m GROUP BY ALL""",
+        "source_overlap": f"""WITH {DAILY.strip()}, t AS (SELECT DISTINCT {K}, d FROM bars), n AS (SELECT symbol, exchange, count(DISTINCT source) AS k FROM t GROUP BY ALL),
+            a AS (SELECT symbol, exchange, count(*) AS in_all FROM (SELECT symbol, exchange, d FROM t JOIN n USING (symbol, exchange) GROUP BY ALL HAVING count(*) = max(k)) GROUP BY ALL),
+            p AS (SELECT x.symbol, x.exchange, x.source AS one, y.source AS two, count(*) AS common FROM t x JOIN t y ON x.symbol = y.symbol AND x.exchange = y.exchange AND x.d = y.d AND x.source <> y.source GROUP BY ALL)
+            SELECT p.*, s.rows, common = s.rows AS subset, coalesce(in_all, 0) AS in_all FROM p JOIN (SELECT symbol, exchange, source, count(*) AS rows FROM t GROUP BY ALL) s ON p.symbol = s.symbol AND p.exchange = s.exchange AND p.one = s.source LEFT JOIN a ON p.symbol = a.symbol AND p.exchange = a.exchange""",
+        "aligned_closes": f"""WITH {DAILY.strip()} SELECT x.symbol, x.exchange, x.source AS one, y.source AS two, count(*) AS rows, count(*) FILTER (abs(x.close / nullif(y.close, 0) - 1) <= 0.1) AS near
+            FROM bars x JOIN bars y ON x.symbol = y.symbol AND x.exchange = y.exchange AND x.d = y.d AND x.source < y.source GROUP BY ALL""",
+        "orders_on_shipping_days": "SELECT o_orderstatus AS status, count(*) AS orders FROM orders WHERE cast(o_orderdate AS date) IN (SELECT cast(l_shipdate AS date) FROM lineitem) GROUP BY ALL",
         "check_measures": f"""WITH {DAILY.strip()}, c AS (SELECT {K}, count(*) AS rows, count(*) FILTER (close IS NULL) AS nulls, count(*) FILTER (high < low) AS inverted, count(*) FILTER (open < 0) AS negative FROM bars GROUP BY ALL)
             SELECT {K}, '{{"inverted":' || inverted || ',"negative":' || negative || ',"nulls":' || nulls || ',"rows":' || rows || '}}' AS payload, rows, nulls, inverted, cast(NULL AS bigint) AS absent FROM c""",
     }.items()

@@ -6,6 +6,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.operators import bars as ops
 from plumbline.operators import calendar, queries, views
 
 
@@ -90,3 +91,14 @@ def test_measures_round_trip(spark):
 
 def test_queries_are_over_whole_tables(spark, sf):
     assert {r.symbol for r in queries.calendar_days(spark, sf).collect()} == {"S0", "S1", "S2"}
+
+
+def test_sets_of_stamps(spark):
+    rows = [("k", m, d, x) for m, days in (("a", [1, 2, 3, 3]), ("b", [1, 2, 3, 4, 5]), ("c", [2, 3, 9])) for x, d in enumerate(days)] + [("j", "a", 7, 0), ("k", "c", None, 0)]
+    df = spark.createDataFrame(rows, "k string, m string, d int, x int")
+    assert sorted(map(tuple, ops.in_all(df, ["k"], "m", "d").collect())) == [("j", 7), ("k", 2), ("k", 3)]
+    got = {(r.one, r.two): (r.rows, r.common, r.subset) for r in ops.contained(df, ["k"], "m", "d").collect()}
+    assert got == {("a", "b"): (3, 3, True), ("b", "a"): (5, 3, False), ("a", "c"): (3, 2, False), ("c", "a"): (3, 2, False), ("b", "c"): (5, 2, False), ("c", "b"): (3, 2, False)}
+    pairs = ops.aligned(df, ["k"], "m", "d", ["x"], "x").where("one = 'a' AND two = 'b' AND d = 3").collect()
+    assert [(r.x_one, r.x_two) for r in pairs] == [(2, 2)]  # of the two rows of a the first
+    assert ops.known_elsewhere(df, df.where("m = 'c'"), ["d"]).where("m = 'b'").count() == 2
