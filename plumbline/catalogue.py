@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.operators import queries as charts
 from plumbline.plans import checks, dialect, executor, market, more, outcomes, registry, repairs, windows
-from plumbline.sources.shared import drop_stored, stored
+from plumbline.sources.shared import once
 from plumbline.streaming import queries as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,27 +31,11 @@ for _name, _text in checks.FIELD_CHECKS.items():
     _plan(_name, _text)
 for _name, _text in (repairs.PLANS | windows.PLANS | market.PLANS | more.PLANS).items():
     _plan(_name, _text)
-_STORED: dict[tuple[str, str, str], tuple[tuple, DataFrame]] = {}
-
-
-def _state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Names, times and lengths of a folder's tables."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)))
 
 
 def _once(name: str, text: str) -> Callable[[SparkSession, str], DataFrame]:
-    """The rows of a plan over a folder's tables, stored for all plans that read them; made anew when the tables change."""
-
-    def made(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key, now = (name, spark.sparkContext.applicationId, sf_dir), _state(spark, sf_dir)
-        if key not in _STORED or _STORED[key][0] != now:
-            if key in _STORED:
-                drop_stored(_STORED[key][1])
-            _STORED[key] = now, stored(dialect.query(text)(spark, sf_dir), name)
-        return _STORED[key][1]
-
-    return made
+    """The rows of a plan over a folder's tables, stored for all plans that read them."""
+    return lambda spark, sf_dir: once(spark, sf_dir, name, lambda: dialect.query(text)(spark, sf_dir))
 
 
 results = _once("results", f"WITH {market.results('spark')} SELECT * FROM results")

@@ -9,6 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.sources.bars import DAILY, MINUTE
+from plumbline.sources.shared import once
+
 _KEYS = "symbol, exchange, source"
 _ROW = ("d", "open", "high", "low", "close", "adj_close", "volume", "open_interest", "inserted", "log", "dir")
 
@@ -105,15 +108,31 @@ def render(text: str, engine: str) -> str:
 
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+#: Relations that most plans begin with: their text, the relation that it ends in. Each is made once for a folder and stored.
+BASES = {"daily_bars": (DAILY.strip(), "bars"), "minute_bars": (MINUTE.strip(), "minutes")}
+
+
+def _over(spark: SparkSession, sf_dir: str, text: str, tables: dict[str, DataFrame]) -> DataFrame:
+    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    return spark.sql(render(text, "spark"), **used, **tables)
 
 
 def query(text: str, **more: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The Spark query of a plan over the Parquet tables of a folder, and over the tables that ``more`` makes of it."""
+    """The Spark query of a plan over the Parquet tables of a folder, and over the tables that ``more`` makes of it.
+
+    A plan's base relation is read from its stored table, so a session scans a folder's tables once for all plans.
+    """
+    bases = [name for name, (base, _) in BASES.items() if base in text]
+    for name in bases:
+        base, relation = BASES[name]
+        text = text.replace(base, f"{relation} AS (SELECT * FROM {{{name}}})")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
-        used |= {t: made(spark, sf_dir) for t, made in more.items()}
-        return spark.sql(render(text, "spark"), **used)
+        tables = {t: made(spark, sf_dir) for t, made in more.items()}
+        for name in bases:
+            base, relation = BASES[name]
+            tables[name] = once(spark, sf_dir, name, lambda base=base, relation=relation: _over(spark, sf_dir, f"WITH {base} SELECT * FROM {relation}", {}))
+        return _over(spark, sf_dir, text, tables)
 
     return run
 

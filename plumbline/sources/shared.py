@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +38,28 @@ def drop_stored(df: DataFrame) -> None:
         if folder.startswith(root.replace("file://", "file:")) or folder.startswith(root):
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_KEPT: dict[tuple[str, str, str], tuple[tuple, DataFrame]] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, times and lengths of a folder's tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)))
+
+
+def once(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` derives from a folder's tables, stored for all plans of the application; made anew when the tables change."""
+    key, now = (name, spark.sparkContext.applicationId, folder), _state(spark, folder)
+    if key not in _KEPT or _KEPT[key][0] != now:
+        if key in _KEPT:
+            drop_stored(_KEPT[key][1])
+        _KEPT[key] = now, stored(make(), name)
+    return _KEPT[key][1]
+
+
+def forget() -> None:
+    """Remove what :func:`once` keeps."""
+    while _KEPT:
+        drop_stored(_KEPT.popitem()[1][1])
