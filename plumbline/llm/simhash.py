@@ -29,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm import textarrays as ta
 from plumbline.sources.shared import drop_stored, stored
 
 SHINGLE = 4
 LIMIT = 4
 SEED = 42
+#: Shingles whose bits are laid out at once.
+PIECE = 1 << 14
 #: A probe is a row that is shuffled and sorted, a candidate is one comparison of two longs; this many weigh as much.
 PROBE_COST = 10
 
@@ -54,8 +57,10 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1])
         digest = xxhash.xxh64_intdigest
         h = [digest(text[a:b], SEED) for a, b in zip(starts[: len(ws) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
-    bits = np.unpackbits(np.array(h, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    most = 2 * bits.sum(axis=0, dtype=np.int64) > len(h)
+    hashes, counts = np.array(h, np.uint64).view(np.uint8).reshape(-1, 8), np.zeros(64, np.int64)
+    for lo in range(0, len(h), PIECE):
+        counts += np.unpackbits(hashes[lo : lo + PIECE], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    most = 2 * counts > len(h)
     return int(np.packbits(most, bitorder="little").view(np.int64)[0])
 
 
@@ -67,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = [fingerprint(t.as_py().encode() if t.is_valid else b"", shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, th long, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(ta.task(run), f"doc_id {dict(docs.dtypes)['doc_id']}, th long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -82,7 +87,7 @@ def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
             n += len(x)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(4097)), pa.array(np.append(total.ravel(), n))], names=["cell", "n"])
 
-    rows = fps.select("fp").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    rows = fps.select("fp").mapInArrow(ta.task(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     flat = np.zeros(4097, np.int64)
     for r in rows:
         flat[r.cell] = r.n
@@ -207,7 +212,7 @@ def near_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -
     for bits, _ in parts:
         mask = F.lit(_signed(bits))
         ordered = fps.select("fp").repartitionByRange(F.col("fp").bitwiseAND(mask), "fp").sortWithinPartitions(F.col("fp").bitwiseAND(mask), "fp")
-        links = ordered.mapInArrow(run, "a long, b long")
+        links = ordered.mapInArrow(ta.task(run), "a long, b long")
         out = links if out is None else out.unionByName(links)
     return out.where("a <> b").distinct()
 

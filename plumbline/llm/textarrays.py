@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,9 @@ _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 
 def give_back() -> None:
     """Freed memory goes back to the system: a worker that waits for its next task would keep it otherwise."""
+    for k, known in enumerate(_POWERS):
+        _POWERS[k] = known[: 1 << 12].copy() if len(known) > 1 << 12 else known
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str, max_rows: int = MAX_ROWS
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.astype(np.int32) for x in got], pa.list_(pa.int32()))], names=["grade", "x"])
 
     # only these two columns of docs take part, so no other name of theirs can clash
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("_grade", "text").mapInArrow(run, "grade int, x array<int>").toArrow()
+    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("_grade", "text").mapInArrow(ta.task(run), "grade int, x array<int>").toArrow()
     if not len(rows):
         return Model(np.zeros(PLACES), np.zeros(0))
     grades = rows["grade"].to_numpy()
