@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 WATERMARK = "5 minutes"
 HALT = "300 seconds"
+#: Length of the stretches of time by which two feeds are joined, in ranges that a pair may be apart.
+STRETCH = 6
 
 
 def watermarked(ticks: DataFrame) -> DataFrame:
@@ -41,12 +43,18 @@ def feed_agreement(one: DataFrame, two: DataFrame, tolerance: float = 0.003, wit
     """Ticks of two feeds of a symbol at most ``within`` apart whose closes differ by more than ``tolerance``.
 
     Each side gets its own watermark, and the time range bounds how long a tick can wait for a partner: Spark drops ticks
-    from the join's state once the other side's watermark has passed their range, and late ticks meet nothing. Rows with a
-    null close, symbol or time never agree or disagree.
+    from the join's state once the other side's watermark has passed their range, and late ticks meet nothing. The join is
+    by symbol and stretch of time (``STRETCH`` ranges), so a tick is compared with those near it and not with all of its
+    symbol that wait; one of the second feed near the end of a stretch stands in the next one too, and a pair meets in the
+    stretch of its first tick only. Rows with a null close, symbol or time never agree or disagree.
     """
     a = one.select(F.col("symbol"), F.col("ts").alias("ts"), F.col("event_id").alias("event"), F.col("close").alias("a")).withWatermark("ts", late)
     b = two.select(F.col("symbol").alias("other_symbol"), F.col("ts").alias("other_ts"), F.col("event_id").alias("other_event"), F.col("close").alias("b")).withWatermark("other_ts", late)
-    near = F.expr(f"symbol = other_symbol AND other_ts >= ts - interval {within} AND other_ts <= ts + interval {within}")
+    stretch = f"{STRETCH} * unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {within})"
+    a = a.withColumn("stretch", F.expr(f"unix_micros(ts) div ({stretch})"))
+    lo, hi = (f"unix_micros(other_ts {sign} interval {within}) div ({stretch})" for sign in "-+")
+    b = b.withColumn("other_stretch", F.explode(F.expr(f"sequence({lo}, {hi})")))
+    near = F.expr(f"symbol = other_symbol AND stretch = other_stretch AND other_ts >= ts - interval {within} AND other_ts <= ts + interval {within}")
     return a.join(b, near).where((F.col("b") != 0) & (F.abs(F.col("a") / F.col("b") - 1) > tolerance)).select("symbol", "event", "other_event", "a", "b")
 
 

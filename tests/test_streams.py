@@ -175,3 +175,17 @@ def test_feeds_meet_within_the_range_and_state_is_dropped(own, tmp_path):
     assert got == want and len(want) > 500
     sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert max(sizes) < 0.6 * len(frame) and sizes[-1] < 0.2 * len(frame)
+
+
+def test_feeds_compare_ticks_near_each_other_only(own, tmp_path):
+    """The feeds meet by symbol and stretch of time: of a symbol's long feeds no tick is compared with all others."""
+    one, two = (live.watermarked(queries.feed(own, "/root/testdata/sf0.001")) for _ in "ab")
+    plan = live.feed_agreement(one.where("source = 'click'"), two.where("source = 'view'"))._jdf.queryExecution().analyzed().toString()
+    joined = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "stretch" in joined.partition("other_ts")[0]
+    ends = [START + dt.timedelta(seconds=360 * i + x) for i in range(40) for x in (0, 0.000001, 59.999999, 60, 300, 359.999999)]
+    frame = pd.DataFrame([(2 * i + k, t, 1, "ab"[k], 1.0 + k, "{}") for i, t in enumerate(ends) for k in (0, 1)], columns=["event_id", "ts", "user_id", "event_type", "value", "props"])
+    laid(tmp_path, frame, 1)
+    got = queries.drained(live.feed_agreement(*(queries.feed(own, str(tmp_path)).where(f"source = '{x}'") for x in "ab")), "edges").collect()
+    want = sorted((x, y) for x, t in zip(range(0, 480, 2), ends) for y, u in zip(range(1, 480, 2), ends) if abs(t - u) <= dt.timedelta(seconds=60))
+    assert sorted((r.event, r.other_event) for r in got) == want
