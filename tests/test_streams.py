@@ -189,3 +189,80 @@ def test_feeds_compare_ticks_near_each_other_only(own, tmp_path):
     got = queries.drained(live.feed_agreement(*(queries.feed(own, str(tmp_path)).where(f"source = '{x}'") for x in "ab")), "edges").collect()
     want = sorted((x, y) for x, t in zip(range(0, 480, 2), ends) for y, u in zip(range(1, 480, 2), ends) if abs(t - u) <= dt.timedelta(seconds=60))
     assert sorted((r.event, r.other_event) for r in got) == want
+
+
+class Handle:
+    """State in a dict, for a processor without a stream."""
+
+    def __init__(self):
+        self.timers, self.kept = [], {}
+
+    def listTimers(self):  # noqa: N802
+        return self.timers
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers = [t for t in self.timers if t != at]
+
+    def getValueState(self, name, schema, ttl=None):  # noqa: N802
+        return Value(self.kept, name)
+
+    getListState = getMapState = getValueState  # noqa: N815
+
+
+class Value:
+    def __init__(self, kept, name):
+        self.kept, self.name = kept, name
+
+    def exists(self):
+        return self.name in self.kept
+
+    def get(self):
+        return self.kept[self.name]
+
+    def update(self, x):
+        self.kept[self.name] = x
+
+    put = update
+
+    def clear(self):
+        self.kept.pop(self.name, None)
+
+    def updateValue(self, key, x):  # noqa: N802
+        self.kept[self.name, key] = x
+
+    def getValue(self, key):  # noqa: N802
+        return self.kept[self.name, key]
+
+    def removeKey(self, key):  # noqa: N802
+        del self.kept[self.name, key]
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+
+@pytest.mark.parametrize("processor", [state.Halts, state.LastTicks])
+def test_a_keys_ticks_are_never_in_memory_at_once(processor):
+    """20 days of 300,000 ticks in one batch: in memory are those that come together and those of an hour."""
+    import tracemalloc
+
+    import numpy as np
+
+    n = 300_000
+    us = 1_704_067_200_000_000 + np.random.default_rng(1).permutation(n) * 5_760_000
+    chunks = (pd.DataFrame({"us": us[i : i + 10_000], "event_id": np.arange(i, i + 10_000), "close": 1.0 + i, "volume": 2.0, "open_interest": 3.0, "spread": 0.1}) for i in range(0, n, 10_000))
+    handle, made = Handle(), processor()
+    made.init(handle)
+    tracemalloc.start()
+    told = sum(map(len, made.handleInputRows(("E", "a"), chunks, Clock(0))))
+    told += sum(map(len, made.handleExpiredTimer(("E", "a"), Clock(2_000_000_000_000), None)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert told > 0 and peak < 70_000_000  # of which 14 MB are the state itself, kept in a dict here
