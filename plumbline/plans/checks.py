@@ -28,10 +28,13 @@ class Family:
     source: str
     keys: str
     rows: tuple
+    #: The common table expressions for Spark, where they aren't those of the comparison engine.
+    spark: str | None = None
 
     def text(self, engine: str) -> str:
         body = dialect.unpivot([(i, v, f) for i, _, v, f in self.rows], self.keys, self.source, engine)
-        return f"WITH {self.base.strip()} {body}"
+        base = self.spark if engine == "spark" and self.spark else self.base
+        return f"WITH {base.strip()} {body}"
 
 
 def n(cond: str) -> str:

@@ -14,6 +14,23 @@ options AS (
     CASE WHEN l_orderkey % 97 = 0 THEN 0e0 ELSE greatest(0e0, CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice - floor(l_extendedprice / 5000) * 5000 ELSE floor(l_extendedprice / 5000) * 5000 - l_extendedprice END) + l_tax * 100 END AS close,
     CASE WHEN l_orderkey % 89 = 0 THEN 500e0 ELSE 10 + 100 * l_discount END AS implied_volatility FROM {lineitem})"""
 
+#: The same figures without joining calls with puts row by row (their number grows with the square of a strike's) and
+#: without a window over a whole frame: means of both sides by strike, means of a frame as small tables.
+_OPTIONS_SPARK = f"""{OPTIONS},
+sides AS (SELECT {K}, d, strike_price, expiry_date, avg(CASE WHEN option_type = 'CE' THEN close END) AS c, avg(CASE WHEN option_type = 'PE' THEN close END) AS p, count_if(option_type = 'CE') AS calls, count_if(option_type = 'PE') AS puts
+  FROM options WHERE exchange IS NOT NULL AND source IS NOT NULL AND d IS NOT NULL AND strike_price IS NOT NULL AND expiry_date IS NOT NULL GROUP BY {K}, d, strike_price, expiry_date),
+pairs AS (SELECT * FROM sides WHERE calls > 0 AND puts > 0),
+means AS (SELECT {K}, avg(c) AS mc FROM pairs GROUP BY {K}),
+parity AS (SELECT /*+ BROADCAST(means) */ {K}, count(*) AS n_pairs, {share("abs((c - p) - (mc - strike_price)) > 0.1")} AS off FROM pairs JOIN means USING ({K}) GROUP BY {K}),
+strikes AS (SELECT DISTINCT {K}, expiry_date, strike_price FROM options),
+steps AS (SELECT *, lead(strike_price) OVER (PARTITION BY {K}, expiry_date ORDER BY strike_price) - strike_price AS step FROM strikes),
+modal AS (SELECT {K}, expiry_date, @MODE(step) AS m, count(*) AS k FROM steps GROUP BY {K}, expiry_date),
+chain AS (SELECT steps.symbol, steps.exchange, steps.source, steps.expiry_date, avg(CASE WHEN step IS NULL THEN NULL WHEN abs(step - m) <= 0.1 * m THEN 1e0 ELSE 0e0 END) AS even FROM steps JOIN modal USING ({K}, expiry_date) WHERE k >= 3 GROUP BY 1, 2, 3, 4),
+even AS (SELECT {K}, min(even) AS even FROM chain GROUP BY {K}),
+a AS (SELECT {K}, {n("(option_type = 'CE' AND close < greatest(0e0, underlying_close - strike_price) - 0.01) OR (option_type = 'PE' AND close < greatest(0e0, strike_price - underlying_close) - 0.01)")} AS below,
+  {n("close <= 0 AND @DAYS(expiry_date, d) > 1")} AS zero_price, CASE WHEN avg(implied_volatility) > 1 THEN {share("implied_volatility / 100 < 0.005 OR implied_volatility / 100 > 3")} ELSE {share("implied_volatility < 0.005 OR implied_volatility > 3")} END AS odd_iv FROM options GROUP BY {K}),
+b AS (SELECT a.*, n_pairs, off, even FROM a LEFT JOIN parity USING ({K}) LEFT JOIN even USING ({K}))"""
+
 DERIVATIVES = Family(
     "checks_derivatives",
     f"""{OPTIONS},
@@ -39,6 +56,7 @@ b AS (SELECT a.*, n_pairs, off, even FROM a LEFT JOIN parity USING ({K}) LEFT JO
         ("DERIV-004", "EOD Soft Medium 3", "odd_iv", "odd_iv > 0.005"),
         ("DERIV-005", "EOD Soft Medium 3", "even", "even < 0.95"),
     ),
+    _OPTIONS_SPARK,
 )
 
 #: An index over the other symbols, of the close weighted by volume: source N from all sources' bars, A and R from their own,
@@ -89,7 +107,7 @@ def _last(k: int) -> str:
 def live_checks(drift_ms: float | None = LIMIT["clock_drift_ms"]) -> Family:
     """Checks of a feed's snapshot; ``drift_ms`` is what the time service reports, absent it LT-019 is skipped."""
     drift = "CAST(NULL AS double)" if drift_ms is None else f"{float(drift_ms)}e0"
-    return Family("checks_live", _LIVE_BASE, "b", K, (*_LIVE_ROWS, ("LT-019", "Live Hard Critical 5", drift, f"abs({drift}) > 1000")))
+    return Family("checks_live", _LIVE_BASE, "b", K, (*_LIVE_ROWS, ("LT-019", "Live Hard Critical 5", drift, f"abs({drift}) > 1000")), _LIVE_SPARK)
 
 
 _LIVE_BASE = f"""{LIVE},
@@ -106,6 +124,43 @@ a AS (SELECT {K}, count(*) AS n, max(last_arrival) AS last_arrival, max(latency)
   {n("((close % 0.05) + 0.05) % 0.05 > 0.0005")} AS off_tick, {n("close < first_close * 0.8 OR close > first_close * 1.2")} AS band, max(held) AS held, {n("session_flag NOT IN ('pre_open', 'normal', 'closing_auction', 'post_close') OR (hhmm BETWEEN 540 AND 554 AND session_flag <> 'pre_open')")} AS bad_flags,
   count(DISTINCT CASE WHEN @TRUNC(day, ts) = @TRUNC(day, now_ts) THEN hhmm END) AS minutes_seen, max(hour(now_ts) * 60 + minute(now_ts) - 555) AS elapsed FROM f3 JOIN q USING ({K}) JOIN clock USING (symbol) GROUP BY {K}),
 b AS (SELECT a.*, max(last_sec) OVER (PARTITION BY symbol) AS now_sec FROM a)"""
+#: Ticks of a block, and those before it that its windows look back on.
+_BLOCK, _BACK = 8192, 60
+_WB = f"PARTITION BY {K}, block ORDER BY nr"
+
+
+def _back(k: int) -> str:
+    return f"({_WB} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+
+
+#: The same figures in blocks: ticks are numbered by hour and by sums over the hours before, a block has a frame's next
+#: ``_BLOCK`` ticks and a copy of the ``_BACK`` before them (``ahead`` 1), so no window or sort holds a whole frame. A run
+#: of equal closes that goes on from a block to the next is held from the last start before.
+_LIVE_SPARK = f"""{LIVE},
+hourly AS (SELECT *, coalesce(cast(floor(sec / 3600e0) AS bigint), -1) AS at_hour FROM feed),
+sizes AS (SELECT {K}, at_hour, count(*) AS k FROM hourly GROUP BY {K}, at_hour),
+starts AS (SELECT {K}, at_hour, coalesce(sum(k) OVER (PARTITION BY {K} ORDER BY at_hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sizes),
+placed AS (SELECT *, row_number() OVER (PARTITION BY {K}, at_hour ORDER BY ts, event_id) AS place, count(*) OVER (PARTITION BY {K}, at_hour, ts) AS same_ts FROM hourly),
+numbered AS (SELECT /*+ BROADCAST(starts) */ placed.*, before + place AS nr FROM placed JOIN starts USING ({K}, at_hour)),
+dealt AS (SELECT *, explode(CASE WHEN (nr - 1) % {_BLOCK} >= {_BLOCK - _BACK} THEN array(0, 1) ELSE array(0) END) AS ahead FROM numbered),
+blocks AS (SELECT *, (nr - 1) div {_BLOCK} + ahead AS block FROM dealt),
+f1 AS (SELECT *, lag(sec) OVER ({_WB}) AS prev_sec, lag(close) OVER ({_WB}) AS prev_close, lag(nullif(open_interest, 0)) OVER ({_WB}) AS prev_oi,
+  avg(close) OVER {_back(20)} AS c20, stddev_samp(close) OVER {_back(20)} AS s20, count(close) OVER {_back(20)} AS n20, avg(volume) OVER {_back(20)} AS v20, stddev_samp(volume) OVER {_back(20)} AS vs20, avg(close) OVER {_back(60)} AS c60 FROM blocks),
+f2 AS (SELECT *, close / nullif(prev_close, 0) - 1 AS ret, CASE WHEN ahead = 1 OR close = prev_close THEN NULL ELSE sec END AS begun FROM f1),
+f3 AS (SELECT *, max(begun) OVER ({_WB} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held_from, stddev_samp(ret) OVER {_back(5)} AS r5, stddev_samp(ret) OVER {_back(60)} AS r60 FROM f2),
+q AS (SELECT {K}, count(*) AS total, avg(ask - bid) AS sp_mean, stddev_samp(ask - bid) AS sp_sd, @ARGMIN(close, ts, event_id) AS first_close, @PCT(close, 0.25) AS q1, @PCT(close, 0.75) AS q3, @PCT(arrived - sec, 0.5) AS latency, max(arrived) AS last_arrival FROM feed GROUP BY {K}),
+clock AS (SELECT symbol, max(ts) AS now_ts FROM feed GROUP BY symbol),
+seen AS (SELECT /*+ BROADCAST(clock) */ {K}, count(DISTINCT CASE WHEN @TRUNC(day, ts) = @TRUNC(day, now_ts) THEN hhmm END) AS minutes_seen, max(hour(now_ts) * 60 + minute(now_ts) - 555) AS elapsed FROM feed JOIN clock USING (symbol) GROUP BY {K}),
+parts AS (SELECT /*+ BROADCAST(q) */ {K}, block, count(*) AS n, {n("n20 >= 5 AND abs((close - c20) / nullif(s20, 0)) > 3")} AS spikes, {n("same_ts > 1")} AS dups, {n("n20 >= 5 AND abs((volume - v20) / nullif(vs20, 0)) > 4")} AS v_spikes,
+  {n("hhmm < 555 OR hhmm > 930")} AS outside, {n("abs(open_interest / prev_oi - 1) > 0.05")} AS oi_jumps, max(sec - prev_sec) AS max_gap, max(CASE WHEN nr = total THEN abs(c20 / nullif(c60, 0) - 1) END) AS drift,
+  {n("abs((ask - bid - sp_mean) / greatest(sp_sd, 0.001e0)) > 3")} AS spreads, max(sec) AS last_sec, {n("close < q1 - 3 * (q3 - q1) OR close > q3 + 3 * (q3 - q1)")} AS extreme, max(CASE WHEN nr = total THEN r5 / greatest(r60, 1e-8) END) AS vol_ratio,
+  {n("((close % 0.05) + 0.05) % 0.05 > 0.0005")} AS off_tick, {n("close < first_close * 0.8 OR close > first_close * 1.2")} AS band, {n("session_flag NOT IN ('pre_open', 'normal', 'closing_auction', 'post_close') OR (hhmm BETWEEN 540 AND 554 AND session_flag <> 'pre_open')")} AS bad_flags,
+  max(sec - held_from) AS held, max(CASE WHEN held_from IS NULL THEN sec END) AS went_on, max(begun) AS last_begun FROM f3 JOIN q USING ({K}) WHERE ahead = 0 GROUP BY {K}, block),
+runs AS (SELECT *, went_on - last_value(last_begun) IGNORE NULLS OVER (PARTITION BY {K} ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS held_on FROM parts),
+sums AS (SELECT {K}, sum(n) AS n, sum(spikes) AS spikes, sum(dups) AS dups, sum(v_spikes) AS v_spikes, sum(outside) AS outside, sum(oi_jumps) AS oi_jumps, max(max_gap) AS max_gap, max(drift) AS drift, sum(spreads) AS spreads, max(last_sec) AS last_sec,
+  sum(extreme) AS extreme, max(vol_ratio) AS vol_ratio, sum(off_tick) AS off_tick, sum(band) AS band, sum(bad_flags) AS bad_flags, greatest(max(held), max(held_on)) AS held FROM runs GROUP BY {K}),
+a AS (SELECT sums.*, latency, last_arrival, minutes_seen, elapsed FROM sums JOIN q USING ({K}) JOIN seen USING ({K})),
+b AS (SELECT a.*, max(last_sec) OVER (PARTITION BY symbol) AS now_sec FROM a)"""
 _LIVE_ROWS = (
     ("LT-001", "Live Hard Critical 5", "now_sec - last_arrival", "now_sec - last_arrival > 5"),
     ("LT-002", "Live Hard Critical 5", "latency", "latency > 0.5"),
