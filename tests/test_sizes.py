@@ -62,3 +62,10 @@ def test_calls_and_puts_meet_by_strike(spark, tmp_path):
     assert not any(re.search(r"\bWindow \[", line) and "step" not in line and "strike_price" not in line for line in plan)
     got = {r.check_id: r for r in df.collect()}
     assert got["DERIV-003"].value is not None and got["DERIV-004"].value == round(7 / 600, 4) and len(got) == 5  # 7 of 600 keys are multiples of 89
+
+
+def test_all_results_have_the_bounded_plans(spark, sf):
+    """The results that scorecards and outcomes share come from the same plans as the families' own queries."""
+    plan = plan_of(dialect.query(f"WITH {market.results('spark')} SELECT * FROM results")(spark, sf))
+    assert not any("Join" in line and "strike_price#" in line and re.search(r"\bd#", line) for line in plan)
+    assert any(re.search(r"\bWindow \[", line) and "block#" in line for line in plan)
