@@ -61,8 +61,10 @@ class RunIndex:
         deep = rank
         same = np.zeros(n, bool)
         same[1:] = (deep[order[1:]] == deep[order[:-1]]) & (left[order[1:]] >= match)
-        self.groups = np.flatnonzero(~same)
-        self.least = np.minimum.reduceat(owner[string[order]], self.groups)
+        groups = np.flatnonzero(~same)
+        # by row: its run, and the least owner of its group
+        self.run_of = np.repeat(np.arange(len(size)), size)
+        self.least = np.repeat(np.minimum.reduceat(owner[string[order]], groups), np.diff(np.append(groups, n)))
         up, self.down = ta.powers(n + 1)
         self.acc = np.zeros(n + 1, ta.U64)
         np.cumsum((text.astype(ta.U64) + ta.U64(1)) * up[:n], out=self.acc[1:])
@@ -114,7 +116,7 @@ class RunIndex:
             act = np.flatnonzero(length >= t)
             c = self.text[begin[act] + length[act] - t].astype(np.int64)
             fresh = size[act] == 0
-            run = np.searchsorted(self.heads, row[act], "right") - 1
+            run = self.run_of[row[act]]
             stay = (self.symbol[run] == c) & ~fresh
             jump = np.flatnonzero(~stay & ~fresh)
             if len(jump):
@@ -144,8 +146,7 @@ class RunIndex:
             row[a], pos[a], size[a] = self.start[c[new]], self.row_of[c[new]], 1
             long = act[size[act] >= self.match]
             if len(long):
-                group = np.searchsorted(self.groups, row[long], "right") - 1
-                hit = long[self.least[group] < owner[long]]
+                hit = long[self.least[row[long]] < owner[long]]
                 found_s.append(hit)
                 found_t.append(length[hit] - t)
         return (np.concatenate(found_s), np.concatenate(found_t)) if found_s else (np.zeros(0, np.int64), np.zeros(0, np.int64))

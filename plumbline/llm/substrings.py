@@ -51,9 +51,13 @@ BUCKET_BYTES = (12 << 20, 256 << 20)
 FEW_BUCKETS = 4096
 #: Text whose anchors are settled and packed together in a task.
 BATCH_BYTES = 16 << 20
+#: Text that is hashed at once: its arrays stay in a core's cache.
+PIECE_BYTES = 1 << 17
 #: Strings that an index takes at once, in bytes (it needs some 200 times that while it is built): a larger bucket is
 #: cut by anchor, and the contexts of an anchor that alone are larger by the hash of each string of ``match`` bytes.
 INDEX_BYTES = 300_000
+#: Text from which contexts are cut at once.
+CONTEXT_BYTES = 1 << 20
 #: Texts of the sample that finds hot anchors, and the share of its texts (HOT_LEAST at least) that makes an anchor hot.
 HOT_SAMPLE = 64
 HOT_SHARE = 1 / 2048
@@ -65,6 +69,10 @@ def _half(match: int) -> int:
     return (match - min(GRAM, match) + 1) // 2
 
 
+#: In place of an anchor: no string of one text starts here.
+_NONE = ta.U64((1 << 64) - 1)
+
+
 def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, ...]:
     """(position, row, anchor hash, context hash, halves, extent) of the anchors of a piece.
 
@@ -77,27 +85,33 @@ def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.
     if run > 256:
         raise ValueError(f"strings of {255 + GRAM} bytes at most")
     n = len(data) - gram + 1
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    whole = np.flatnonzero(np.arange(max(n - run + 1, 0)) + match <= offs[row[: max(n - run + 1, 0)] + 1])  # starts of strings within one text
-    if not len(whole):
+    windows = n - run + 1  # starts of strings of ``match`` bytes, those across texts included
+    if windows < 1:
         z = np.zeros(0, np.int64)
         return z, z, z.astype(ta.U64), z.astype(ta.U64), z.astype(np.uint32), z
     up, down = ta.powers(len(data) + 1)
     acc = np.zeros(len(data) + 1, ta.U64)
-    np.cumsum((data.astype(ta.U64) + ta.U64(1)) * up[: len(data)], out=acc[1:])
-    h = ta.mix((acc[gram:] - acc[:-gram]) * down[:n])
-    least, where, width = h, np.arange(n, dtype=np.int32), 1
-    while width < run:  # the first least hash of each ``run``, by doubling
-        step = min(width, run - width)
-        less = least[step:] < least[:-step]
-        where = np.where(less, where[step:], where[:-step])
-        least = np.where(less, least[step:], least[:-step])
-        width += step
-    at = where[whole].astype(np.int64)
-    new = np.append(True, (at[1:] != at[:-1]) | (whole[1:] != whole[:-1] + 1) | (row[whole[1:]] != row[whole[:-1]]))
-    first = np.flatnonzero(new)
-    start, stop, at = whole[first], whole[np.append(first[1:], len(whole)) - 1] + match, at[first]
-    r = row[start]
+    code = data.astype(ta.U64)
+    code += ta.U64(1)
+    code *= up[: len(data)]
+    np.cumsum(code, out=acc[1:])
+    # the upper half of a hash orders the grams, with the place below it: of equal ones the first is least
+    least = np.subtract(acc[gram:], acc[:-gram], out=code[:n])
+    least *= down[:n]
+    least &= ta.U64(0xFFFFFFFF00000000)
+    least |= np.arange(n, dtype=ta.U64)
+    least = ta.sliding(least, run, np.minimum)
+    # strings across texts have no anchor; between those of two texts there are always some
+    stops = np.minimum(offs[1:], windows)
+    across = np.maximum(offs[1:] - match + 1, offs[:-1])
+    least[ta.ranges(across, np.maximum(stops - across, 0))] = _NONE
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    last = np.append(first[1:], windows) - 1
+    some = np.flatnonzero(least[first] != _NONE)
+    start, stop = first[some], last[some] + match
+    at = (least[start] & ta.U64(0xFFFFFFFF)).astype(np.int64)
+    h = ta.mix((acc[at + gram] - acc[at]) * down[at])
+    r = np.searchsorted(offs, start, "right") - 1
     extent = (at - start) << 8 | (stop - match - start)
     context = ta.mix((acc[stop] - acc[start]) * down[start] + extent.astype(ta.U64) * ta.U64(0xD6E8FEB86659FD93))
     halves, half = np.zeros(len(at), np.uint32), _half(match)
@@ -105,7 +119,7 @@ def anchors(data: np.ndarray, offs: np.ndarray, match: int = MATCH) -> tuple[np.
         ok = np.flatnonzero((a >= start) & (b <= stop))
         x = ta.mix((acc[b[ok]] - acc[a[ok]]) * down[a[ok]]) % ta.U64(65535) + ta.U64(1)
         halves[ok] |= x.astype(np.uint32) << np.uint32(shift)
-    return at - offs[r], r, h[at], context, halves, extent
+    return at - offs[r], r, h, context, halves, extent
 
 
 _FIELDS = (("h", np.uint32), ("c1", np.uint32), ("c2", np.uint16), ("d", np.uint16), ("p1", np.uint16), ("p2", np.uint16), ("e", np.uint16), ("s", np.uint32))
@@ -113,13 +127,20 @@ _FIELDS = (("h", np.uint32), ("c1", np.uint32), ("c2", np.uint16), ("d", np.uint
 SETTLED, OPEN, HOT = 0, 1, 2
 
 
-def _pack(doc: np.ndarray, text: np.ndarray, h, c, pos, s, e, kind: int) -> bytes:
-    """Columns one after the other, which compress better than rows; doc_ids once in a table. Only open anchors need hashes."""
-    key, d = np.unique(np.stack([doc, text]), axis=1, return_inverse=True)
+def _pack(ids: np.ndarray, text: np.ndarray, row: np.ndarray, h, c, pos, s, e, kind: int) -> bytes:
+    """Columns one after the other, which compress better than rows; doc_ids once in a table. Only open anchors need hashes.
+
+    ``row`` is each anchor's place in ``ids`` and ``text``.
+    """
+    place = np.zeros(len(ids), np.uint16)
+    place[row] = 1
+    key = np.flatnonzero(place)
+    place[key] = np.arange(len(key))
     zero = np.zeros(len(pos) if kind != OPEN else 0, np.uint32)
-    cols = (h >> ta.U64(32), c, c >> ta.U64(32), d.ravel(), pos, pos >> 16, e, s) if kind == OPEN else (zero, zero, zero, d.ravel(), pos, pos >> 16, e, zero)
-    head = np.array([key.shape[1], len(h)], np.int64)
-    return b"".join([head.tobytes(), key[0].astype(np.int64).tobytes(), key[1].astype(np.int32).tobytes(), *[x.astype(t).tobytes() for x, (_, t) in zip(cols, _FIELDS)]])
+    d = place[row]
+    cols = (h >> ta.U64(32), c, c >> ta.U64(32), d, pos, pos >> 16, e, s) if kind == OPEN else (zero, zero, zero, d, pos, pos >> 16, e, zero)
+    head = np.array([len(key), len(h)], np.int64)
+    return b"".join([head.tobytes(), ids[key].astype(np.int64).tobytes(), text[key].astype(np.int32).tobytes(), *[x.astype(t).tobytes() for x, (_, t) in zip(cols, _FIELDS)]])
 
 
 def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
@@ -136,26 +157,29 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
 
 
 def _smaller_twin(h, c, doc) -> np.ndarray:
-    """True where another row has the same anchor and context and a smaller doc_id."""
-    order = np.lexsort((doc, c, h))
+    """True where another row has the same anchor and context and a smaller doc_id.
+
+    Rows are sorted by one hash of both; where two pairs share it some twins are not told here, and meet in their bucket.
+    """
+    order = np.argsort(h ^ (c * ta.U64(0x9E3779B97F4A7C15)))
     hs, cs, ds = h[order], c[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    first = np.flatnonzero(np.append(True, (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1]))[: len(h)])
     out = np.zeros(len(h), bool)
-    out[order] = ds > ds[first]
+    if len(h):
+        out[order] = ds > np.repeat(np.minimum.reduceat(ds, first), np.diff(np.append(first, len(h))))
     return out
 
 
-def _dealt(where: np.ndarray, kind: int, doc, th, h, c, pos, s, e) -> Iterator[tuple[int, int, bytes]]:
-    """(bucket, kind, body) of anchors by the bucket ``where``."""
-    order = np.lexsort((h, where))
-    cuts = np.append(np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1])[: len(order)]), len(order))
+def _dealt(where: np.ndarray, kind: int, ids, th, row, h, c, pos, s, e) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, kind, body) of anchors by the bucket ``where``; ``row`` is each anchor's place in ``ids`` and ``th``."""
+    # by bucket and, as that compresses better, nearly by hash
+    order = np.argsort(where.astype(ta.U64) << ta.U64(40) | h >> ta.U64(24))
+    where = where[order]
+    cuts = np.append(np.flatnonzero(np.append(True, where[1:] != where[:-1])[: len(order)]), len(order))
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        x = order[i:j]
-        for lo in range(0, len(x), 1 << 16):  # a document's place in a body takes 16 bits
-            y = x[lo : lo + (1 << 16)]
-            yield int(where[y[0]]), kind, _pack(doc[y], th[y], h[y], c[y], pos[y], s[y], e[y], kind)
+        for lo in range(i, j, 1 << 16):  # a document's place in a body takes 16 bits
+            y = order[lo : min(lo + (1 << 16), j)]
+            yield int(where[lo]), kind, _pack(ids, th, row[y], h[y], c[y], pos[y], s[y], e[y], kind)
 
 
 def _bodies(rows) -> pa.RecordBatch:
@@ -173,7 +197,7 @@ def _anchor_rows(buckets: int, match: int, hot):
         for batch in batches:
             ids, th = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             got, size = [], 0
-            for lo, hi, data, offs in ta.pieces(batch, "text", rows=1 << 14):
+            for lo, hi, data, offs in ta.pieces(batch, "text", PIECE_BYTES):
                 pos, r, h, c, s, e = anchors(data, offs, match)
                 got.append((lo + r, h, c, pos, s, e))
                 size += len(data)
@@ -187,7 +211,7 @@ def _anchor_rows(buckets: int, match: int, hot):
         for some, kind in ((np.flatnonzero(done), SETTLED), (np.flatnonzero(~done & often), HOT), (np.flatnonzero(~done & ~often), OPEN)):
             if len(some):
                 where = ids[r[some]] % buckets if kind != OPEN else (h[some] % ta.U64(buckets)).astype(np.int64)
-                yield from _dealt(where, kind, ids[r[some]], th[r[some]], h[some], c[some], pos[some], s[some], e[some])
+                yield from _dealt(where, kind, ids, th, r[some], h[some], c[some], pos[some], s[some], e[some])
 
     return run
 
@@ -197,7 +221,7 @@ def _hot_anchors(known: DataFrame, match: int, sample: int = HOT_SAMPLE, share:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _lo, _hi, data, offs in ta.pieces(batch, "text"):
+            for _lo, _hi, data, offs in ta.pieces(batch, "text", PIECE_BYTES):
                 _, _, h, c, _, _ = anchors(data, offs, match)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64))], names=["h", "c"])
 
@@ -234,23 +258,32 @@ def _dealt_again(first: int, buckets: int):
     def again(held):
         doc, th, h, c, pos, s, e = (np.concatenate(x) for x in zip(*(x for _, x in held)))
         where = np.repeat([w for w, _ in held], [len(x[0]) for _, x in held])
+        key, row = np.unique(np.rec.fromarrays([doc, th]), return_inverse=True)
         # the upper half of the hash is what travels; it tells the bucket within the coarse one
-        yield from _dealt(where + first * (h.astype(np.int64) % -(-buckets // first)), OPEN, doc, th, h.astype(ta.U64) << ta.U64(32), c.astype(ta.U64), pos, s, e)
+        yield from _dealt(where + first * (h.astype(np.int64) % -(-buckets // first)), OPEN, key.f0, key.f1, row, h.astype(ta.U64) << ta.U64(32), c.astype(ta.U64), pos, s, e)
 
     return run
 
 
 def _several(h: np.ndarray, side: np.ndarray, c: np.ndarray) -> np.ndarray:
     """True for anchors of whose rows with the same half (not zero) some have another context."""
-    order = np.lexsort((c, side, h))
-    hs, ss, cs = h[order], side[order], c[order]
-    new = np.append(True, (hs[1:] != hs[:-1]) | (ss[1:] != ss[:-1]))[: len(h)]
-    other = new | np.append(True, cs[1:] != cs[:-1])[: len(h)]
-    start = np.flatnonzero(new)
+    key = h.astype(ta.U64) << ta.U64(16) | side.astype(ta.U64)
+    order = np.argsort(key)
+    key, cs = key[order], c[order]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(h)])
     out = np.zeros(len(h), bool)
     if len(h):
-        out[order] = np.repeat(np.add.reduceat(other.astype(np.int64), start) > 1, np.diff(np.append(start, len(h)))) & (ss != 0)
-    return out
+        out[order] = np.repeat(np.minimum.reduceat(cs, start) < np.maximum.reduceat(cs, start), np.diff(np.append(start, len(h))))
+    return out & (side != 0)
+
+
+def _by_context(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The order of rows by (h, c), of 32 and 48 bits."""
+    key = h.astype(ta.U64) << ta.U64(32) | c.astype(ta.U64) >> ta.U64(16)
+    order = np.argsort(key)
+    k, cs = key[order], c[order]
+    # 64 bits tell almost all apart, and sorting one column is much faster
+    return np.lexsort((c, h)) if ((k[1:] == k[:-1]) & (cs[1:] != cs[:-1])).any() else order
 
 
 def _settle(table: pa.Table) -> pa.Table:
@@ -267,12 +300,12 @@ def _settle(table: pa.Table) -> pa.Table:
     if open_parts:
         doc, th, h, c, code, s = (np.concatenate(x) for x in zip(*open_parts))
         del open_parts
-        order = np.lexsort((doc, c, h))
+        order = _by_context(h, c)
         doc, th, h, c, code, s = doc[order], th[order], h[order], c[order], code[order], s[order]
         new_h = np.append(True, h[1:] != h[:-1])
         new_c = new_h | np.append(True, c[1:] != c[:-1])
-        first = np.maximum.accumulate(np.where(new_c, np.arange(len(h)), 0))
-        later = doc > doc[first]
+        first = np.flatnonzero(new_c)
+        later = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(h))))
         got.append((doc[later], th[later], code[later]))
         start = np.flatnonzero(new_h)
         contexts = np.add.reduceat(new_c.astype(np.int64), start)
@@ -304,65 +337,86 @@ def _context_rows(buckets: int, match: int):
     A hot anchor gives its strings of ``match`` bytes instead; of equal ones in a batch those of larger documents are settled.
     """
     gram = min(GRAM, match)
+    up, _ = ta.powers(gram + 1)
+    up = up[:gram].copy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        up, down = ta.powers(gram + 1)
         for batch in batches:
-            out: list = [[] for _ in range(6)]
-            hot, least = [], {}
-            for doc, th, z, n, codes in zip(batch.column(0), batch.column(1), batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
-                if not codes.is_valid:
-                    continue
-                code = np.unique(np.asarray(codes.values, np.int64))
-                doc, th, kind = doc.as_py(), th.as_py(), code & 3
-                pos, place, more = code >> 18, code >> 10 & 255, code >> 2 & 255
-                start, stop = pos - place, pos - place + more + match
-                for a, b in zip(*_merged(start[kind == SETTLED], stop[kind == SETTLED])):
-                    for col, v in zip(out, (doc % buckets, doc, th, int(a), int(b), None)):
-                        col.append(v)
-                border, often = np.flatnonzero(kind == OPEN), np.flatnonzero(kind == HOT)
-                if not len(border) and not len(often):
-                    continue
-                data = _text(z, n)
-                raw = data.tobytes()
-                if len(border):
-                    view = np.lib.stride_tricks.sliding_window_view(data, gram)[pos[border]].astype(ta.U64) + ta.U64(1)
-                    h = ta.mix((view * up[:gram]).sum(axis=1)) >> ta.U64(20)
-                    for a, b, p, x in zip(start[border].tolist(), stop[border].tolist(), place[border].tolist(), h.tolist()):
-                        for col, v in zip(out, (x % buckets, doc, th, a, x // buckets << 16 | p, raw[a:b])):
-                            col.append(v)
-                for a in np.unique(ta.ranges(start[often], more[often] + 1)).tolist() if len(often) else ():
-                    s = raw[a : a + match]
-                    least[s] = min(doc, least.get(s, doc))
-                    hot.append((doc, th, a, s))
-            for doc, th, a, s in hot:
-                settled, x = doc > least[s], zlib.crc32(s)
-                for col, v in zip(out, (x % buckets, doc, th, a, a + match if settled else x // buckets << 16, None if settled else s)):
-                    col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=["bucket", "doc_id", "th", "start", "stop", "body"])
+            n = batch.column(3).to_numpy()
+            lot = np.cumsum(n) // CONTEXT_BYTES
+            cuts = np.append(np.flatnonzero(np.append(True, lot[1:] != lot[:-1])[: len(n)]), len(n)).tolist()
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                yield pa.RecordBatch.from_arrays(of(batch.slice(i, j - i)), names=["bucket", "doc_id", "th", "start", "stop", "body"])
+
+    def of(batch: pa.RecordBatch) -> list[pa.Array]:
+        some = batch.filter(batch.column(4).is_valid())
+        ids, ths, n = (some.column(i).to_numpy() for i in (0, 1, 3))
+        base = np.concatenate([[0], np.cumsum(n + 1)])  # a text's place among all, with a byte between two
+        codes = some.column(4)
+        code, row = codes.flatten().to_numpy(), np.repeat(np.arange(len(ids)), codes.value_lengths().to_numpy())
+        order = np.lexsort((code, row))
+        code, row = code[order], row[order]
+        new = np.append(True, (code[1:] != code[:-1]) | (row[1:] != row[:-1]))[: len(code)]
+        code, row = code[new], row[new]
+        kind, place, more = code & 3, code >> 10 & 255, code >> 2 & 255
+        pos = (code >> 18) + base[row]
+        start = pos - place
+        stop = start + more + match
+        a, b = _merged(start[kind == SETTLED], stop[kind == SETTLED])
+        r = np.searchsorted(base, a, "right") - 1
+        got = [(ids[r] % buckets, r, a, b - base[r], np.zeros(len(a), np.int64))]
+        border, often = np.flatnonzero(kind == OPEN), np.flatnonzero(kind == HOT)
+        data = np.zeros(base[-1], np.uint8)
+        for i in np.unique(row[kind != SETTLED]).tolist():
+            data[base[i] : base[i + 1] - 1] = _text(some.column(2)[i], int(n[i]))
+        if len(border):
+            view = np.lib.stride_tricks.sliding_window_view(data, gram)[pos[border]].astype(ta.U64) + ta.U64(1)
+            h = (ta.mix((view * up).sum(axis=1)) >> ta.U64(20)).astype(np.int64)
+            got.append((h % buckets, row[border], start[border], h // buckets << 16 | place[border], stop[border] - start[border]))
+        if len(often):
+            at = np.unique(ta.ranges(start[often], more[often] + 1))
+            r = np.searchsorted(base, at, "right") - 1
+            raw, least = data.tobytes(), {}
+            strings = [raw[x : x + match] for x in at.tolist()]
+            for x, d in zip(strings, ids[r].tolist()):
+                least[x] = min(d, least.get(x, d))
+            settled = ids[r] > np.array([least[x] for x in strings], np.int64)
+            h = np.array([zlib.crc32(x) for x in strings], np.int64)
+            got.append((h % buckets, r, at, np.where(settled, at - base[r] + match, h // buckets << 16), np.where(settled, 0, match)))
+        bucket, row, at, stop, size = (np.concatenate(x) for x in zip(*got))
+        offs = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        full = pa.array(size > 0).buffers()[1]
+        body = pa.Array.from_buffers(pa.binary(), len(size), [full, pa.py_buffer(offs), pa.py_buffer(data[ta.ranges(at, size)])])
+        return [pa.array(bucket, pa.int64()), pa.array(ids[row], pa.int64()), pa.array(ths[row], pa.int32()), pa.array(at - base[row], pa.int64()), pa.array(stop, pa.int64()), body]
 
     return run
 
 
-def _promising(strings: list[bytes], where: np.ndarray, match: int) -> np.ndarray:
+def _promising(body: pa.BinaryArray, where: np.ndarray, match: int) -> np.ndarray:
     """The contexts that share their anchor with half of a string's other bytes, on the left or on the right.
 
     A string of ``match`` bytes around an anchor reaches at least so far on one side, so the others have no equal.
     """
     gram = min(GRAM, match)
     half = _half(match)
-    place = (where & 0xFFFF).tolist()
-    keep = np.zeros(len(strings), bool)
-    for side in (0, 1):
-        key = np.zeros(len(strings), np.int64)
-        for i, (s, p) in enumerate(zip(strings, place)):
-            if side and len(s) >= p + gram + half:
-                key[i] = hash(s[p : p + gram + half])
-            elif not side and p >= half:
-                key[i] = hash(s[p - half : p + gram])
-        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-        keep |= (count[inverse] > 1) & (key != 0)
+    wide = gram + half
+    offs = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body) + 1].astype(np.int64)
+    raw = np.frombuffer(body.buffers()[2], np.uint8)
+    place = where & 0xFFFF
+    keep = np.zeros(len(body), bool)
+    for start in (offs[:-1] + place - half, offs[:-1] + place):
+        able = np.flatnonzero((start >= offs[:-1]) & (start + wide <= offs[1:]))
+        key = np.zeros(len(able), ta.U64)
+        for lo in range(0, len(able), 1 << 14):
+            some = start[able[lo : lo + (1 << 14)]]
+            part = np.zeros((len(some), -(-wide // 8) * 8), np.uint8)
+            part[:, :wide] = np.lib.stride_tricks.sliding_window_view(raw, wide)[some]
+            for word in part.view(ta.U64).T:
+                key[lo : lo + len(some)] = ta.mix(key[lo : lo + len(some)] * ta.U64(3) + word)
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        keep[able[order[1:][same]]] = True
+        keep[able[order[:-1][same]]] = True
     return np.flatnonzero(keep)
 
 
@@ -402,9 +456,8 @@ def _index(match: int, most: int):
         got = [(doc[null], th[null], start[null], stop[null])]
         rest = np.flatnonzero(~null)
         if len(rest):
+            rest = rest[_promising(body.take(pa.array(rest)), stop[rest], match)]
             strings = body.take(pa.array(rest)).to_pylist()
-            some = _promising(strings, stop[rest], match)
-            rest, strings = rest[some], [strings[i] for i in some.tolist()]
             for i, t in _places(strings, doc[rest], stop[rest] >> 16, match, most) if len(rest) else ():
                 if len(i):
                     order = np.lexsort((t, i))

@@ -1,6 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import substrings
@@ -83,3 +86,65 @@ def test_documents(spark, sf):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def _peak(work) -> int:
+    """Bytes that ``work`` holds at once beyond what stood before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def _batch():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2000)]
+    return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(2000), pa.int64()), pa.array([0] * 2000, pa.int32())], names=["text", "doc_id", "th"])
+
+
+class _NoneHot:
+    value = np.zeros(0, np.uint64)
+
+
+def test_anchor_memory():
+    """4 MB of text are hashed in small pieces, so what a task holds is mostly the anchors found."""
+    batch = _batch()
+    assert _peak(lambda: [*substrings._anchor_rows(3, 50, _NoneHot)(iter([batch]))]) < 14 * batch.nbytes
+
+
+def test_context_memory():
+    """Contexts are cut from some texts at a time, as arrays and not as a Python value each."""
+    batch = _batch()
+    [texts] = substrings._compressed(iter([batch]))
+    pos = np.arange(40, 1900, 18)
+    codes = pa.array([(pos << 18 | 20 << 10 | 17 << 2 | substrings.OPEN).tolist()] * 2000, pa.list_(pa.int64()))
+    joined = pa.RecordBatch.from_arrays([*texts.columns, codes], names=["doc_id", "th", "z", "n", "codes"])
+    size = 0
+
+    def count():
+        nonlocal size
+        size = sum(x.nbytes for x in substrings._context_rows(3, 50)(iter([joined])))
+
+    assert _peak(count) < 100e6
+    assert size > len(pos) * 2000 * 67
+
+
+def test_anchors_are_of_the_string():
+    """Equal strings have equal anchors at equal places, wherever they stand and whatever surrounds them."""
+    rng = random.Random(6)
+    text = "".join(rng.choice("ab ") for _ in range(3000))
+    seen = {}
+    for cut in (0, 1, 17, 700):
+        for tail in ("", "b", "a" * 90):
+            rows = [b"x" * 60, b"", b"a" * 49, (text[cut:] + tail).encode(), b"c" * 50]
+            offs = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+            pos, row, h, c, _, e = substrings.anchors(np.frombuffer(b"".join(rows), np.uint8), offs)
+            assert set(row.tolist()) == {0, 3, 4}
+            for p, r, g, x in zip(pos.tolist(), row.tolist(), h.tolist(), e.tolist()):
+                for start in range(p - (x >> 8), p - (x >> 8) + (x & 255) + 1):
+                    string = rows[r][start : start + 50]
+                    assert len(string) == 50
+                    assert seen.setdefault(string, (p - start, g)) == (p - start, g)
