@@ -46,6 +46,10 @@ MAX_BUCKETS = 16_384
 TASK_WORDS = 1_000_000
 #: Words of a lot whose ids are put together at once.
 PART_WORDS = 400_000
+#: Words that the tokenizer encodes at once: it keeps some kilobyte of each until they are read.
+ENCODED = 4_096
+#: Bytes of words that are hashed at once.
+HASHED = 128 << 10
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -67,8 +71,6 @@ class Codec:
     """What a task needs of a tokenizer file of the byte-level BPE kind."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         told = json.loads(spec)
         kind, pre = told["model"]["type"], told["pre_tokenizer"] or {}
         if kind != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or told["normalizer"] or not pre.get("use_regex", True):
@@ -77,17 +79,27 @@ class Codec:
             raise ValueError("only plain byte-level BPE, without dropout, ignored merges, fallback, affixes or an unknown token")
         if any(t.get(x) for t in told["added_tokens"] for x in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("only added tokens that match exactly where they stand")
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        self.spec = spec
         self.added = {t["content"]: t["id"] for t in told["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.split = _splitter(SPLIT)
-        self.vocab = told["model"]["vocab"] | self.added
-        self.id_kind = np.uint16 if max(self.vocab.values()) < 1 << 16 else np.int32
-        self._pieces = self._numbers = None
+        self.most = max([*told["model"]["vocab"].values(), *self.added.values()])
+        self.id_kind = np.uint16 if self.most < 1 << 16 else np.int32
+        self._tokenizer = self._pieces = self._numbers = None
+
+    @property
+    def tokenizer(self):
+        """Made when the first word is encoded: tasks that split or decode do without its memory."""
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            made = Tokenizer.from_str(self.spec)
+            made.no_truncation()
+            made.no_padding()
+            made.encode_special_tokens = True
+            self._tokenizer = made
+        return self._tokenizer
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -98,13 +110,17 @@ class Codec:
         return out
 
     def encode(self, words: list[str]) -> list[list[int]]:
-        done = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [[self.added[w]] if w in self.added else x.ids for w, x in zip(words, done, strict=True)]
+        out: list[list[int]] = []
+        for lo in range(0, len(words), ENCODED):
+            part = words[lo : lo + ENCODED]
+            done = self.tokenizer.encode_batch(part, add_special_tokens=False)
+            out += [[self.added[w]] if w in self.added else x.ids for w, x in zip(part, done, strict=True)]
+        return out
 
     def numbers(self) -> pa.Array:
         """Each id in decimal digits with a comma."""
         if self._numbers is None:
-            self._numbers = pa.array([b"%d," % i for i in range(max(self.vocab.values()) + 1)], pa.binary())
+            self._numbers = pa.array([b"%d," % i for i in range(self.most + 1)], pa.binary())
         return self._numbers
 
     def pieces(self) -> pa.Array:
@@ -116,8 +132,8 @@ class Codec:
     def _made_pieces(self) -> pa.Array:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*shown}))}
-        out = [b""] * (max(self.vocab.values()) + 1)
-        for piece, i in self.vocab.items():
+        out = [b""] * (self.most + 1)
+        for piece, i in (json.loads(self.spec)["model"]["vocab"] | self.added).items():
             out[i] = piece.encode() if piece in self.added else bytes(byte_of[c] for c in piece)
         return pa.array(out, pa.binary())
 
@@ -170,15 +186,26 @@ def _from_planes(raw: bytes, size: int) -> np.ndarray:
 def _numbers(rank: np.ndarray) -> tuple[bytes, bytes]:
     """Word numbers by frequency: a byte for each of the 255 most frequent, and four more, in planes, for the others."""
     often = rank < 255
-    return np.where(often, rank, 255).astype(np.uint8).tobytes(), _planes(rank[~often], 4)
+    return np.minimum(rank, 255).astype(np.uint8).tobytes(), _planes(rank[~often], 4)
 
 
 def _from_numbers(one: bytes, more: bytes) -> np.ndarray:
-    out = np.frombuffer(one, np.uint8).astype(np.int64)
+    out = np.frombuffer(one, np.uint8).astype(np.uint32)
     out[out == 255] = _from_planes(more, 4)
     return out
 
 
+def _dealt(data: np.ndarray, offs: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each word, hashed some bytes at a time: hashing takes some 50 bytes of memory for each."""
+    out, lo = np.zeros(len(offs) - 1, np.int64), 0
+    while lo < len(out):
+        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + HASHED, "right")) - 1)
+        own = offs[lo : hi + 1] - offs[lo]
+        out[lo:hi] = ta.span_hash(data[offs[lo] : offs[hi]], own[:-1], own[1:]) % ta.U64(buckets)
+        lo = hi
+    return out
+
+
 def _lots(told, buckets: int):
     """Rows of ``_KIND``: each lot's distinct words by bucket (answer false, part the bucket), and its word numbers (answer null)."""
 
@@ -194,12 +221,13 @@ def _lots(told, buckets: int):
             nonlocal seq, counts, rest, size, made
             own = np.frombuffer(seq, np.uint32)
             order = np.argsort(-np.bincount(own, minlength=len(number)), kind="stable")
-            rank = np.empty(len(order), np.int64)
+            rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order))
             words = pa.array(list(number), pa.string()).take(pa.array(order))
+            number.clear()
             offs = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
             data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) and words.buffers()[2] is not None else np.zeros(0, np.uint8)
-            where = (ta.span_hash(data, offs[:-1], offs[1:]) % ta.U64(buckets)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+            where = _dealt(data, offs, buckets)
             lot = f"{task}-{made}-{zlib.crc32(data):08x}"
             order = np.argsort(where, kind="stable")
             cuts = np.append(np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1])[: len(order)]), len(order)).tolist()
@@ -212,10 +240,11 @@ def _lots(told, buckets: int):
             with pa.ipc.new_stream(sink, rest[0].schema) as w:
                 for b in rest:
                     w.write_batch(b)
-            body = _packed(*_numbers(rank[own]), _planes(where, 2), np.array(counts, np.int32).tobytes(), sink.getvalue().to_pybytes())
+            own = rank[own]
+            seq = array("I")
+            body = _packed(*_numbers(own), _planes(where, 2), np.array(counts, np.int32).tobytes(), sink.getvalue().to_pybytes())
             rows.append((zlib.crc32(lot.encode()) % buckets, lot, None, body))
-            number.clear()
-            seq, counts, rest, size, made = array("I"), [], [], 0, made + 1
+            counts, rest, size, made = [], [], 0, made + 1
             return _rows(rows)
 
         for batch in batches:
@@ -353,7 +382,7 @@ def decode(docs: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(told.value)
-        to_text, most = _decoder(codec), max(codec.vocab.values())
+        to_text, most = _decoder(codec), codec.most
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)

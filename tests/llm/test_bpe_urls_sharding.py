@@ -57,6 +57,32 @@ def test_bpe_encodes_each_word_once():
     assert sorted(seen) == sorted(words) and isinstance(out, pa.RecordBatch) and out.num_rows == 3
 
 
+def test_bpe_lots_hold_little(monkeypatch):
+    """A lot of many long words is dealt in pieces, with the same buckets, and without a tokenizer in memory."""
+    import pyarrow as pa
+    import pyspark
+
+    from plumbline.llm import textarrays as ta
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("C", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 0)}))}))
+    spec = bpe._spec(queries.tokenizer_path())
+    texts = [" ".join(f"{chr(97 + i % 26) * 12}{i}x" for i in range(k, k + 1000)) for k in range(0, 60_000, 1000)] + ["y" * (bpe.HASHED + 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.StructArray.from_arrays([pa.array(range(len(texts)))], ["doc_id"])], ["text", "rest"])
+    bpe._codec.cache_clear()
+    ta.give_back()
+    rows = [r for b in bpe._lots(type("Told", (), {"value": spec}), 7)(iter([batch])) for r in b.to_pylist()]
+    assert len(ta._POWERS[0]) <= 4 * bpe.HASHED and bpe._codec(spec)._tokenizer is None
+    dealt = {}
+    for r in rows:
+        if r["answer"] is False:
+            sizes, data = bpe._unpacked(r["body"])
+            ends = bpe.np.cumsum(bpe._from_planes(sizes, 4)).tolist()
+            dealt |= {data[a:b]: r["part"] for a, b in zip([0, *ends], ends)}
+    words = {w.encode() for t in texts for w in bpe._codec(spec).words(t)}
+    data, offs = bpe.np.frombuffer(b"".join(dealt), bpe.np.uint8), bpe.np.cumsum([0, *map(len, dealt)])
+    assert set(dealt) == words and (ta.span_hash(data, offs[:-1], offs[1:]) % ta.U64(7)).tolist() == [*dealt.values()]
+
+
 def test_bpe_digest_and_empty(spark):
     df = spark.createDataFrame([(1, "the end"), (1, "the end"), (2, None)], "doc_id long, text string")
     rows = bpe.digest(df, queries.tokenizer_path()).collect()
