@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.sources.bars import DAILY, MINUTE
+from plumbline.sources.bars import DAILY, DAILY_SPARK, MINUTE
 from plumbline.sources.shared import once
 
 _KEYS = "symbol, exchange, source"
@@ -108,8 +108,9 @@ def render(text: str, engine: str) -> str:
 
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-#: Relations that most plans begin with: their text, the relation that it ends in. Each is made once for a folder and stored.
-BASES = {"daily_bars": (DAILY.strip(), "bars"), "minute_bars": (MINUTE.strip(), "minutes")}
+#: Relations that most plans begin with: their text, the relation that it ends in, the text for Spark. Each is made once
+#: for a folder and stored.
+BASES = {"daily_bars": (DAILY.strip(), "bars", DAILY_SPARK.strip()), "minute_bars": (MINUTE.strip(), "minutes", MINUTE.strip())}
 
 
 def _over(spark: SparkSession, sf_dir: str, text: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -122,15 +123,15 @@ def query(text: str, **more: Callable[[SparkSession, str], DataFrame]) -> Callab
 
     A plan's base relation is read from its stored table, so a session scans a folder's tables once for all plans.
     """
-    bases = [name for name, (base, _) in BASES.items() if base in text]
+    bases = [name for name, (base, _, _) in BASES.items() if base in text]
     for name in bases:
-        base, relation = BASES[name]
+        base, relation, _ = BASES[name]
         text = text.replace(base, f"{relation} AS (SELECT * FROM {{{name}}})")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = {t: made(spark, sf_dir) for t, made in more.items()}
         for name in bases:
-            base, relation = BASES[name]
+            _, relation, base = BASES[name]
             tables[name] = once(spark, sf_dir, name, lambda base=base, relation=relation: _over(spark, sf_dir, f"WITH {base} SELECT * FROM {relation}", {}))
         return _over(spark, sf_dir, text, tables)
 

@@ -18,6 +18,22 @@ daily_clean AS (
     @ARGMAX(l_extendedprice, {_ORDER}) AS close, sum(l_quantity) AS volume, cast(count(*) as double) AS open_interest
   FROM {{lineitem}} GROUP BY 1, 2, 3, 4)"""
 
+#: The same rows for Spark: first and last row of a day are chosen among those of its least and greatest order, found
+#: before. A choice over all rows would sort each task's input, as structs don't fit a hash aggregate. Nulls come first.
+_DAILY_CLEAN_SPARK = f"""
+daily_rows AS (
+  SELECT concat('S', cast(l_suppkey % 3 as string)) AS symbol, l_linestatus AS exchange, l_returnflag AS source, cast(l_shipdate as date) AS d,
+    coalesce(l_orderkey, -9223372036854775808) AS nth, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity FROM {{lineitem}}),
+daily_sums AS (
+  SELECT symbol, exchange, source, d, min(nth) AS least, max(nth) AS greatest, max(l_extendedprice) AS high, min(l_extendedprice) AS low,
+    sum(l_quantity) AS volume, cast(count(*) as double) AS open_interest FROM daily_rows GROUP BY 1, 2, 3, 4),
+daily_ends AS (
+  SELECT /*+ BROADCAST(s) */ r.symbol, r.exchange, r.source, r.d, @ARGMIN(l_extendedprice, {_ORDER}) AS open, @ARGMAX(l_extendedprice, {_ORDER}) AS close
+  FROM daily_rows r JOIN daily_sums s ON r.symbol <=> s.symbol AND r.exchange <=> s.exchange AND r.source <=> s.source AND r.d <=> s.d AND (nth = least OR nth = greatest) GROUP BY 1, 2, 3, 4),
+daily_clean AS (
+  SELECT s.symbol, s.exchange, s.source, s.d, open, high, low, close, volume, open_interest
+  FROM daily_sums s JOIN daily_ends e ON e.symbol <=> s.symbol AND e.exchange <=> s.exchange AND e.source <=> s.source AND e.d <=> s.d)"""
+
 #: Faults by day number: null close, swapped range, fifty-fold volume, negative open, zero volume, absent adj_close.
 DAILY = f"""{DAILY_CLEAN},
 daily_numbered AS (SELECT *, @DAYS(d, DATE '1992-01-01') + 7 * length(symbol) + ascii(source) + ascii(exchange) AS nr FROM daily_clean),
@@ -32,6 +48,8 @@ bars AS (
     CASE WHEN nr % 103 = 0 THEN -open_interest ELSE open_interest END AS open_interest
   FROM daily_numbered)"""
 
+DAILY_SPARK = DAILY.replace(DAILY_CLEAN, _DAILY_CLEAN_SPARK)
+
 MINUTE = """
 minutes AS (
   SELECT 'E' AS symbol, 'X' AS exchange, event_type AS source, @TRUNC(minute, ts) AS ts, cast(@TRUNC(day, ts) as date) AS d,

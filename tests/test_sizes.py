@@ -7,6 +7,7 @@ import re
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline import catalogue
 from plumbline.plans import dialect, market
@@ -69,3 +70,17 @@ def test_all_results_have_the_bounded_plans(spark, sf):
     plan = plan_of(dialect.query(f"WITH {market.results('spark')} SELECT * FROM results")(spark, sf))
     assert not any("Join" in line and "strike_price#" in line and re.search(r"\bd#", line) for line in plan)
     assert any(re.search(r"\bWindow \[", line) and "block#" in line for line in plan)
+
+
+def test_daily_bars_without_sorting_all_rows(spark, sf):
+    """The rows of the plain text, null keys and days of one order included; only rows of a day's ends reach the choice."""
+    from plumbline.sources.bars import DAILY
+
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet")
+    odd = rows.limit(200).withColumns({"l_orderkey": F.lit(None).cast("long"), "l_linestatus": F.lit(None).cast("string")}).unionByName(rows.limit(100).withColumn("l_orderkey", F.lit(7).cast("long")))
+    table = rows.unionByName(odd)
+    plain, quick = (spark.sql(dialect.render(f"WITH {text} SELECT * FROM bars", "spark"), lineitem=table) for text in (DAILY.strip(), dialect.BASES["daily_bars"][2]))
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, quick.collect()))
+    below = [re.findall(r"(SortAggregate|BroadcastHashJoin|FileScan)", x._jdf.queryExecution().executedPlan().toString()) for x in (plain, quick)]
+    sorts_a_scan = [("SortAggregate", "FileScan") in zip(x, x[1:]) for x in below]
+    assert sorts_a_scan == [True, False]
