@@ -8,8 +8,8 @@ values, those within more bits are scaled from it, and a dynamic programme takes
 probes and candidates. One side enumerates the values within t_i, the other is looked up by its own value, and
 ``bit_count`` of the XOR verifies each candidate.
 
-Linked fingerprints form components. Nearest links come first (neighbours in sorted order), and pairs that are in
-one component already are not listed again, so a large group of near copies gives few links. Where many fingerprints
+Linked fingerprints form components. Nearest links come first (neighbours in sorted order, joined within each batch), and
+pairs that are in one component already are not listed again, so a large group of near copies gives few links. Where many fingerprints
 share a value, those of the value's largest group are not compared with each other at all. Components come from
 large-star and small-star joins on stored tables.
 
@@ -185,36 +185,51 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def near_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -> DataFrame:
-    """Links (a, b) between neighbours when the fingerprints are sorted by each partition in turn.
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root), root < node: for the links a - b, each node with the smallest node it reaches."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[one] != root[two]).any():
+        # every root with a smaller one beside it goes below that, which leaves half of them at most
+        np.minimum.at(root, np.maximum(root[one], root[two]), np.minimum(root[one], root[two]))
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
 
-    A few links that join most of a dense group. Sorting is by range, so no group meets in one task; the last
-    fingerprint of a task isn't compared with the first of the next, which the full search makes up for.
-    """
 
+def _near(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.zeros(0, np.int64)
+        last, kept = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
         for batch in batches:
             x = np.concatenate([last, batch.column(0).to_numpy().astype(np.int64)])
-            a, b = [], []
+            a, b = [kept[0]], [kept[1]]
             for k in (1, 2, 3):
-                if len(x) > k:
-                    u, v = x[:-k], x[k:]
-                    near = np.bitwise_count((u ^ v).view(np.uint64)) <= limit
-                    a.append(u[near])
-                    b.append(v[near])
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                u, v = x[:-k], x[k:]
+                near = np.bitwise_count((u ^ v).view(np.uint64)) <= limit
+                a.append(u[near])
+                b.append(v[near])
+            node, root = stars(np.concatenate(a), np.concatenate(b))
+            yield pa.RecordBatch.from_arrays([pa.array(root), pa.array(node)], names=["a", "b"])
             last = x[-3:]
+            # the next batch goes on from the roots of this one
+            at = np.isin(node, last)
+            kept = np.array([node[at], root[at]])
 
-    out = None
-    for bits, _ in parts:
-        mask = F.lit(_signed(bits))
-        ordered = fps.select("fp").repartitionByRange(F.col("fp").bitwiseAND(mask), "fp").sortWithinPartitions(F.col("fp").bitwiseAND(mask), "fp")
-        links = ordered.mapInArrow(ta.task(run), "a long, b long")
-        out = links if out is None else out.unionByName(links)
-    return out.where("a <> b").distinct()
+    return run
+
+
+def near_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -> DataFrame:
+    """Links (a, b), a < b, that join neighbours when the fingerprints are sorted by each partition in turn.
+
+    A few links that join most of a dense group: a task's batches replace the links of neighbours by links to the smallest
+    fingerprint that they reach. Sorting is by range, one for all partitions, so no group meets in one task; the last
+    fingerprint of a task isn't compared with the first of the next, which the full search makes up for.
+    """
+    values = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(bits))).alias("value")) for i, (bits, _) in enumerate(parts)])
+    ordered = fps.select("fp", F.explode(values).alias("x")).select("x.part", "x.value", "fp").repartitionByRange("part", "value", "fp").sortWithinPartitions("part", "value", "fp")
+    return ordered.select("fp").mapInArrow(ta.task(_near(limit)), "a long, b long")
 
 
 def search_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int) -> DataFrame:
@@ -227,14 +242,10 @@ def search_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int)
     for i, (bits, t) in enumerate(parts):
         value = F.col("fp").bitwiseAND(F.lit(_signed(bits)))
         flips = F.lit(_flips(bits, t)).cast("array<long>")
-        base = fps.select(F.lit(i).alias("part"), value.alias("value"), "fp", "grp")
-        own.append(base)
-        probes.append(base.withColumn("flip", F.explode(flips)).select("part", F.col("value").bitwiseXOR(F.col("flip")).alias("value"), F.col("fp").alias("a"), F.col("grp").alias("ga")))
-    left = probes[0]
-    right = own[0]
-    for x, y in zip(probes[1:], own[1:], strict=True):
-        left, right = left.unionByName(x), right.unionByName(y)
-    right = right.select("part", "value", F.col("fp").alias("b"), F.col("grp").alias("gb"))
+        own.append(F.struct(F.lit(i).alias("part"), value.alias("value")))
+        probes.append(F.transform(flips, lambda flip: F.struct(F.lit(i).alias("part"), value.bitwiseXOR(flip).alias("value"))))
+    left = fps.select(F.explode(F.concat(*probes)).alias("x"), "fp", "grp").select("x.part", "x.value", F.col("fp").alias("a"), F.col("grp").alias("ga"))
+    right = fps.select(F.explode(F.array(*own)).alias("x"), "fp", "grp").select("x.part", "x.value", F.col("fp").alias("b"), F.col("grp").alias("gb"))
     sizes = right.groupBy("part", "value", "gb").agg(F.count("*").alias("n")).groupBy("part", "value").agg(F.max(F.struct("n", "gb")).alias("m"))
     sizes = sizes.select("part", "value", F.col("m.gb").alias("largest"))
     own, left = right.join(sizes, ["part", "value"]), left.join(sizes, ["part", "value"])
@@ -246,26 +257,30 @@ def search_links(fps: DataFrame, parts: list[tuple[list[int], int]], limit: int)
     return out.distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether every node of the distinct links (u, v), v < u, has one smaller one, which has none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    per = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return per.where("below > 1 OR (below = 1 AND above = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): each linked node with the smallest node it reaches; large-star and small-star until nothing moves.
+    """(node, root): each linked node with the smallest node it reaches; large-star and small-star until all links are stars.
 
     Every step is joins and map-side combined minima over stored tables; a node with very many links is split by
     Spark's skew join.
     """
-    edges, before = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"), None
-    while True:
+    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         after = stored(small.where("u <> v").distinct(), "links")
         drop_stored(edges)
         edges = after
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def grouped(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -279,12 +294,13 @@ def grouped(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
     known = stored(fps.join(near, fps.fp == near.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("grp")), "prints")
     drop_stored(near)
     # links between groups, told by the groups' roots
-    found = search_links(known.select("fp", "grp"), parts, limit)
+    found = stored(search_links(known.select("fp", "grp"), parts, limit), "found")
     of = known.select(F.col("fp").alias("x"), F.col("grp").alias("g"))
     by_a = found.join(of, found.a == of.x).select(F.col("g").alias("ga"), "b")
-    cross = by_a.join(of, by_a.b == of.x).select(F.col("ga").alias("a"), F.col("g").alias("b")).distinct()
+    cross = by_a.join(of, by_a.b == of.x).select(F.col("ga").alias("a"), F.col("g").alias("b"))
     roots = components(cross)
     drop_stored(fps)
+    drop_stored(found)
     final = known.join(roots, known.grp == roots.node, "left").select("fp", "least", F.coalesce("root", "grp").alias("comp"))
     ids = final.groupBy("comp").agg(F.min("least").alias("component_id"))
     done = stored(final.join(ids, "comp").select("fp", "component_id"), "groups")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 
 from plumbline.llm import simhash
@@ -145,3 +147,39 @@ def test_clashing_columns(spark):
     got = sorted(map(tuple, simhash.keep_one(docs).collect()), key=str)
     assert got == [(1, "a b c d e f", "x", 1, 5), (4, None, "q", 4, None), (None, "p q r s t u v w", "z", 3, 7)]
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_stars_reach_the_smallest_node():
+    rng = random.Random(4)
+    for n, m in ((1, 0), (2, 1), (50, 30), (300, 290), (300, 900)):
+        nodes = [rng.getrandbits(63) - (1 << 62) for _ in range(n)]
+        pairs = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(m)] + [*zip(nodes[:9], nodes[1:10])]
+        low = {x: x for x in nodes}
+        for _ in nodes:
+            for a, b in pairs:
+                low[a] = low[b] = min(low[a], low[b])
+        a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+        node, root = simhash.stars(a, b)
+        assert dict(zip(node.tolist(), root.tolist())) == {x: r for x, r in low.items() if r != x}
+
+
+def test_neighbours_in_several_batches_have_one_root():
+    """A chain of fingerprints, each one bit from the next, that comes in seven batches."""
+    chain = [(1 << k) - 1 for k in range(63)]
+    got = pa.Table.from_batches(simhash._near(4)(iter([pa.RecordBatch.from_arrays([pa.array(chain[i : i + 9])], names=["fp"]) for i in range(0, 63, 9)])))
+    assert set(got["a"].to_pylist()) == {0} and set(got["b"].to_pylist()) == {*chain[1:]}
+
+
+def test_few_plans_for_a_group_of_near_copies(spark, monkeypatch):
+    """Copies that differ by a bit or more, dealt over many partitions: few rounds of links, and plans of few steps."""
+    rng = random.Random(7)
+    base = rng.getrandbits(63)
+    fps = sorted({base ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(0, 4))) for _ in range(1500)} | {rng.getrandbits(63) for _ in range(200)})
+    made = []
+    old = simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name="t": made.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("\n"))) or old(df, name))
+    prints = spark.createDataFrame([(i, 0, x) for i, x in enumerate(fps)], "doc_id long, th long, fp long").repartition(16)
+    got = {r.fp: r.component_id for r in simhash.grouped(prints).collect()}
+    near = [i for i, x in enumerate(fps) if (x ^ base).bit_count() < 4]
+    assert {got[fps[i]] for i in near} == {near[0]} and all(got[x] == i for i, x in enumerate(fps) if i not in near)
+    assert sum(name == "links" for name, _ in made) <= 6 and max(n for _, n in made) <= 120, made
